@@ -21,7 +21,7 @@ from stratalake.operators.grid import sample_grid
 from stratalake.operators.packing import pack, unpack
 from stratalake.operators.quality import append_absent, drop_incomplete, drop_replays
 from stratalake.plans import bronze, gold, silver
-from stratalake.schemas import CLIMATE_RECORD, PRICE_RECORD
+from stratalake.schemas import CLIMATE_RECORD, PRICE_RECORD, PRODUCTION_RECORD
 from stratalake.session import work_path
 from stratalake.sinks.files import append, overwrite
 from stratalake.sinks.messages import write_lines
@@ -300,7 +300,8 @@ def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = F.col("props").substr(F.lit(1), F.length("props") - 1)
     value = F.when(F.col("event_type") == "error", cut).otherwise(F.col("props"))
     messages = _event_stream(spark, sf_dir).select(value.alias("value"))
-    return read_parquet(spark, _run(silver.unreadable_records(messages), "quarantine"))
+    unreadable = silver.unreadable_records(messages, PRODUCTION_RECORD)
+    return read_parquet(spark, _run(unreadable, "quarantine"))
 
 
 # --- replays and keys --------------------------------------------------------

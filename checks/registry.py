@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+# The tables a query reads, as its SQL names them.
+INPUTS: dict[str, list[str]] = {}
+_TABLES = ("lineitem", "orders", "events", "customer", "part", "supplier")
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -17,6 +21,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
         QUERIES[function.__name__] = function
         if sql is not None:
             SQL[function.__name__] = sql
+            INPUTS[function.__name__] = [t for t in _TABLES if re.search(rf"\b{t}\b", sql)]
         return function
 
     return register

@@ -16,29 +16,24 @@ MONTH_LABELS = [
 DAY_FIRST_FORMATS = ("d/M/yyyy", "d.M.yyyy", "d-M-yyyy", "yyyy-M-d")
 
 
-def _labels() -> Column:
-    return F.array(*[F.lit(label) for label in MONTH_LABELS])
-
-
 def month_label_date(label: Column) -> Column:
     """First day of the month named by ``mmm/yy``; the year is 20yy.
 
     Case does not matter. Any other shape, a four-digit year too, gives null.
     """
-    text = F.lower(label)
-    month = F.nullif(F.array_position(_labels(), F.substring(text, 1, 3)), F.lit(0))
-    year = F.substring(text, 5, 2).try_cast("int") + 2000
+    numbers = [F.lit(part) for pair in zip(MONTH_LABELS, range(1, 13)) for part in pair]
+    month = F.try_element_at(F.create_map(*numbers), F.lower(F.substring(label, 1, 3)))
+    year = F.substring(label, 5, 2).try_cast("int") + 2000
     return F.when(
-        text.rlike(r"\A[a-z]{3}/[0-9]{2}\z"),
-        F.make_date(year, month.cast("int"), F.lit(1)),
+        label.rlike(r"\A[A-Za-z]{3}/[0-9]{2}\z"), F.make_date(year, month, F.lit(1))
     )
 
 
 def month_label(date: Column) -> Column:
     """The ``mmm/yy`` label of a date."""
-    return F.concat(
-        F.element_at(_labels(), F.month(date)), F.lit("/"), F.date_format(date, "yy")
-    )
+    labels = F.array(*[F.lit(label) for label in MONTH_LABELS])
+    year = F.lpad((F.year(date) % 100).cast("string"), 2, "0")
+    return F.concat(F.element_at(labels, F.month(date)), F.lit("/"), year)
 
 
 def day_first_date(text: Column, formats: Sequence[str] = DAY_FIRST_FORMATS) -> Column:

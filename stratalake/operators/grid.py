@@ -27,29 +27,40 @@ def nearest_on_axis(
     so no point is compared with more than two coordinates. A neighbour beyond
     the edge of the band comes from the list of bands, which is as long as the
     axis' range divided by ``band``.
+
+    Equal values combine before the shuffle, so a value that fills a third of
+    the rows is one row in the sort.
     """
     by = list(by)
 
-    def values(df: DataFrame, name: str, on_axis: bool) -> DataFrame:
-        at = F.col(name).cast("double")
-        known = df.select(*by, at.alias("at")).filter(F.col("at").isNotNull())
-        return known.filter(~F.isnan("at")).distinct().withColumn("axis", F.lit(on_axis))
+    def values(df: DataFrame, name: str, asked: bool) -> DataFrame:
+        at = F.col(name).cast("double").alias("at")
+        flags = [F.lit(asked).alias("asked"), F.lit(not asked).alias("on_axis")]
+        return df.select(*by, at, *flags).filter(F.col("at").isNotNull() & ~F.isnan("at"))
 
     both = (
-        values(points, point, False)
-        .unionByName(values(axis, coord, True))
-        .withColumn("band", F.floor(F.col("at") / band))
-        .withColumn("coord", F.when(F.col("axis"), F.col("at")))
+        values(points, point, True)
+        .unionByName(values(axis, coord, False))
+        .groupBy(*by, "at")
+        .agg(F.max("asked").alias("asked"), F.max("on_axis").alias("on_axis"))
+        .select(
+            *by,
+            "at",
+            "asked",
+            F.floor(F.col("at") / band).alias("band"),
+            F.when(F.col("on_axis"), F.col("at")).alias("coord"),
+        )
+        .repartition(*by, "band")  # read twice below, shuffled once
     )
     in_band = W.partitionBy(*by, "band")
-    upward = in_band.orderBy(F.col("at")).rangeBetween(W.unboundedPreceding, W.currentRow)
-    downward = in_band.orderBy(F.col("at").desc()).rangeBetween(
+    upward = in_band.orderBy(F.col("at")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    downward = in_band.orderBy(F.col("at").desc()).rowsBetween(
         W.unboundedPreceding, W.currentRow
     )
     asked = (
         both.withColumn("below", F.max("coord").over(upward))
         .withColumn("above", F.min("coord").over(downward))
-        .filter(~F.col("axis"))
+        .filter("asked")
     )
 
     across = W.partitionBy(*(by or [F.lit(0)]))
@@ -86,8 +97,8 @@ def place_on_grid(
 ) -> DataFrame:
     """``points`` with the cell of each in ``cell_lat`` and ``cell_lon``.
 
-    ``axes`` is the grid or any table with the same coordinates. Points without
-    a position are left out.
+    ``axes`` is the grid or any table with the same coordinates; each axis is a
+    pass over one of its columns. Points without a position are left out.
     """
     by = list(by)
     lats = nearest_on_axis(points, lat, axes, grid_lat, by, band)

@@ -60,10 +60,12 @@ def joined_trend(summaries: DataFrame) -> DataFrame:
     """Least-squares line of the right value on the left one over the joined rows.
 
     Squares are taken about the overall means, which keeps the digits that raw
-    sums of squares would lose.
+    sums of squares would lose. A date without values on a side has no variance
+    and drops out. Both passes ask for the same columns of ``summaries``, so
+    the shuffles beneath it are made once and read twice.
     """
-    pairs = F.col("x_n") * F.col("y_n")
-    used = summaries.filter(pairs > 0).withColumn("w", pairs)
+    known = F.col("x_var").isNotNull() & F.col("y_var").isNotNull()
+    used = summaries.filter(known).withColumn("w", F.col("x_n") * F.col("y_n"))
     centre = used.agg(
         F.sum("w").alias("w"),
         F.try_divide(F.sum(F.col("x_mean") * F.col("w")), F.sum("w")).alias("cx"),

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratalake.functions.dates import iso_date, month_label_date, price_timestamp
+from stratalake.functions.dates import (
+    date_text,
+    iso_date,
+    month_label_date,
+    price_timestamp,
+)
 from stratalake.functions.messages import parse_records
 from stratalake.functions.numbers import decimal_comma, numeric
 from stratalake.operators.packing import unpack
@@ -39,34 +47,65 @@ def climate(raw: DataFrame) -> DataFrame:
 
 
 def prices(
-    raw: DataFrame, grouped: bool = False, fmt: str = PRICE_TIMESTAMP_FORMAT
+    raw: DataFrame,
+    grouped: bool = False,
+    fmt: str = PRICE_TIMESTAMP_FORMAT,
+    dated: bool = False,
 ) -> DataFrame:
-    return raw.select(
+    """``timestamp, preco``, and with ``dated`` also ``data`` to partition by.
+
+    Partitioned by the timestamp itself, silver would get a folder per instant.
+    """
+    stamped = raw.select(
         price_timestamp(F.col("data"), fmt).alias("timestamp"),
         decimal_comma(F.col("último"), grouped).alias("preco"),
     )
+    return stamped.withColumn("data", F.to_date("timestamp")) if dated else stamped
 
 
-def production(raw_text: DataFrame) -> DataFrame:
-    """Silver production from message text in ``value``."""
-    records = raw_text.select(
-        parse_records(F.col("value").cast("string"), PRODUCTION_RECORD).alias("registros")
-    )
-    return unpack(records).select(
+def records(messages: DataFrame, record: T.StructType) -> DataFrame:
+    """The records in the messages' ``value``, text or bytes, one per row."""
+    parsed = parse_records(F.col("value").cast("string"), record)
+    return unpack(messages.select(parsed.alias("registros")))
+
+
+def production_rows(raw: DataFrame) -> DataFrame:
+    return raw.select(
         iso_date(F.col("data")).alias("data"),
         F.col("unidade_federativa").alias("estado"),
         "producao",
     )
 
 
+def production(messages: DataFrame) -> DataFrame:
+    """Silver production from messages in ``value``."""
+    return production_rows(records(messages, PRODUCTION_RECORD))
+
+
+def station_rows(sampled: DataFrame) -> DataFrame:
+    """Rows of the climate table from a grid sampled at the hubs."""
+    return sampled.select(
+        date_text(F.col("date")).alias("date"),
+        "hub",
+        "state",
+        F.col("lat").alias("latitude"),
+        F.col("lon").alias("longitude"),
+        F.col("precip").alias("precipitation_mm"),
+    )
+
+
 def unreadable_json(raw: DataFrame) -> DataFrame:
-    """Lines the JSON source could not read, for quarantine."""
-    return raw.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
+    """Lines the JSON source could make nothing of, for quarantine."""
+    fields = [F.col(f"`{name}`").isNull() for name in raw.columns if name != CORRUPT]
+    nothing = reduce(lambda a, b: a & b, fields)
+    return raw.filter(F.col(CORRUPT).isNotNull() & nothing).select(
+        F.col(CORRUPT).alias("value")
+    )
 
 
-def unreadable_records(raw_text: DataFrame) -> DataFrame:
-    """Message texts that hold no production records, for quarantine."""
+def unreadable_records(messages: DataFrame, record: T.StructType) -> DataFrame:
+    """Texts of the messages that :func:`records` can make nothing of, for quarantine."""
     text = F.col("value").cast("string")
-    return raw_text.select(text.alias("value")).filter(
-        parse_records(F.col("value"), PRODUCTION_RECORD).isNull()
+    return messages.select(text.alias("value")).filter(
+        parse_records(F.col("value"), record).isNull()
     )

@@ -1,9 +1,16 @@
-"""Streaming sources."""
+"""Streaming sources.
+
+A file stream reads all files under its path, whatever folders they are in: the
+``yyyy/MM/dd`` folders of message savers and the ``ingest_year=…`` folders that
+landing writes. Where a streaming sink wrote the path, its commit log decides
+which files count. A glob reads only the matching files and skips that log.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from stratalake.schemas import CORRUPT
 
@@ -11,6 +18,11 @@ from stratalake.schemas import CORRUPT
 BRONZE_GLOB = "*/*/*/*"
 
 
+def _file_reader(spark: SparkSession, max_files: int | None) -> DataStreamReader:
+    reader = spark.readStream.option("recursiveFileLookup", True)
+    return reader.option("maxFilesPerTrigger", max_files) if max_files else reader
+
+
 def json_stream(
     spark: SparkSession,
     path: str,
@@ -23,42 +35,35 @@ def json_stream(
     ``NaN`` tokens are read. A line that is no JSON gives a row of nulls whose
     text is in ``_corrupt_record``.
     """
-    schema = T.StructType(record.fields)
+    schema = T.StructType(list(record.fields))
     if keep_corrupt:
         schema = schema.add(CORRUPT, T.StringType())
-    reader = (
-        spark.readStream.schema(schema)
+    return (
+        _file_reader(spark, max_files)
+        .schema(schema)
         .option("allowNonNumericNumbers", True)
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .json(path)
     )
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
 
 
 def text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Text files as they arrive, one row per line in ``value``."""
-    reader = spark.readStream
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.format("text").load(path)
+    return _file_reader(spark, max_files).format("text").load(path)
 
 
 def parquet_stream(
     spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None
 ) -> DataFrame:
     """Parquet files as they arrive, such as landed bronze messages."""
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return _file_reader(spark, max_files).schema(schema).parquet(path)
 
 
 def replay_feed(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
     """One packed day per micro-batch: each message file is a batch of its own.
 
-    Files come in the order in which they were written. Run it with the
-    ``available_now`` trigger to end after the last day.
+    Files come in the order in which they were written. Run it to the end to
+    stop after the last day.
     """
     return json_stream(spark, path, record, max_files=1)
 
