@@ -36,6 +36,7 @@ from stratalake.sources.streams import (
     BRONZE_GLOB,
     json_stream,
     parquet_stream,
+    replay_feed,
     text_stream,
 )
 from stratalake.sources.tables import read_table
@@ -304,6 +305,31 @@ def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, _run(unreadable, "quarantine"))
 
 
+@query("""
+    SELECT year(o_orderdate)::VARCHAR AS data, o_orderkey::VARCHAR AS cidade,
+           o_orderstatus AS estado, o_totalprice AS precipitacao_mm
+    FROM orders""")
+def q_replay_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A message file per year, each taken by a micro-batch of its own."""
+    records = table(spark, sf_dir, "orders").select(
+        F.year("o_orderdate").cast("string").alias("date"),
+        F.col("o_orderkey").cast("string").alias("hub"),
+        F.col("o_orderstatus").alias("state"),
+        F.col("o_totalprice").alias("precipitation_mm"),
+    )
+    source = work_path(spark, "feed")
+    write_lines(
+        bronze.day_messages(records, "date", unique_on=["hub"], max_records=50_000), source
+    )
+    feed = replay_feed(spark, source, CLIMATE_RECORD).select(
+        F.col("date").alias("data"),
+        F.col("hub").alias("cidade"),
+        F.col("state").alias("estado"),
+        F.col("precipitation_mm").alias("precipitacao_mm"),
+    )
+    return read_parquet(spark, _run(feed, "feed-silver"))
+
+
 # --- replays and keys --------------------------------------------------------
 
 
@@ -417,7 +443,7 @@ def q_replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                COUNT(*) AS pecas, MAX(p_partkey) AS ultima
         FROM part GROUP BY ALL),
     hubs AS (
-        SELECT s_suppkey, s_nationkey * 2 + 0.5 AS lat, 900 + s_acctbal / 100 AS lon
+        SELECT s_suppkey, CAST(s_nationkey * 2 + 0.5 AS DOUBLE) AS lat, 900 + s_acctbal / 100 AS lon
         FROM supplier),
     near_lat AS (
         SELECT s_suppkey, latitude AS cell_lat

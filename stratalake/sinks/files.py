@@ -7,6 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
+def _write(
+    df: DataFrame, path: str, fmt: str, partition_by: Sequence[str], mode: str
+) -> None:
+    """The rows are rebalanced before the write, which gives each partition value
+    few files, and a value with a large share of the rows several tasks."""
+    writer = df.hint("rebalance", *partition_by).write.format(fmt).mode(mode)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(path)
+
+
 def overwrite(
     df: DataFrame,
     path: str,
@@ -16,21 +27,13 @@ def overwrite(
     """Replace what is at ``path`` and return it as read back.
 
     Further sinks should take the returned frame: the plan behind ``df`` then
-    runs once. The rows are rebalanced before the write, which gives each
-    partition value few files, and a value with a large share of the rows
-    several tasks.
+    runs once.
     """
-    writer = df.hint("rebalance", *partition_by).write.format(fmt).mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    _write(df, path, fmt, partition_by, "overwrite")
     return df.sparkSession.read.format(fmt).load(path)
 
 
 def append(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> None:
-    writer = df.write.format(fmt).mode("append")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    _write(df, path, fmt, partition_by, "append")

@@ -5,12 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 # --- fixed value: how often a long-running query takes a batch ----------------
 BATCH_INTERVAL = "2 minutes"
 
 
+def _gathered(df: DataFrame, by: Sequence[str], spread: int) -> DataFrame:
+    share = F.pmod(F.spark_partition_id(), F.lit(spread))
+    return df.withColumn("_share", share).repartition(*by, "_share").drop("_share")
+
+
 def start_append(
     df: DataFrame,
     path: str,
@@ -19,13 +25,21 @@ def start_append(
     fmt: str = "parquet",
     interval: str | None = BATCH_INTERVAL,
     name: str | None = None,
+    spread: int = 8,
 ) -> StreamingQuery:
     """Append ``df`` to files under ``path``, exactly once.
 
     Progress is in ``checkpoint``, so a restarted query goes on where it was.
     With ``interval=None`` it takes all there is, in as many batches as the
     source's limits ask for, and ends.
+
+    A partitioned sink gathers each partition's rows in at most ``spread`` tasks
+    before it writes. A batch thus adds that many files to a partition, not one
+    per task of the source, and a date with a third of the rows is not left to
+    a single task.
     """
+    if partition_by:
+        df = _gathered(df, partition_by, spread)
     writer = (
         df.writeStream.format(fmt)
         .outputMode("append")
