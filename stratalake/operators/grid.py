@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratalake.operators.sizing import BROADCAST_ROWS, broadcast_within, has_at_most
+from stratalake.operators import sizing
+from stratalake.operators.sizing import broadcast_within, measured_bytes, settled
 
 
 def nearest_on_axis(
@@ -17,55 +18,48 @@ def nearest_on_axis(
     axis: DataFrame,
     coord: str,
     by: Sequence[str] = (),
-    band: float = 1.0,
 ) -> DataFrame:
     """For each distinct ``point`` value the nearest ``coord`` of the axis.
 
     Of two equally near ones the smaller is taken. Points and coordinates are
-    sorted together within bands of width ``band``: the running maximum seen
-    from below and the running minimum seen from above are the two neighbours,
-    so no point is compared with more than two coordinates. A neighbour beyond
-    the edge of the band comes from the list of bands, which is as long as the
-    axis' range divided by ``band``.
-
-    Equal values combine before the shuffle, so a value that fills a third of
-    the rows is one row in the sort.
+    sorted together: the running maximum of the coordinates from below and the
+    running minimum from above are a point's two neighbours, so no point is
+    compared with more than two.
+
+    The sort is cut into bands of about equal length, the partitions of a range
+    shuffle. A neighbour beyond the edge of a band comes from the list of bands.
+    The banded values are settled, as both must see the same bands. They are
+    distinct values only: one that fills a third of the rows is one of them.
     """
     by = list(by)
-
-    def values(df: DataFrame, name: str, asked: bool) -> DataFrame:
-        at = F.col(name).cast("double").alias("at")
-        flags = [F.lit(asked).alias("asked"), F.lit(not asked).alias("on_axis")]
-        return df.select(*by, at, *flags).filter(F.col("at").isNotNull() & ~F.isnan("at"))
-
-    both = (
-        values(points, point, True)
-        .unionByName(values(axis, coord, False))
+    both = settled(
+        _values(points, point, by, asked=True)
+        .unionByName(_values(axis, coord, by, asked=False))
         .groupBy(*by, "at")
         .agg(F.max("asked").alias("asked"), F.max("on_axis").alias("on_axis"))
+        .repartitionByRange(*by, "at")
         .select(
             *by,
             "at",
             "asked",
-            F.floor(F.col("at") / band).alias("band"),
             F.when(F.col("on_axis"), F.col("at")).alias("coord"),
+            F.spark_partition_id().alias("band"),
         )
-        .repartition(*by, "band")  # read twice below, shuffled once
     )
+    before_or_here = (W.unboundedPreceding, W.currentRow)
     in_band = W.partitionBy(*by, "band")
-    upward = in_band.orderBy(F.col("at")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    downward = in_band.orderBy(F.col("at").desc()).rowsBetween(
-        W.unboundedPreceding, W.currentRow
-    )
+    upward = in_band.orderBy(F.col("at")).rowsBetween(*before_or_here)
+    downward = in_band.orderBy(F.col("at").desc()).rowsBetween(*before_or_here)
     asked = (
         both.withColumn("below", F.max("coord").over(upward))
         .withColumn("above", F.min("coord").over(downward))
         .filter("asked")
     )
 
+    before = (W.unboundedPreceding, -1)
     across = W.partitionBy(*(by or [F.lit(0)]))
-    earlier = across.orderBy(F.col("band")).rowsBetween(W.unboundedPreceding, -1)
-    later = across.orderBy(F.col("band").desc()).rowsBetween(W.unboundedPreceding, -1)
+    earlier = across.orderBy(F.col("band")).rowsBetween(*before)
+    later = across.orderBy(F.col("band").desc()).rowsBetween(*before)
     edges = (
         both.groupBy(*by, "band")
         .agg(F.min("coord").alias("least"), F.max("coord").alias("most"))
@@ -85,6 +79,21 @@ def nearest_on_axis(
     )
 
 
+def _values(df: DataFrame, name: str, by: list[str], asked: bool) -> DataFrame:
+    at = F.col(name).cast("double").alias("at")
+    flags = [F.lit(asked).alias("asked"), F.lit(not asked).alias("on_axis")]
+    return df.select(*by, at, *flags).filter(F.col("at").isNotNull() & ~F.isnan("at"))
+
+
+def _both_sides(df: DataFrame, by: list[str], lat: str, lon: str, name: str) -> DataFrame:
+    """Latitude and longitude as rows of one column, so that one pass serves both."""
+    sides = [
+        F.struct(F.lit(side).alias("side"), F.col(column).cast("double").alias(name))
+        for side, column in (("lat", lat), ("lon", lon))
+    ]
+    return df.select(*by, F.inline(F.array(*sides)))
+
+
 def place_on_grid(
     points: DataFrame,
     axes: DataFrame,
@@ -93,19 +102,26 @@ def place_on_grid(
     grid_lat: str = "latitude",
     grid_lon: str = "longitude",
     by: Sequence[str] = (),
-    band: float = 1.0,
 ) -> DataFrame:
     """``points`` with the cell of each in ``cell_lat`` and ``cell_lon``.
 
-    ``axes`` is the grid or any table with the same coordinates; each axis is a
-    pass over one of its columns. Points without a position are left out.
+    ``axes`` is the grid or any table with the same coordinates; it is read
+    once. Points without a position are left out.
     """
     by = list(by)
-    lats = nearest_on_axis(points, lat, axes, grid_lat, by, band)
-    lons = nearest_on_axis(points, lon, axes, grid_lon, by, band)
-    return points.join(
-        lats.withColumnRenamed(grid_lat, "cell_lat"), [*by, lat]
-    ).join(lons.withColumnRenamed(grid_lon, "cell_lon"), [*by, lon])
+    near = nearest_on_axis(
+        _both_sides(points, by, lat, lon, "at"),
+        "at",
+        _both_sides(axes, by, grid_lat, grid_lon, "cell"),
+        "cell",
+        [*by, "side"],
+    )
+    for side, column in (("lat", lat), ("lon", lon)):
+        found = near.filter(F.col("side") == side).select(
+            *by, F.col("at").alias(column), F.col("cell").alias(f"cell_{side}")
+        )
+        points = points.join(found, [*by, column])
+    return points
 
 
 def sample_grid(
@@ -118,25 +134,26 @@ def sample_grid(
     by: Sequence[str] = (),
     years: Iterable[int] | None = None,
     axes: DataFrame | None = None,
-    band: float = 1.0,
 ) -> DataFrame:
     """The rows of the grid at the cell nearest to each point.
 
     The points are placed first and the grid is then joined on its cell, so the
     grid is never paired with all points. There is one placed row per point (and
-    year); if those are few they are broadcast and the grid is not shuffled.
-    Pass ``axes`` where the coordinates are known, to save a pass over the grid.
+    year); if the points measure little they are broadcast and the grid is not
+    shuffled. Pass ``axes`` where the coordinates are known, to save a pass over
+    the grid.
     """
     by = list(by)
     listed = list(years) if years is not None else []
-    small = has_at_most(points, BROADCAST_ROWS // max(len(listed), 1))
+    limit = sizing.BROADCAST_BYTES // max(len(listed), 1)
+    size = measured_bytes(points)
     if listed:
         points = points.withColumn("ano", F.explode(F.array(*map(F.lit, listed))))
         by = [*by, "ano"]
     cells = place_on_grid(
-        points, grid if axes is None else axes, lat, lon, grid_lat, grid_lon, by, band
+        points, grid if axes is None else axes, lat, lon, grid_lat, grid_lon, by
     )
-    cells = broadcast_within(cells, small)
+    cells = broadcast_within(cells, size, limit)
     cell = (grid[grid_lat] == cells["cell_lat"]) & (grid[grid_lon] == cells["cell_lon"])
     for name in by:
         cell = cell & (grid[name] == cells[name])

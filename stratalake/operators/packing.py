@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.operators.sizing import BROADCAST_ROWS, broadcast_within, settled
+from stratalake.operators.sizing import broadcast_within, measured_bytes, settled
 
 MAX_RECORDS = 10_000
 
@@ -87,15 +87,14 @@ def _with_parts(
             F.ceil(F.col("_rows") / max_records).alias("_needed"),
         )
     )
-    found = large.count()
+    size = measured_bytes(large)
     one = F.lit(1).cast("bigint")
-    if found == 0:
+    if size == 0:
         return rows.withColumn("partes", one)
     same = reduce(
         lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_large_{n}")) for n in by]
     )
-    large = broadcast_within(large, found <= BROADCAST_ROWS)
-    return rows.join(large, same, "left").select(
+    return rows.join(broadcast_within(large, size), same, "left").select(
         *rows.columns, F.coalesce("_needed", one).alias("partes")
     )
 

@@ -7,23 +7,24 @@ from pyspark.sql import functions as F
 
 from stratalake.session import shared_folder
 
-# Rows a broadcast side may have. The sides in question are a few narrow
-# columns, so this stays within some tens of megabytes.
-BROADCAST_ROWS = 500_000
+# What a broadcast side may measure, every copy of its rows counted.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows. Each task sends one count."""
-    return df.count() <= rows
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the rows written as JSON, which names and digits make larger than
+    they are in memory. One pass; each task sends one number."""
+    size = F.octet_length(F.to_json(F.struct("*")))
+    return df.agg(F.sum(size)).first()[0] or 0
 
 
-def broadcast_within(df: DataFrame, small: bool) -> DataFrame:
-    """``df`` with a broadcast hint if its size was found small, else untouched.
+def broadcast_within(df: DataFrame, size: int, limit: int | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its measured size allows it, else untouched.
 
     Untouched, the join shuffles both sides on the key and adaptive execution
     splits partitions that a hot key makes too large.
     """
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if size <= (BROADCAST_BYTES if limit is None else limit) else df
 
 
 def settled(df: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from stratalake.operators import grid as grid_module
+from stratalake.operators import sizing
 from stratalake.operators.grid import nearest_on_axis, place_on_grid, sample_grid
 from stratalake.sources.dimensions import hubs
 
@@ -12,20 +12,37 @@ def brute(point, axis):
     return min(axis, key=lambda c: (abs(c - point), c))
 
 
-@pytest.mark.parametrize("band", [0.5, 1.0, 7.0, 1000.0])
-def test_nearest_matches_brute_force(spark, band):
+@pytest.fixture(params=["one band", "many bands"])
+def bands(request, spark):
+    """Adaptive execution would put small data in one band."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", request.param == "one band")
+    spark.conf.set("spark.sql.shuffle.partitions", 4 if request.param == "one band" else 40)
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", True)
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+
+
+def test_nearest_matches_brute_force(spark, bands):
     rng = random.Random(5)
-    # clustered, with gaps of many bands, and halfway points
+    # clustered, with wide gaps, and halfway points
     axis = sorted({float(round(rng.gauss(0, 20))) for _ in range(40)} | {90.0, 91.0})
     points = [rng.uniform(-120, 120) for _ in range(150)] + [a + 0.5 for a in axis] + axis
     points_df = spark.createDataFrame([(p,) for p in points * 3], "lat double").repartition(3)
     axis_df = spark.createDataFrame([(a,) for a in axis * 2], "latitude double")
-    got = nearest_on_axis(points_df, "lat", axis_df, "latitude", band=band).collect()
+    got = nearest_on_axis(points_df, "lat", axis_df, "latitude").collect()
     assert {r.lat: r.latitude for r in got} == {p: brute(p, axis) for p in points}
     assert len(got) == len(set(points))
 
 
-def test_nearest_within_groups(spark):
+def test_axis_at_one_end_of_the_points(spark, bands):
+    """Bands without any coordinate take their neighbour from far bands."""
+    points = spark.createDataFrame([(float(i),) for i in range(300)], "lat double")
+    axis = spark.createDataFrame([(0.0,), (299.0,)], "latitude double")
+    got = nearest_on_axis(points, "lat", axis, "latitude").collect()
+    assert {r.lat: r.latitude for r in got} == {float(i): 0.0 if i <= 149 else 299.0 for i in range(300)}
+
+
+def test_nearest_within_groups(spark, bands):
     points = spark.createDataFrame([(2015, 1.4), (2016, 1.4)], "ano int, lat double")
     axis = spark.createDataFrame([(2015, 1.0), (2015, 2.0), (2016, 3.0)], "ano int, latitude double")
     got = nearest_on_axis(points, "lat", axis, "latitude", by=["ano"]).collect()
@@ -61,12 +78,14 @@ def cell_grid(spark):
 @pytest.mark.parametrize("small", [True, False])
 def test_every_hub_gets_its_cell_each_day(spark, monkeypatch, small):
     if not small:
-        monkeypatch.setattr(grid_module, "BROADCAST_ROWS", 2)
+        monkeypatch.setattr(sizing, "BROADCAST_BYTES", 2)
     grid = cell_grid(spark)
     lats = sorted({r.latitude for r in grid.select("latitude").distinct().collect()})
     lons = sorted({r.longitude for r in grid.select("longitude").distinct().collect()})
     cells = {(r.latitude, r.longitude) for r in grid.collect()}
     found = sample_grid(grid, hubs(spark), years=[2015, 2016, 2017])
+    hinted = "strategy=broadcast" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert hinted == small
     got = found.select("hub", "lat", "lon", "cell_lat", "cell_lon", "date").collect()
     want = [
         h for h in hubs(spark).collect() if (brute(h.lat, lats), brute(h.lon, lons)) in cells
