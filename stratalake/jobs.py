@@ -31,7 +31,7 @@ from stratalake.streaming import drop_replays_stream, start_append
 @dataclass(frozen=True)
 class SilverJob:
     record: T.StructType
-    transform: Callable[[DataFrame], DataFrame]
+    transform: Callable[..., DataFrame]
     key: tuple[str, ...]
     partition_by: tuple[str, ...] = ()
 
@@ -138,7 +138,8 @@ def to_silver(spark: SparkSession, args: argparse.Namespace) -> None:
         )
     else:
         arriving = streams.text_stream(spark, path, args.max_files)
-    rows = job.transform(silver.records(arriving, job.record))
+    extra = {"state_codes": True} if args.state_codes else {}
+    rows = job.transform(silver.records(arriving, job.record), **extra)
     if args.drop_replays_within:
         rows = drop_replays_stream(rows, job.key, args.drop_replays_within)
         rows = rows.drop("ingest_ts")
@@ -253,8 +254,9 @@ def parser() -> argparse.ArgumentParser:
     refine.add_argument("--quarantine")
     refine.add_argument("--landed", action="store_true", help="bronze is landed Parquet")
     refine.add_argument("--glob", help="read only these files, such as '*/*/*/*.json'")
-    refine.add_argument("--max-files", type=int)
+    refine.add_argument("--max-files", type=int, default=10_000, help="per batch")
     refine.add_argument("--partition-by", nargs="*", help="default: the table's own")
+    refine.add_argument("--state-codes", action="store_true", help="production only")
     refine.add_argument("--drop-replays-within", help="such as '2 hours'")
 
     build = command(to_gold, "gold")

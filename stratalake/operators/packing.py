@@ -38,18 +38,10 @@ def pack(
         F.shiftright(F.xxhash64(*(unique_on or record)), 1).alias("_hash"),
     )
     if unique_on is None:
-        rows = (
-            rows.groupBy(*by, "_record", "_hash")
-            .agg(F.count(F.lit(1)).alias("_copies"))
-            .withColumn("_portion", _portions(F.col("_copies"), max_records))
-            .withColumn(
-                "_copies",
-                F.least(
-                    F.lit(max_records),
-                    F.col("_copies") - F.col("_portion") * max_records,
-                ),
-            )
+        counted = rows.groupBy(*by, "_record", "_hash").agg(
+            F.count(F.lit(1)).alias("_copies")
         )
+        rows = _in_portions(counted, max_records)
         copies, slot = F.col("_copies"), F.col("_hash") + F.col("_portion")
         records = F.flatten(
             F.collect_list(F.array_repeat("_record", F.col("_copies").cast("int")))
@@ -69,9 +61,29 @@ def pack(
     )
 
 
-def _portions(copies: Column, max_records: int) -> Column:
-    last = F.floor((copies - 1) / max_records)
-    return F.explode(F.sequence(F.lit(0).cast("bigint"), last))
+def _in_portions(counted: DataFrame, size: int) -> DataFrame:
+    """Rows standing for ``_copies`` copies, as rows for at most ``size`` each.
+
+    Numbered in two steps, so that no array grows with the number of copies
+    beyond its root.
+    """
+    last = F.floor((F.col("_copies") - 1) / size)
+    step = F.ceil(F.sqrt(last + 1)).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    return (
+        counted.select("*", last.alias("_last"), step.alias("_step"))
+        .withColumn("_from", F.explode(F.sequence(zero, F.col("_last"), F.col("_step"))))
+        .withColumn(
+            "_portion",
+            F.explode(
+                F.sequence("_from", F.least("_last", F.col("_from") + F.col("_step") - 1))
+            ),
+        )
+        .withColumn(
+            "_copies", F.least(F.lit(size), F.col("_copies") - F.col("_portion") * size)
+        )
+        .drop("_last", "_step", "_from")
+    )
 
 
 def _with_parts(

@@ -16,6 +16,7 @@ from stratalake.functions.dates import (
 )
 from stratalake.functions.messages import parse_records
 from stratalake.functions.numbers import decimal_comma, numeric
+from stratalake.functions.states import state_code
 from stratalake.operators.packing import unpack
 from stratalake.operators.quality import drop_incomplete
 from stratalake.schemas import (
@@ -69,10 +70,12 @@ def records(messages: DataFrame, record: T.StructType) -> DataFrame:
     return unpack(messages.select(parsed.alias("registros")))
 
 
-def production_rows(raw: DataFrame) -> DataFrame:
+def production_rows(raw: DataFrame, state_codes: bool = False) -> DataFrame:
+    """``state_codes`` writes states as rain has them, for joins of the two."""
+    state = F.col("unidade_federativa")
     return raw.select(
         iso_date(F.col("data")).alias("data"),
-        F.col("unidade_federativa").alias("estado"),
+        (state_code(state) if state_codes else state).alias("estado"),
         "producao",
     )
 

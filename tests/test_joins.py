@@ -85,3 +85,33 @@ def test_bounds_distinct_counts(spark, rows):
     assert [r.s for r in distinct_sorted(df, "s").collect()] == ["a", "b"]
     assert row_counts(df).first().linhas == 4
     assert rows(row_counts(df.filter(F.col("s").isNotNull()), ["s"])) == [("a", 1), ("b", 2)]
+
+
+def test_row_join_splits_a_hot_date(spark):
+    """Without a broadcast, adaptive execution cuts the hot date's partition up."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        prices = spark.range(0, 60_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, F.lit(DAY))
+            .otherwise(F.date_add(F.lit(DAY), (F.col("id") % 900).cast("int")))
+            .alias("data"),
+            F.col("id").alias("preco"),
+        )
+        rain = spark.range(0, 900, 1, 4).select(
+            F.date_add(F.lit(DAY), F.col("id").cast("int")).alias("data"), F.col("id").alias("mm")
+        )
+        joined = join_on_date(rain, prices)
+        assert len(joined.collect()) == 60_000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

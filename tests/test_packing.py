@@ -54,6 +54,15 @@ def test_copies_are_dealt_out_in_portions(spark):
     assert max(sizes) <= 100 and len(sizes) == 20
 
 
+@pytest.mark.parametrize("copies", [1, 9, 10, 11, 100, 1234])
+def test_portions_cover_all_copies(spark, copies):
+    df = spark.range(copies).select(F.lit("d").alias("data"), F.lit("x").alias("v"))
+    sizes = [r.linhas for r in pack(df, ["data"], max_records=10).collect()]
+    assert sum(sizes) == copies
+    assert len(sizes) == -(-copies // 10)
+    assert max(sizes) <= 10
+
+
 def test_records_are_in_order_within_a_message(spark):
     packed = pack(events(spark), ["data"], record=["event_id", "value"], unique_on=["event_id"])
     for row in packed.collect():

@@ -234,3 +234,26 @@ def test_long_running_query_has_its_interval(spark, tmp_path):
     finally:
         query.stop()
     assert spark.read.parquet(out).count() == 3
+
+
+def test_partitioned_sink_bounds_its_files(spark, tmp_path):
+    source, out, cp = dirs(tmp_path)
+    rows = spark.range(0, 4000, 1, 40).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5).alias("k"), "id"
+    )
+    rows.write.parquet(source)
+    query = start_append(
+        parquet_stream(spark, source, rows.schema), out, cp, ["k"], interval=None, spread=2
+    )
+    query.awaitTermination()
+    assert spark.read.parquet(out).count() == 4000
+    for k in range(5):
+        files = [n for n in os.listdir(os.path.join(out, f"k={k}")) if n.endswith(".parquet")]
+        assert 1 <= len(files) <= 2
+
+
+def test_states_as_codes(spark, rows):
+    raw = spark.createDataFrame(
+        [("2015-01-01", "Mato Grosso", None, 1.0)], PRODUCTION_RECORD
+    )
+    assert rows(silver.production_rows(raw, state_codes=True)) == [(D(2015, 1, 1), "MT", 1.0)]
