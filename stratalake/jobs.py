@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from stratalake import schemas
+from stratalake.operators.aggregates import row_counts
 from stratalake.operators.grid import sample_grid
-from stratalake.operators.quality import append_absent
+from stratalake.operators.ordering import first_rows
+from stratalake.operators.quality import append_absent, split_rejects
 from stratalake.plans import bronze, gold, serve, silver
 from stratalake.session import build_session
 from stratalake.sinks import files, messages, tables
@@ -93,7 +95,9 @@ def load_production(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.option:
         tables.overwrite_jdbc(clean, {**args.option, "dbtable": args.table})
         return
-    tables.replace_table(clean, args.table, args.path).limit(5).show()
+    stored = tables.replace_table(clean, args.table, args.path)
+    row_counts(stored).show()
+    first_rows(stored).show()
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -129,7 +133,8 @@ def land(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def to_silver(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Bronze to silver as a stream; unreadable messages go to quarantine."""
+    """Bronze to silver as a stream. With --quarantine, messages that cannot be
+    read and records without their key go there as text, and not to silver."""
     job = SILVER[args.table]
     path = f"{args.bronze.rstrip('/')}/{args.glob}" if args.glob else args.bronze
     if args.landed:
@@ -138,23 +143,32 @@ def to_silver(spark: SparkSession, args: argparse.Namespace) -> None:
         )
     else:
         arriving = streams.text_stream(spark, path, args.max_files)
+    raw = silver.records(arriving, job.record)
     extra = {"state_codes": True} if args.state_codes else {}
-    rows = job.transform(silver.records(arriving, job.record), **extra)
-    if args.drop_replays_within:
-        rows = drop_replays_stream(rows, job.key, args.drop_replays_within)
-        rows = rows.drop("ingest_ts")
     interval = None if args.once else args.interval
-    layout = job.partition_by if args.partition_by is None else args.partition_by
-    running = [
-        start_append(rows, args.silver, args.checkpoint, layout, interval=interval)
-    ]
+    running = []
     if args.quarantine:
+        texts = job.transform(silver.with_text(raw), also=["value"], **extra)
+        rows, keyless = split_rejects(texts, job.key)
         bad = silver.unreadable_records(arriving, job.record)
         running.append(
             start_append(
-                bad, args.quarantine, f"{args.checkpoint}-quarantine", interval=interval
+                bad.unionByName(keyless.select("value")),
+                args.quarantine,
+                f"{args.checkpoint}-quarantine",
+                interval=interval,
             )
         )
+        rows = rows.drop("value")
+    else:
+        rows = job.transform(raw, **extra)
+    if args.drop_replays_within:
+        rows = drop_replays_stream(rows, job.key, args.drop_replays_within)
+        rows = rows.drop("ingest_ts")
+    layout = job.partition_by if args.partition_by is None else args.partition_by
+    running.append(
+        start_append(rows, args.silver, args.checkpoint, layout, interval=interval)
+    )
     for query in running:
         query.awaitTermination()
 

@@ -1,7 +1,12 @@
-"""Bronze to silver. Each function serves a batch and a stream alike."""
+"""Bronze to silver. Each function serves a batch and a stream alike.
+
+``also`` names raw columns that a silver row keeps, such as the record's text
+from :func:`with_text`, which a row without its key takes into quarantine.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -14,7 +19,7 @@ from stratalake.functions.dates import (
     month_label_date,
     price_timestamp,
 )
-from stratalake.functions.messages import parse_records
+from stratalake.functions.messages import parse_records, record_json
 from stratalake.functions.numbers import decimal_comma, numeric
 from stratalake.functions.states import state_code
 from stratalake.operators.packing import unpack
@@ -38,17 +43,19 @@ def clean_production_csv(csv: DataFrame) -> DataFrame:
     return drop_incomplete(parsed, ("data", "producao"))
 
 
-def climate(raw: DataFrame) -> DataFrame:
+def climate(raw: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     return raw.select(
         iso_date(F.col("date")).alias("data"),
         F.col("hub").alias("cidade"),
         F.col("state").alias("estado"),
         F.col("precipitation_mm").alias("precipitacao_mm"),
+        *also,
     )
 
 
 def prices(
     raw: DataFrame,
+    also: Sequence[str] = (),
     grouped: bool = False,
     fmt: str = PRICE_TIMESTAMP_FORMAT,
     dated: bool = False,
@@ -60,6 +67,7 @@ def prices(
     stamped = raw.select(
         price_timestamp(F.col("data"), fmt).alias("timestamp"),
         decimal_comma(F.col("último"), grouped).alias("preco"),
+        *also,
     )
     return stamped.withColumn("data", F.to_date("timestamp")) if dated else stamped
 
@@ -70,13 +78,22 @@ def records(messages: DataFrame, record: T.StructType) -> DataFrame:
     return unpack(messages.select(parsed.alias("registros")))
 
 
-def production_rows(raw: DataFrame, state_codes: bool = False) -> DataFrame:
+def with_text(raw: DataFrame, name: str = "value") -> DataFrame:
+    """Raw records with their JSON text beside them."""
+    fields = [F.col(f"`{field}`") for field in raw.columns]
+    return raw.withColumn(name, record_json(*fields))
+
+
+def production_rows(
+    raw: DataFrame, also: Sequence[str] = (), state_codes: bool = False
+) -> DataFrame:
     """``state_codes`` writes states as rain has them, for joins of the two."""
     state = F.col("unidade_federativa")
     return raw.select(
         iso_date(F.col("data")).alias("data"),
         (state_code(state) if state_codes else state).alias("estado"),
         "producao",
+        *also,
     )
 
 

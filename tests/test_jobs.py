@@ -34,13 +34,14 @@ def test_production_from_csv_to_series(spark, tmp_path, run, rows):
     # the table is sent twice, as by an hourly replay
     for _ in range(2):
         run("publish", "production", "--source", "carga", "--target", tmp_path / "bronze")
-    put(str(tmp_path / "bronze" / "2024" / "01" / "02" / "bad.json"), "junk")
+    keyless = '{"data":"2015-13-01","unidade_federativa":"Bahia","produto":null,"producao":7.0}'
+    put(str(tmp_path / "bronze" / "2024" / "01" / "02" / "bad.json"), "junk", keyless)
     run(
         "silver", "production", "--bronze", tmp_path / "bronze", "--silver", tmp_path / "silver",
         "--checkpoint", tmp_path / "cp", "--quarantine", tmp_path / "bad", "--once",
     )
     assert spark.read.parquet(str(tmp_path / "silver")).count() == 6
-    assert rows(spark.read.parquet(str(tmp_path / "bad"))) == [("junk",)]
+    assert rows(spark.read.parquet(str(tmp_path / "bad"))) == sorted([("junk",), (keyless,)])
     run("gold", "monthly-production", "--silver", tmp_path / "silver", "--gold", tmp_path / "gold")
     assert sorted(n for n in os.listdir(tmp_path / "gold") if "=" in n) == ["estado=Bahia", "estado=Piaui"]
     run("serve", "production-series", "--gold", tmp_path / "gold", "--to", tmp_path / "out")
