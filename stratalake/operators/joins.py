@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions.numbers import without_nan
+from stratalake.operators.sizing import settled
 
 
 def join_on_date(left: DataFrame, right: DataFrame, on: str = "data") -> DataFrame:
@@ -60,12 +61,11 @@ def joined_trend(summaries: DataFrame) -> DataFrame:
     """Least-squares line of the right value on the left one over the joined rows.
 
     Squares are taken about the overall means, which keeps the digits that raw
-    sums of squares would lose. A date without values on a side has no variance
-    and drops out. Both passes ask for the same columns of ``summaries``, so
-    the shuffles beneath it are made once and read twice.
+    sums of squares would lose. That takes two passes; the summaries, a row per
+    date, are settled first, so the tables beneath them are read once.
     """
-    known = F.col("x_var").isNotNull() & F.col("y_var").isNotNull()
-    used = summaries.filter(known).withColumn("w", F.col("x_n") * F.col("y_n"))
+    pairs = F.col("x_n") * F.col("y_n")
+    used = settled(summaries.withColumn("w", pairs).filter(F.col("w") > 0))
     centre = used.agg(
         F.sum("w").alias("w"),
         F.try_divide(F.sum(F.col("x_mean") * F.col("w")), F.sum("w")).alias("cx"),

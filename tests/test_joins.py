@@ -74,9 +74,26 @@ def test_trend_of_a_flat_line(spark):
 
 def test_summaries_do_not_pair_rows(spark):
     x, y = sample(spark, 5, 100, "x"), sample(spark, 6, 100, "y")
-    plan = joined_trend(date_summaries(x, "x", y, "y"))._jdf.queryExecution().toString()
-    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    summaries = date_summaries(x, "x", y, "y")
+    plan = summaries._jdf.queryExecution().toString()
     assert plan.count("partial_count") >= 2
+    for df in (summaries, joined_means(summaries, "a", "b"), joined_trend(summaries)):
+        plan = df._jdf.queryExecution().toString()
+        assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_trend_reads_its_tables_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def tick(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    x = sample(spark, 7, 90, "x").mapInArrow(tick, "data date, x double")
+    y = sample(spark, 8, 60, "y").mapInArrow(tick, "data date, y double")
+    assert joined_trend(date_summaries(x, "x", y, "y")).first().pontos > 0
+    assert reads.value == 150
 
 
 def test_bounds_distinct_counts(spark, rows):
