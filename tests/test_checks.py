@@ -5,16 +5,17 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from checks import all_queries, all_sql
 from checks.compare import spark_rows, sql_rows
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_matches_its_sql(spark, name):
-    df = contract.queries()[name](spark, SF_DIR)
-    assert spark_rows(df) == sql_rows(contract.oracle_sql()[name], SF_DIR)
+    df = all_queries()[name](spark, SF_DIR)
+    assert spark_rows(df) == sql_rows(all_sql()[name], SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
@@ -39,7 +40,7 @@ def test_entry_runs(spark):
     ],
 )
 def test_scans_are_pruned_and_filters_pushed(spark, name, parts):
-    df = contract.queries()[name](spark, SF_DIR)
+    df = all_queries()[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for part in parts:
         assert part in plan, part
