@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import chat, secrets, simhash
+from stratalake.llm import chat, secrets, simhash, toxicity
 from stratalake.llm.common import read
 from stratalake.llm.sql import SQL
 
@@ -34,6 +34,13 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.format_chat(turns))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned outside the held-out fold."""
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model)
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secrets.find_secrets(read(spark, sf_dir, "documents"))
