@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import chat, secrets, simhash, toxicity
+from stratalake.llm import chat, lines, secrets, simhash, toxicity
 from stratalake.llm.common import read
 from stratalake.llm.sql import SQL
 
@@ -21,6 +21,17 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the later copies of repeated runs of lines."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs, gone_col="_gone").select(
+        "doc_id",
+        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_deleted"),
+        F.coalesce(F.array_join("_gone", ","), F.lit("")).alias("deleted"),
+        "text",
+    )
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted and read back, with one of control strings."""
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
