@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import chat, lines, secrets, simhash, toxicity
+from stratalake.llm import chat, lines, secrets, simhash, sketches, toxicity
 from stratalake.llm.common import read
 from stratalake.llm.sql import SQL
 
@@ -21,6 +21,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every document and of its edit with the next document."""
+    return sketches.fingerprint_documents(read(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the later copies of repeated runs of lines."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
