@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import chat, lines, secrets, simhash, sketches, toxicity
+from stratalake.llm import chat, lines, mixing, secrets, simhash, sketches, toxicity
 from stratalake.llm.common import read
 from stratalake.llm.sql import SQL
 
@@ -26,6 +26,16 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.fingerprint_documents(read(spark, sf_dir, "documents"))
 
 
+# --- fixed values: how far the shares of each column are evened out --------------
+MIX_POWERS = {"source": 0.7, "lang": 0.8, "topic": 0.9}
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raked token weight and sampling decision of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    return mixing.sample_columns(mixing.mix(docs, MIX_POWERS), list(MIX_POWERS))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the later copies of repeated runs of lines."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")

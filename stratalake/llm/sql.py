@@ -27,3 +27,73 @@ SELECT conv_id,
        0::BIGINT AS attachment_tokens
 FROM shown GROUP BY conv_id
 """
+
+
+def _mixing(powers: dict[str, float], rounds: int) -> str:
+    """Raking by windows over the table of cells, a query per step."""
+    steps = []
+    last = "r0"
+    for i in range(rounds):
+        for dim, power in powers.items():
+            name = f"r{i}_{dim}"
+            steps.append(
+                f"{name} AS (SELECT source, lang, topic, tokens, goal_source, goal_lang, goal_topic,"
+                f" weight * goal_{dim} / sum(weight) OVER (PARTITION BY {dim}) AS weight FROM {last})"
+            )
+            last = name
+    goals = ", ".join(
+        f"pow(sum(tokens) OVER (PARTITION BY {dim}), {power}) AS p_{dim},"
+        f" row_number() OVER (PARTITION BY {dim} ORDER BY source, lang, topic) AS n_{dim}"
+        for dim, power in powers.items()
+    )
+    scaled = ", ".join(
+        f"p_{dim} / sum(p_{dim}) FILTER (WHERE n_{dim} = 1) OVER () * sum(tokens) OVER ()"
+        f" AS goal_{dim}"
+        for dim in powers
+    )
+    return (
+        r"""
+WITH sized AS (
+    SELECT doc_id, source, lang, coalesce(text, '') AS text, length(coalesce(text, '')) AS chars
+    FROM documents
+), docs AS (
+    SELECT doc_id, source, lang,
+           CASE WHEN chars < 200 THEN 'brief'
+                WHEN (chars - length(translate(text, '0123456789', ''))) * 100 >= chars * 2
+                THEN 'figures'
+                WHEN (chars - length(translate(text, '!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~', ''))) * 100
+                     >= chars * 8 THEN 'marked'
+                WHEN (chars - length(translate(text, chr(10), ''))) * 200 >= chars THEN 'lines'
+                ELSE 'prose' END AS topic,
+           len(regexp_extract_all(text, '[^\x09-\x0D\x20]+')) AS tokens,
+           ('0x' || substr(md5('mix:' || doc_id), 1, 8))::BIGINT / 4294967296.0 AS draw
+    FROM sized
+), cells AS (
+    SELECT source, lang, topic, sum(tokens)::BIGINT AS tokens FROM docs GROUP BY ALL
+), powered AS (
+    SELECT *, """
+        + goals
+        + """ FROM cells
+), r0 AS (
+    SELECT *, tokens::DOUBLE AS weight, """
+        + scaled
+        + """ FROM powered
+), """
+        + ", ".join(steps)
+        + f""", factors AS (
+    SELECT source, lang, topic, CASE WHEN tokens > 0 THEN weight / tokens END AS factor,
+           max(CASE WHEN tokens > 0 THEN weight / tokens END) OVER () AS most
+    FROM {last}
+)
+SELECT d.doc_id, d.source, d.lang, d.topic, d.tokens,
+       round(d.tokens * coalesce(factor, 0), 6) AS weight,
+       round(coalesce(factor / most, 1), 9) AS probability,
+       draw < coalesce(factor / most, 1) AS selected
+FROM docs d JOIN factors f
+  ON d.source IS NOT DISTINCT FROM f.source AND d.lang IS NOT DISTINCT FROM f.lang
+ AND d.topic = f.topic
+"""
+    )
+
+
+SQL["op3_mixing"] = _mixing({"source": 0.7, "lang": 0.8, "topic": 0.9}, 12)
