@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import chat, lines, mixing, secrets, simhash, sketches, toxicity
+from stratalake.llm import chat, knn, lines, mixing, secrets, simhash, sketches, toxicity
 from stratalake.llm.common import read
 from stratalake.llm.sql import SQL
 
@@ -36,6 +36,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sample_columns(mixing.mix(docs, MIX_POWERS), list(MIX_POWERS))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best matches of every twentieth vector among all vectors."""
+    return knn.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the later copies of repeated runs of lines."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")

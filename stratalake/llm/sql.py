@@ -97,3 +97,20 @@ FROM docs d JOIN factors f
 
 
 SQL["op3_mixing"] = _mixing({"source": 0.7, "lang": 0.8, "topic": 0.9}, 12)
+
+SQL["op4_topk"] = """
+WITH rows AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM rows q JOIN rows c ON c.vec_id IS DISTINCT FROM q.vec_id AND len(c.v) = len(q.v)
+    WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+    FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
