@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import chat, knn, lines, mixing, secrets, simhash, sketches, toxicity
+from stratalake.llm import chat, knn, lines, mixing, pieces, secrets, simhash, sketches, toxicity
 from stratalake.llm.common import read
 from stratalake.llm.sql import SQL
 
@@ -52,6 +52,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as ids of the public vocabulary, decoded again to compare."""
+    return pieces.encode_documents(read(spark, sf_dir, "documents"), pieces.share(spark))
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted and read back, with one of control strings."""
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
