@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,11 +10,13 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.sizing import settled
 
-__all__ = ["let", "list_texts", "map_texts", "read", "row_key", "settled", "union_all"]
+__all__ = ["held_out", "let", "list_texts", "map_texts", "read", "row_key", "settled"]
 
 # Stands for a null id in keys; ids of this value and null ids sort alike, first.
 NULL_ID = -(2**63)
 
+FOLDS, HELD_OUT = 4, 2
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -38,8 +39,10 @@ def row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
     )
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+def held_out(id_col: str) -> Column:
+    """The fold that labels are never learned from; a null id is in it."""
+    fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS
+    return F.coalesce(fold == HELD_OUT, F.lit(True))
 
 
 def list_texts(column: pa.Array, least: int = 256) -> Iterator[tuple[int, list[str]]]:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import chat, knn, lines, mixing, pieces, secrets, simhash, sketches, toxicity
+from stratalake.llm import chat, knn, lines, mixing, pieces, quality, secrets, simhash, sketches, toxicity
 from stratalake.llm.common import read
 from stratalake.llm.sql import SQL
 
@@ -57,6 +57,16 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(read(spark, sf_dir, "documents"), pieces.share(spark))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; its source is the host, its language the path."""
+    return quality.classify_quality(
+        read(spark, sf_dir, "documents"),
+        read(spark, sf_dir, "labels"),
+        F.col("source"),
+        F.col("lang"),
+    )
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted and read back, with one of control strings."""
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")

@@ -23,12 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import list_texts
+from stratalake.llm.common import held_out, list_texts
 
 WORDS = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5)
 MOST_WORDS = 3  # of one beginning, told apart
-FOLDS, HELD_OUT = 4, 2
 CUT = 0.3
 
 # Bounds of the training sample: rows in expectation, over the whole table alike.
@@ -156,12 +155,6 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
 
 
-def held_out(id_col: str) -> Column:
-    """The fold that labels are never learned from; a null id is in it."""
-    fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS
-    return F.coalesce(fold == HELD_OUT, F.lit(True))
-
-
 def _share(id_col: str, most: int, there: int) -> Column:
     """True for about ``most`` of ``there`` rows, by a hash of the id."""
     part = min(1.0, most / max(there, 1))
