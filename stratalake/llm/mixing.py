@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from stratalake.llm.common import settled
 from stratalake.operators.sizing import broadcast_within, measured_bytes
 
+# How far the shares of each column are evened out: 1 keeps them, 0 makes them equal.
+POWERS = {"source": 0.85, "lang": 0.9, "topic": 0.95}
 ROUNDS = 12
 ROUNDS_A_JOB = 4
 SALT = "mix"

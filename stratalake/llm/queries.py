@@ -26,14 +26,10 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.fingerprint_documents(read(spark, sf_dir, "documents"))
 
 
-# --- fixed values: how far the shares of each column are evened out --------------
-MIX_POWERS = {"source": 0.7, "lang": 0.8, "topic": 0.9}
-
-
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raked token weight and sampling decision of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    return mixing.sample_columns(mixing.mix(docs, MIX_POWERS), list(MIX_POWERS))
+    return mixing.sample_columns(mixing.mix(docs, mixing.POWERS), list(mixing.POWERS))
 
 
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from stratalake.llm.mixing import POWERS, ROUNDS
+
 SQL: dict[str, str] = {}
 
 SQL["op8_chat_formatting"] = r"""
@@ -96,7 +98,7 @@ FROM docs d JOIN factors f
     )
 
 
-SQL["op3_mixing"] = _mixing({"source": 0.7, "lang": 0.8, "topic": 0.9}, 12)
+SQL["op3_mixing"] = _mixing(POWERS, ROUNDS)
 
 SQL["op4_topk"] = """
 WITH rows AS (
