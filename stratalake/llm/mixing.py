@@ -116,6 +116,7 @@ def mix(
     powers: Mapping[str, float],
     targets: Mapping[str, DataFrame] | None = None,
     topic: Column | None = None,
+    tokens: Column | None = None,
     rounds: int = ROUNDS,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -124,7 +125,8 @@ def mix(
 
     ``powers`` names the columns to rake (``topic`` stands for ``topic``, by default
     :func:`topic_of`) and tempers each one's present shares; a table in ``targets``
-    takes the place of a power. Returns all columns of ``docs`` in struct ``_row``,
+    takes the place of a power. ``tokens`` is the token count, by default that of the
+    text; where both are given, the text isn't needed. Returns all columns of ``docs`` in struct ``_row``,
     ``_cell`` (the raked columns), ``tokens``, ``weight`` (a document's tokens after
     raking), ``probability`` and ``selected``.
 
@@ -140,7 +142,7 @@ def mix(
     told = docs.select(
         F.struct("*").alias("_row"),
         F.struct(*[of[d].alias(d) for d in dims]).alias("_cell"),
-        token_count(F.col(text_col)).alias("tokens"),
+        (token_count(F.col(text_col)) if tokens is None else tokens).alias("tokens"),
         uniform(id_col).alias("_draw"),
     )
     cells = settled(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import chat, knn, lines, mixing, pieces, quality, secrets, simhash, sketches, toxicity
-from stratalake.llm.common import read
+from stratalake.llm.common import read, settled
 from stratalake.llm.sql import SQL
 
 # --- fixed value: a conversation whose texts hold control strings ----------------
@@ -28,8 +28,15 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raked token weight and sampling decision of every document."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    return mixing.sample_columns(mixing.mix(docs, mixing.POWERS), list(mixing.POWERS))
+    text = F.col("text")
+    docs = read(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", mixing.topic_of(text).alias("topic"),
+        mixing.token_count(text).alias("tokens"),
+    )
+    mixed = mixing.mix(
+        settled(docs), mixing.POWERS, topic=F.col("topic"), tokens=F.col("tokens")
+    )
+    return mixing.sample_columns(mixed, list(mixing.POWERS))
 
 
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

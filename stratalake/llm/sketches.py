@@ -188,7 +188,7 @@ def fingerprint_documents(
         "_sketch": sketch(text, words, fraction),
     }
     rows = with_next(
-        docs, carry, {"_next_text": "_text", "_next_sketch": "_sketch"}, id_col
+        docs.select(id_col, text_col), carry, {"_next_text": "_text", "_next_sketch": "_sketch"}, id_col
     )
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("n_chars", F.length("_text").cast("long"))

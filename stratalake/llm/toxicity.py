@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import held_out, list_texts
+from stratalake.llm.common import held_out, list_texts, settled
 
 WORDS = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5)
@@ -155,10 +155,10 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
 
 
-def _share(id_col: str, most: int, there: int) -> Column:
-    """True for about ``most`` of ``there`` rows, by a hash of the id."""
+def _share(mark: str, most: int, there: int) -> Column:
+    """True for about ``most`` of ``there`` texts, by a hash of their mark."""
     part = min(1.0, most / max(there, 1))
-    return F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(1 << 30)) < int(part * (1 << 30))
+    return F.pmod(F.xxhash64(mark, F.lit("sample")), F.lit(1 << 30)) < int(part * (1 << 30))
 
 
 def fit_toxicity(
@@ -176,7 +176,7 @@ def fit_toxicity(
     The sample has about ``most_positive`` toxic and ``most_unlabelled`` other
     texts in expectation; every model takes all of the former and a share of the
     latter, whose labels it doesn't see. The class prior is the share of toxic
-    rows among all labelled ones. An id with several labels is toxic if one of
+    texts among all labelled ones. An id with several labels is toxic if one of
     them is; null labels and ids are passed over. Without toxic rows the model
     scores every text alike.
     """
@@ -186,20 +186,29 @@ def fit_toxicity(
         .groupBy(id_col)
         .agg(F.max(label_col).alias("_toxic"))
     )
-    n_all, n_toxic = known.agg(F.count("*"), F.sum((F.col("_toxic") > 0).cast("long"))).first()
+    texts = docs.filter(~held_out(id_col)).select(
+        F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text")
+    ).withColumn("_order", F.xxhash64("_text"))
+    # copies of a text count once, in the prior as in the sample
+    told = settled(
+        texts.select("_id", "_order")
+        .join(known, F.col("_id") == F.col(id_col))
+        .groupBy("_order")
+        .agg(F.max("_toxic").alias("_toxic"))
+    )
+    n_all, n_toxic = told.agg(F.count("*"), F.sum((F.col("_toxic") > 0).cast("long"))).first()
     prior = float(np.clip(((n_toxic or 0) + 0.5) / (n_all + 1), 1e-4, 0.5))
     if not n_toxic:
         return ToxicityModel(float(np.log(prior / (1 - prior))))
-    # bounded: about most_positive ids
+    # bounded: about most_positive rows
     chosen = F.broadcast(
-        known.filter("_toxic > 0").filter(_share(id_col, most_positive, n_toxic))
-        .select(id_col, F.lit(True).alias("_chosen"))
+        told.filter("_toxic > 0").filter(_share("_order", most_positive, n_toxic))
+        .select("_order", F.lit(True).alias("_chosen"))
     )
-    there = docs.filter(~held_out(id_col)).count()
-    texts = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("_text")).filter(~held_out(id_col))
+    there = texts.agg(F.approx_count_distinct("_order")).first()[0]
     sample = (
-        texts.join(chosen, id_col, "left")
-        .withColumn("_unl", _share(id_col, most_unlabelled, there))
+        texts.join(chosen, "_order", "left")
+        .withColumn("_unl", _share("_order", most_unlabelled, there))
         .filter("_chosen or _unl")
     )
 
@@ -212,11 +221,9 @@ def fit_toxicity(
                     [*kept, found], ["_order", "_chosen", "_unl", "features"]
                 )
 
-    order = F.xxhash64("_text")
     found = sample.select(
-        order.alias("_order"), F.coalesce("_chosen", F.lit(False)).alias("_chosen"), "_unl", "_text"
+        "_order", F.coalesce("_chosen", F.lit(False)).alias("_chosen"), "_unl", "_text"
     ).mapInArrow(extract, "_order long, _chosen boolean, _unl boolean, features array<string>")
-    # copies of a text count once
     found = found.groupBy("_order").agg(
         F.max("_chosen").alias("_chosen"),
         F.max("_unl").alias("_unl"),
