@@ -25,7 +25,7 @@ from stratalake.llm.common import list_texts
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-CACHED_SEGMENTS = 300_000
+CACHED_SEGMENTS = 150_000
 CACHED_LENGTH = 48
 
 

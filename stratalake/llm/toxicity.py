@@ -14,11 +14,10 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,12 +30,13 @@ MOST_WORDS = 3  # of one beginning, told apart
 CUT = 0.3
 
 # Bounds of the training sample: rows in expectation, over the whole table alike.
-MOST_POSITIVE = 4000
-MOST_UNLABELLED = 16000
+MOST_POSITIVE = 3000
+MOST_UNLABELLED = 12000
 MODELS = 2
 FEATURES = 1024
 LEAST_DOCUMENTS = 3
 PURITY = 0.35
+CHANCE = float(np.log(1e6))
 
 
 def features(text: str) -> set[str]:
@@ -83,53 +83,60 @@ def nnpu_fit(
 
 
 def choose_features(
-    pos: Sequence[list[str]], unl: Sequence[list[str]], prior: float, most: int
-) -> list[str]:
+    in_pos: np.ndarray, in_unl: np.ndarray, n_pos: int, n_unl: int, prior: float, most: int
+) -> np.ndarray:
     """Features that mark positive texts: telling, and not so by chance.
 
-    By Bayes' rule ``prior * share in positives / share in all`` estimates how many
-    texts with the feature are positive. Chance is bounded by the Chernoff bound on
-    the number of positives with it, against the number of features looked at.
+    From the number of texts of either kind with each feature. By Bayes' rule
+    ``prior * share in positives / share in all`` estimates how many texts with the
+    feature are positive. Chance is bounded by the Chernoff bound on the number of
+    positives with it, against the number of features looked at.
     """
-    in_pos, in_unl = Counter(), Counter()
-    for words in pos:
-        in_pos.update(words)
-    for words in unl:
-        in_unl.update(words)
-    least = np.log(1e6)
-    gain = {}
-    for word, n in in_pos.items():
-        if n < LEAST_DOCUMENTS:
-            continue
-        rate = min((in_unl[word] + 0.5) / (len(unl) + 1), 0.999)
-        share = n / len(pos)
-        if prior * share / rate < PURITY:
-            continue
-        bound = share * np.log(share / rate)
-        if share < 1:
-            bound += (1 - share) * np.log((1 - share) / (1 - rate))
-        if len(pos) * bound >= least:
-            gain[word] = bound
-    return sorted(gain, key=lambda word: (-gain[word], word))[:most]
-
-
-def _matrix(texts: Sequence[list[str]], names: list[str]) -> np.ndarray:
-    place = {name: i for i, name in enumerate(names)}
-    out = np.zeros((len(texts), len(names)), np.float32)
-    for i, words in enumerate(texts):
-        out[i, [place[w] for w in words if w in place]] = 1
-    return out
-
-
-def fit_group(frame: pd.DataFrame, prior: float, most: int = FEATURES) -> dict:
-    """One classifier from rows (positive, features)."""
-    frame = frame.sort_values("_order")
-    pos = [list(f) for f in frame.loc[frame["positive"], "features"]]
-    unl = [list(f) for f in frame.loc[~frame["positive"], "features"]]
-    names = choose_features(pos, unl, prior, most) if pos and unl else []
-    if not names:
-        return {"names": [], "weights": [], "bias": float(np.log(prior / (1 - prior)))}
-    w, b = nnpu_fit(_matrix(pos, names), _matrix(unl, names), prior)
+    rate = np.minimum((in_unl + 0.5) / (n_unl + 1), 0.999)
+    share = in_pos / n_pos
+    told = (in_pos >= LEAST_DOCUMENTS) & (prior * share >= PURITY * rate)
+    some = np.flatnonzero(told)
+    share, rate = share[some], rate[some]
+    rest = np.where(share < 1, (1 - share) * np.log(np.maximum(1 - share, 1e-12) / (1 - rate)), 0)
+    bound = share * np.log(share / rate) + rest
+    sure = n_pos * bound >= CHANCE
+    some, bound = some[sure], bound[sure]
+    return some[np.lexsort((some, -bound))][:most]
+
+
+def fit_group(table: pa.Table, prior: float, most: int = FEATURES) -> dict:
+    """One classifier from rows (_order, positive, features).
+
+    Features are coded as numbers at once; no row's words become Python objects.
+    """
+    table = table.sort_by("_order")
+    positive = np.asarray(table["positive"].to_numpy(zero_copy_only=False), bool)
+    lists = table["features"].combine_chunks()
+    if isinstance(lists, pa.ChunkedArray):
+        lists = pa.concat_arrays(lists.chunks)
+    coded = lists.flatten().dictionary_encode()
+    owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+    code = coded.indices.to_numpy()
+    n_pos, n_unl = int(positive.sum()), int((~positive).sum())
+    nothing = {"names": [], "weights": [], "bias": float(np.log(prior / (1 - prior)))}
+    if not n_pos or not n_unl or not len(code):
+        return nothing
+    of_pos = positive[owner]
+    words = len(coded.dictionary)
+    chosen = choose_features(
+        np.bincount(code[of_pos], minlength=words),
+        np.bincount(code[~of_pos], minlength=words),
+        n_pos, n_unl, prior, most,
+    )
+    if not len(chosen):
+        return nothing
+    place = np.full(words, -1)
+    place[chosen] = np.arange(len(chosen))
+    used = place[code] >= 0
+    x = np.zeros((len(lists), len(chosen)), np.float32)
+    x[owner[used], place[code[used]]] = 1
+    w, b = nnpu_fit(x[positive], x[~positive], prior)
+    names = coded.dictionary.take(pa.array(chosen)).to_pylist()
     return {"names": names, "weights": w.tolist(), "bias": b}
 
 
@@ -252,10 +259,14 @@ def fit_toxicity(
         "_order", "features", "_use.model", "_use.positive"
     )
 
-    def train(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([fit_group(frame, prior)])
+    made_of = pa.schema(
+        [("names", pa.list_(pa.string())), ("weights", pa.list_(pa.float64())), ("bias", pa.float64())]
+    )
+
+    def train(table: pa.Table) -> pa.Table:
+        return pa.Table.from_pylist([fit_group(table, prior)], made_of)
 
-    fitted = rows.groupBy("model").applyInPandas(
+    fitted = rows.groupBy("model").applyInArrow(
         train, "names array<string>, weights array<double>, bias double"
     )
     made = sorted(fitted.collect(), key=lambda r: r["bias"])  # one row per model

@@ -138,7 +138,7 @@ def test_parts_of_a_large_bucket_all_meet(spark):
         w[(i * 5) % 200] = f"x{i}"  # any two share 0.9 of their shingles
         rows.append((i, " ".join(w)))
     docs = spark.createDataFrame(rows, "_d long, text string").withColumn("_t", F.xxhash64("text"))
-    nodes = near._signatures(docs, 5, "text").select(F.col("_d").alias("fp"), "keys", "sig")
+    nodes = near._signatures(docs, 5, "text").select("_t", F.col("_d").alias("fp"), "keys", "sig")
     edges = near.near_links(nodes, bucket=7).collect()
     seen = {0}
     for _ in range(40):
