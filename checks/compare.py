@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -53,7 +54,9 @@ def main() -> int:
     args = sys.argv[1:]
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     names = args[1:] or list(all_queries())
-    spark = build_session("compare", "local[8]", 8, {"spark.ui.enabled": "false"})
+    work = tempfile.mkdtemp(prefix="compare-")
+    settings = {"spark.ui.enabled": "false", "spark.checkpoint.dir": work}
+    spark = build_session("compare", "local[8]", 8, settings)
     spark.sparkContext.setLogLevel("ERROR")
     failed = 0
     for name in names:

@@ -21,10 +21,10 @@ from stratalake.operators.grid import sample_grid
 from stratalake.operators.packing import pack, unpack
 from stratalake.operators.quality import append_absent, drop_incomplete, drop_replays
 from stratalake.plans import bronze, gold, silver
-from stratalake.schemas import CLIMATE_RECORD, PRICE_RECORD, PRODUCTION_RECORD
+from stratalake.schemas import CLIMATE_RECORD, HUBS, PRICE_RECORD, PRODUCTION_RECORD
 from stratalake.session import work_path
 from stratalake.sinks.files import append, overwrite
-from stratalake.sinks.messages import write_lines
+from stratalake.sinks.messages import send_in_order, write_lines
 from stratalake.sinks.tables import replace_table
 from stratalake.sources.files import (
     read_grid_years,
@@ -40,7 +40,8 @@ from stratalake.sources.streams import (
     text_stream,
 )
 from stratalake.sources.tables import read_table
-from stratalake.streaming import drop_replays_stream, run_to_end
+from stratalake.sources.dimensions import hubs as hub_table
+from stratalake.streaming import drop_replays_stream, run_to_end, start_append
 
 # --- parsing -----------------------------------------------------------------
 
@@ -82,10 +83,15 @@ def q_month_label(spark: SparkSession, sf_dir: str) -> DataFrame:
            strftime(o_orderdate, '%Y-%m-%d') AS texto
     FROM orders""")
 def q_dayfirst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day-first dates in six shapes, with short years and times of day among them."""
     date, status = F.col("o_orderdate"), F.col("o_orderstatus")
+    odd = F.col("o_orderkey") % 2 == 1
     text = (
-        F.when(status == "F", F.date_format(date, "dd/MM/yyyy"))
+        F.when((status == "F") & odd, F.date_format(date, "dd/MM/yy"))
+        .when(status == "F", F.date_format(date, "dd/MM/yyyy"))
+        .when((status == "O") & odd, F.date_format(date, "dd/MM/yyyy HH:mm"))
         .when(status == "O", F.date_format(date, "dd.MM.yyyy"))
+        .when(odd, F.date_format(date, "d/M/yy H:mm:ss"))
         .otherwise(F.date_format(date, "d-M-yyyy"))
     )
     parsed = table(spark, sf_dir, "orders").select("o_orderkey", day_first_date(text).alias("data"))
@@ -120,50 +126,74 @@ def q_clean_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
     SELECT make_date(CAST(2000 + year(l_shipdate) % 100 AS INTEGER),
                      CAST(month(l_shipdate) AS INTEGER), 1) AS data,
-           l_returnflag AS unidade_federativa, l_quantity AS producao
+           CASE WHEN l_linenumber % 3 = 0
+                THEN 'Ba "' || l_returnflag || '", ' || l_linestatus || ' y'
+                WHEN l_linenumber % 3 = 1 THEN l_returnflag || chr(10) || l_linestatus
+                ELSE l_returnflag END AS unidade_federativa,
+           l_quantity AS producao
     FROM lineitem WHERE {_GOOD_AMOUNT}""")
 def q_production_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A CSV with a header, read as text, checked and cleaned."""
+    """A CSV with a header, read as text, checked and cleaned. States hold doubled
+    quotes, commas and line breaks."""
     path = work_path(spark, "production-csv")
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    state = (
+        F.when(
+            F.col("l_linenumber") % 3 == 0,
+            F.concat(F.lit('Ba "'), flag, F.lit('", '), status, F.lit(" y")),
+        )
+        .when(F.col("l_linenumber") % 3 == 1, F.concat(flag, F.lit("\n"), status))
+        .otherwise(flag)
+    )
     table(spark, sf_dir, "lineitem").select(
         month_label(F.col("l_shipdate")).alias("data"),
-        F.col("l_returnflag").alias("unidade_federativa"),
+        state.alias("unidade_federativa"),
         _amount_text().alias("producao"),
-    ).write.option("header", True).csv(path)
-    return silver.clean_production_csv(read_production_csv(spark, path))
+    ).write.option("header", True).option("escape", '"').csv(path)
+    return silver.clean_production_csv(read_production_csv(spark, path, multi_line=True))
 
 
 # --- packing -----------------------------------------------------------------
 
 
-def _packed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _packed_events(spark: SparkSession, sf_dir: str, parts: int) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         F.to_date("ts").alias("data"), "event_id", "event_type", "value"
     )
-    return pack(events, ["data"], unique_on=["event_id"], max_records=250)
+    return pack(events, ["data"], unique_on=["event_id"], parts=parts)
 
 
 @query("""
     SELECT CAST(ts AS DATE) AS data, event_id, event_type, value FROM events""")
 def q_pack_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = _packed_events(spark, sf_dir)
-    text = packed.select(records_json("registros").alias("value"))
-    record = packed.schema["registros"].dataType.elementType
-    return unpack(text.select(parse_records("value", record).alias("registros")))
+    """A day a message and four parts a day, half of the events each."""
+    back = []
+    for parts in (1, 4):
+        packed = _packed_events(spark, sf_dir, parts)
+        record = packed.schema["registros"].dataType.elementType
+        text = packed.select(
+            "data", "parte", "partes", "linhas", records_json("registros").alias("value")
+        )
+        again = text.withColumn("registros", parse_records("value", record))
+        back.append(
+            unpack(again, complete_by=["data"]).filter(F.col("event_id") % 2 == int(parts == 1))
+        )
+    return back[0].unionByName(back[1])
 
 
 @query("""
-    SELECT CAST(ts AS DATE) AS data, COUNT(*) AS linhas,
-           CAST(greatest(1, ceil(COUNT(*) / 250.0)) AS BIGINT) AS partes
+    SELECT CAST(ts AS DATE) AS data, COUNT(*) AS linhas, 3::BIGINT AS partes,
+           3::BIGINT AS mensagens
     FROM events GROUP BY ALL""")
 def q_pack_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of each packed day and the number of messages planned for it."""
+    """Rows of each packed day, and its messages: as many for every day."""
     return (
-        _packed_events(spark, sf_dir)
+        _packed_events(spark, sf_dir, 3)
         .groupBy("data")
         .agg(
-            F.sum(F.size("registros")).alias("linhas"),
+            F.sum("linhas").alias("linhas"),
             F.max("partes").alias("partes"),
+            F.count(F.lit(1)).alias("mensagens"),
         )
     )
 
@@ -172,13 +202,13 @@ def q_pack_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT l_returnflag AS estado, l_linestatus AS situacao, l_quantity AS producao
     FROM lineitem""")
 def q_pack_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows without a key, nearly all of them copies."""
+    """Rows without a key, nearly all of them copies, dealt out in turn."""
     rows = table(spark, sf_dir, "lineitem").select(
         F.col("l_returnflag").alias("estado"),
         F.col("l_linestatus").alias("situacao"),
         F.col("l_quantity").alias("producao"),
     )
-    return unpack(pack(rows, ["estado"], max_records=200))
+    return unpack(pack(rows, ["estado"], parts=50), complete_by=["estado"])
 
 
 # --- bronze and streams ------------------------------------------------------
@@ -190,26 +220,26 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parquet_stream(spark, f"{sf_dir}/events*.parquet", schema)
 
 
-def _run(df: DataFrame, label: str, partition_by=(), fmt="parquet") -> str:
+def _run(df: DataFrame, label: str, partition_by=(), fmt="parquet", gather=True) -> str:
     path = work_path(df.sparkSession, label)
-    run_to_end(df, path, f"{path}-checkpoint", partition_by, fmt)
+    run_to_end(df, path, f"{path}-checkpoint", partition_by, fmt, gather)
     return path
 
 
 @query("""
     SELECT strftime(ts, '%Y') AS ano, strftime(ts, '%m') AS mes, strftime(ts, '%d') AS dia,
-           COUNT(*) AS mensagens, CAST(SUM(strlen(props)) AS BIGINT) AS bytes,
+           COUNT(*) AS mensagens, CAST(SUM(strlen(props) + 1) AS BIGINT) AS bytes,
            MIN(event_id) AS primeira, MAX(event_id) AS ultima
     FROM events GROUP BY ALL""")
 def q_land_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payloads captured as they are, by day of arrival, with their offsets."""
+    """Payloads captured as they are, line breaks too, by day of arrival."""
     messages = _event_stream(spark, sf_dir).select(
-        F.col("props").cast("binary").alias("value"),
+        F.concat(F.lit("\n"), "props").cast("binary").alias("value"),
         F.col("event_id").alias("offset"),
         F.col("ts").alias("timestamp"),
     )
     kept = bronze.landed(messages, arrived=F.col("timestamp"))
-    path = _run(kept, "bronze", bronze.INGEST_PARTS)
+    path = _run(kept, "bronze", bronze.INGEST_PARTS, gather=False)
     year, month, day = [F.date_format("timestamp", fmt) for fmt in ("yyyy", "MM", "dd")]
     return (
         read_parquet(spark, path)
@@ -223,14 +253,27 @@ def q_land_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT props AS value FROM events")
+@query("""
+    SELECT CASE WHEN event_type = 'error' THEN props || chr(10) ELSE props END AS value,
+           event_type <> 'error' AS em_texto
+    FROM events""")
 def q_land_bronze_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text bronze, read back through the glob of its directory levels."""
-    messages = _event_stream(spark, sf_dir).select(F.col("props").alias("value"), "ts")
+    """Text bronze, read back through the glob of its directory levels. Payloads
+    that hold a line break are refused by it and land as Parquet."""
+    broken = F.when(F.col("event_type") == "error", F.concat("props", F.lit("\n")))
+    messages = _event_stream(spark, sf_dir).select(
+        F.coalesce(broken, "props").alias("value"), "ts"
+    )
     kept = bronze.landed(messages, arrived=F.col("ts"), as_text=True)
-    path = _run(kept, "bronze-text", bronze.INGEST_PARTS, "text")
-    silver_path = _run(text_stream(spark, f"{path}/{BRONZE_GLOB}"), "lines")
-    return read_parquet(spark, silver_path).select("value")
+    path = _run(kept, "bronze-text", bronze.INGEST_PARTS, "text", gather=False)
+    lines = _run(text_stream(spark, f"{path}/{BRONZE_GLOB}"), "lines")
+    refused = bronze.landed(bronze.not_text(messages), arrived=F.col("ts"))
+    other = _run(refused, "bronze-refused", bronze.INGEST_PARTS, gather=False)
+    both = [
+        read_parquet(spark, p).select("value", F.lit(as_text).alias("em_texto"))
+        for p, as_text in ((lines, True), (other, False))
+    ]
+    return both[0].unionByName(both[1])
 
 
 @query("""
@@ -294,40 +337,72 @@ def q_stream_silver_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT substr(props, 1, length(props) - 1) AS value FROM events
-    WHERE event_type = 'error'""")
+    SELECT CASE WHEN event_id % 5 = 0 THEN substr(props, 1, length(props) - 1)
+                WHEN event_id % 5 = 1 THEN '{"data":"2015-01-01","producao":"12,5","n":' || event_id || '}'
+                WHEN event_id % 5 = 2 THEN '{"data":"2015-13-01","producao":1.5,"n":' || event_id || '}'
+           END AS value
+    FROM events WHERE event_id % 5 < 3""")
 def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages cut short go to quarantine with their text."""
-    cut = F.col("props").substr(F.lit(1), F.length("props") - 1)
-    value = F.when(F.col("event_type") == "error", cut).otherwise(F.col("props"))
+    """Messages cut short, with a number or a date that does not parse: each goes to
+    quarantine as it was sent. Good ones and a JSON null do not."""
+    number = F.col("event_id").cast("string")
+    kind = F.col("event_id") % 5
+
+    def sent(start: str) -> Column:
+        return F.concat(F.lit(start), number, F.lit("}"))
+
+    value = (
+        F.when(kind == 0, F.col("props").substr(F.lit(1), F.length("props") - 1))
+        .when(kind == 1, sent('{"data":"2015-01-01","producao":"12,5","n":'))
+        .when(kind == 2, sent('{"data":"2015-13-01","producao":1.5,"n":'))
+        .when(kind == 3, sent('{"data":"2015-01-01","producao":null,"n":'))
+        .otherwise(sent('{"data":"2015-01-01","producao":1.5,"n":'))
+    )
     messages = _event_stream(spark, sf_dir).select(value.alias("value"))
-    unreadable = silver.unreadable_records(messages, PRODUCTION_RECORD)
-    return read_parquet(spark, _run(unreadable, "quarantine"))
+    raw = silver.checked_records(messages, PRODUCTION_RECORD)
+    rows = silver.production_rows(raw, also=["value", "_texts"])
+    bad = silver.rejected({"data": "data", "producao": "producao"}, ["data"])
+    return read_parquet(spark, _run(rows.filter(bad).select("value"), "quarantine"))
 
 
 @query("""
-    SELECT year(o_orderdate)::VARCHAR AS data, o_orderkey::VARCHAR AS cidade,
-           o_orderstatus AS estado, o_totalprice AS precipitacao_mm
-    FROM orders""")
+    SELECT (dense_rank() OVER (ORDER BY date_trunc('month', o_orderdate)) - 1)::BIGINT AS lote,
+           strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS data,
+           o_orderkey::VARCHAR AS cidade, o_orderstatus AS estado,
+           o_totalprice AS precipitacao_mm
+    FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)""")
 def q_replay_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A message file per year, each taken by a micro-batch of its own."""
-    records = table(spark, sf_dir, "orders").select(
-        F.year("o_orderdate").cast("string").alias("date"),
+    """The last year's orders, sent month by month in order of date: each arrives in
+    a micro-batch of its own, whose number comes back with it."""
+    orders = table(spark, sf_dir, "orders")
+    last = orders.select(F.max(F.year("o_orderdate")).alias("ultimo"))
+    records = orders.join(F.broadcast(last), F.year("o_orderdate") == F.col("ultimo")).select(
+        date_text(F.trunc("o_orderdate", "month")).alias("date"),
         F.col("o_orderkey").cast("string").alias("hub"),
         F.col("o_orderstatus").alias("state"),
         F.col("o_totalprice").alias("precipitation_mm"),
     )
-    source = work_path(spark, "feed")
-    write_lines(
-        bronze.day_messages(records, "date", unique_on=["hub"], max_records=50_000), source
-    )
-    feed = replay_feed(spark, source, CLIMATE_RECORD).select(
-        F.col("date").alias("data"),
-        F.col("hub").alias("cidade"),
-        F.col("state").alias("estado"),
-        F.col("precipitation_mm").alias("precipitacao_mm"),
-    )
-    return read_parquet(spark, _run(feed, "feed-silver"))
+    source, target = work_path(spark, "feed"), work_path(spark, "feed-silver")
+
+    def take(batch: DataFrame, number: int) -> None:
+        # a batch that is tried again writes the same folder again
+        batch.write.mode("overwrite").parquet(f"{target}/lote={number}")
+
+    def arrive(_: str) -> None:
+        rows = silver.climate(replay_feed(spark, source, CLIMATE_RECORD), also=["date"])
+        query = (
+            rows.writeStream.foreachBatch(take)
+            .option("checkpointLocation", f"{target}-checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+
+    send_in_order(bronze.day_messages(records, "date", unique_on=["hub"]), source, arrive)
+    return read_parquet(spark, target).select(
+        F.col("lote").cast("long").alias("lote"), F.col("date").alias("data"), "cidade",
+        "estado", "precipitacao_mm",
+    )
 
 
 # --- replays and keys --------------------------------------------------------
@@ -350,6 +425,23 @@ def q_replay_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.monthly_production(twice, unique_on=["event_id"], scale=2)
 
 
+@query("""
+    SELECT DISTINCT o_orderdate AS "timestamp", o_totalprice + extra AS preco,
+           CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey END AS chave
+    FROM orders, (VALUES (0), (1)) AS v(extra)""")
+def q_replay_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders sent twice, each with a second price at its instant, some without a
+    key: equal rows go, every different one stays."""
+    sent = table(spark, sf_dir, "orders").select(
+        F.col("o_orderdate").alias("timestamp"),
+        F.col("o_totalprice").alias("preco"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("chave"),
+    )
+    second = sent.withColumn("preco", F.col("preco") + 1)
+    once = sent.unionByName(second)
+    return drop_replays(once.unionByName(once), ["timestamp", "chave"])
+
+
 @query("SELECT event_id, event_type AS estado, value AS producao FROM events")
 def q_replay_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events in one run and again in the next; the second adds nothing."""
@@ -360,7 +452,7 @@ def q_replay_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         append(sent, source)
         stream = parquet_stream(spark, source, sent.schema)
-        once = drop_replays_stream(stream, ["event_id"]).drop("ingest_ts")
+        once = drop_replays_stream(stream).drop("ingest_ts")
         run_to_end(once, target, f"{target}-checkpoint")
     return read_parquet(spark, target)
 
@@ -457,9 +549,10 @@ def q_replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
             PARTITION BY s_suppkey ORDER BY abs(longitude - lon), longitude) = 1)
     SELECT s_suppkey, lat, lon, cell_lat, cell_lon, pecas, ultima
     FROM hubs JOIN near_lat USING (s_suppkey) JOIN near_lon USING (s_suppkey)
-         JOIN cells ON latitude = cell_lat AND longitude = cell_lon""")
+         LEFT JOIN cells ON latitude = cell_lat AND longitude = cell_lon""")
 def q_nearest_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts as grid cells, suppliers as points, halfway points among them."""
+    """Parts as grid cells, suppliers as points, halfway points among them. Every
+    supplier comes out, with nulls where the grid has no row at its cell."""
     cells = (
         table(spark, sf_dir, "part")
         .groupBy(
@@ -473,7 +566,7 @@ def q_nearest_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("s_nationkey") * 2 + 0.5).cast("double").alias("lat"),
         (900 + F.col("s_acctbal") / 100).alias("lon"),
     )
-    found = sample_grid(cells, hubs)
+    found = sample_grid(cells, hubs, keep_unmatched=True)
     return found.select(
         "s_suppkey", "lat", "lon", "cell_lat", "cell_lon", "pecas", "ultima"
     )
@@ -529,3 +622,94 @@ def q_grid_years(spark: SparkSession, sf_dir: str) -> DataFrame:
         "s_suppkey",
         F.col("precip").alias("precipitation_mm"),
     )
+
+
+@query("""
+    WITH grid AS (
+        SELECT CAST(l_shipdate AS DATE) AS data, -l_linenumber::DOUBLE * 4 AS latitude,
+               -40 - (l_suppkey % 20)::DOUBLE AS longitude, SUM(l_quantity) AS precip
+        FROM lineitem GROUP BY ALL),
+    hubs AS (
+        SELECT hub, state, lat::DOUBLE AS lat, lon::DOUBLE AS lon
+        FROM (VALUES HUBS) AS v(hub, state, cultura, lat, lon)),
+    near_lat AS (
+        SELECT hub, latitude FROM hubs, (SELECT DISTINCT latitude FROM grid)
+        QUALIFY row_number() OVER (PARTITION BY hub ORDER BY abs(latitude - lat), latitude) = 1),
+    near_lon AS (
+        SELECT hub, longitude FROM hubs, (SELECT DISTINCT longitude FROM grid)
+        QUALIFY row_number() OVER (PARTITION BY hub ORDER BY abs(longitude - lon), longitude) = 1)
+    SELECT strftime(data, '%Y-%m-%d') AS date, hub, state, lat AS latitude, lon AS longitude,
+           precip AS precipitation_mm
+    FROM hubs JOIN near_lat USING (hub) JOIN near_lon USING (hub)
+         JOIN grid USING (latitude, longitude)""".replace("HUBS", ", ".join(map(str, HUBS))))
+def q_station_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hubs' rows of a daily grid, with its axes given."""
+    grid = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy(
+            F.to_date("l_shipdate").alias("date"),
+            (-F.col("l_linenumber").cast("double") * 4).alias("latitude"),
+            (-40 - (F.col("l_suppkey") % 20).cast("double")).alias("longitude"),
+        )
+        .agg(F.sum("l_quantity").alias("precip"))
+    )
+    axes = grid.select("latitude", "longitude").distinct()
+    return silver.station_rows(sample_grid(grid, hub_table(spark), axes=axes))
+
+
+# --- sources and runs ---------------------------------------------------------
+
+
+@query("""
+    SELECT strftime(ts, '%Y-%m-%d') AS date, event_id::VARCHAR AS hub,
+           CASE WHEN event_id % 7 = 0 THEN 'nan'::DOUBLE ELSE value END AS precipitation_mm
+    FROM events""")
+def q_json_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines with NaN tokens through the JSON source."""
+    amount = F.when(F.col("event_id") % 7 == 0, F.lit("NaN")).otherwise(F.to_json(F.struct("value")))
+    number = F.regexp_replace(amount, '^\\{"value":|\\}$', "")
+    line = F.format_string(
+        '{"date":"%s","hub":"%s","precipitation_mm":%s}',
+        F.date_format("ts", "yyyy-MM-dd"), F.col("event_id").cast("string"), number,
+    )
+    source = work_path(spark, "nan-messages")
+    write_lines(table(spark, sf_dir, "events").select(line.alias("value")), source)
+    raw = json_stream(spark, source, CLIMATE_RECORD).select("date", "hub", "precipitation_mm")
+    return read_parquet(spark, _run(raw, "nan-silver"))
+
+
+@query("""
+    SELECT o_orderkey, o_totalprice FROM orders""")
+def q_interval_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query that runs on an interval: two deliveries, each awaited, then a stop."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    source, target = work_path(spark, "interval"), work_path(spark, "interval-silver")
+    halves = [orders.filter(F.col("o_orderkey") % 2 == half) for half in (0, 1)]
+    append(halves[0], source)
+    arriving = parquet_stream(spark, source, orders.schema)
+    query = start_append(arriving, target, f"{target}-checkpoint", interval="1 second")
+    try:
+        query.processAllAvailable()
+        append(halves[1], source)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return read_parquet(spark, target)
+
+
+@query("SELECT event_id, value FROM events")
+def q_stray_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A streamed table with copies of its rows in files that no batch committed."""
+    events = _event_stream(spark, sf_dir).select("event_id", "value")
+    path = _run(events, "committed")
+    append(read_parquet(spark, path), f"{path}-stray")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    stray, home = hadoop.Path(f"{path}-stray"), hadoop.Path(path)
+    system = stray.getFileSystem(conf)
+    for status in system.listStatus(stray):
+        if status.getPath().getName().endswith(".parquet"):
+            spark._jvm.org.apache.hadoop.fs.FileUtil.copy(
+                system, status.getPath(), system, home, False, conf
+            )
+    return read_parquet(spark, path)

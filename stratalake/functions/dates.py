@@ -14,6 +14,10 @@ MONTH_LABELS = [
     "jan", "fev", "mar", "abr", "mai", "jun", "jul", "ago", "set", "out", "nov", "dez",
 ]
 DAY_FIRST_FORMATS = ("d/M/yyyy", "d.M.yyyy", "d-M-yyyy", "yyyy-M-d")
+SHORT_YEAR_FORMATS = ("d/M/yy", "d.M.yy", "d-M-yy")
+# Two-digit years from here on are of the last century.
+CENTURY_PIVOT = 69
+TIME_OF_DAY = r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*$"
 
 
 def month_label_date(label: Column) -> Column:
@@ -37,8 +41,16 @@ def month_label(date: Column) -> Column:
 
 
 def day_first_date(text: Column, formats: Sequence[str] = DAY_FIRST_FORMATS) -> Column:
-    """Date from day-first text; the first format that fits wins."""
-    return F.coalesce(*[F.try_to_date(text, fmt) for fmt in formats])
+    """Date from day-first text; the first format that fits wins.
+
+    A time of day after the date is left out. A year of two digits is 1969 to
+    1999 from 69 on and 2000 to 2068 below.
+    """
+    day = F.trim(F.regexp_replace(text, TIME_OF_DAY, ""))
+    full = [F.try_to_date(day, fmt) for fmt in formats]
+    short = F.coalesce(*[F.try_to_date(day, fmt) for fmt in SHORT_YEAR_FORMATS])
+    last = F.when(F.year(short) % 100 >= CENTURY_PIVOT, F.add_months(short, -1200))
+    return F.coalesce(*full, last, short)
 
 
 def iso_date(text: Column) -> Column:

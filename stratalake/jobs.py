@@ -13,13 +13,14 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake import schemas
 from stratalake.operators.aggregates import row_counts
 from stratalake.operators.grid import sample_grid
 from stratalake.operators.ordering import first_rows
-from stratalake.operators.quality import append_absent, split_rejects
+from stratalake.operators.quality import append_absent
 from stratalake.plans import bronze, gold, serve, silver
 from stratalake.session import build_session
 from stratalake.sinks import files, messages, tables
@@ -35,6 +36,7 @@ class SilverJob:
     record: T.StructType
     transform: Callable[..., DataFrame]
     key: tuple[str, ...]
+    fields: dict[str, str]  # silver column to the record's field
     partition_by: tuple[str, ...] = ()
 
 
@@ -47,17 +49,24 @@ class GoldJob:
 
 
 SILVER = {
-    "climate": SilverJob(schemas.CLIMATE_RECORD, silver.climate, schemas.CLIMATE_KEY),
+    "climate": SilverJob(
+        schemas.CLIMATE_RECORD,
+        silver.climate,
+        schemas.CLIMATE_KEY,
+        {"data": "date", "precipitacao_mm": "precipitation_mm"},
+    ),
     "prices": SilverJob(
         schemas.PRICE_RECORD,
         partial(silver.prices, dated=True),
         schemas.PRICE_KEY,
+        {"timestamp": "data", "preco": "último"},
         ("data",),
     ),
     "production": SilverJob(
         schemas.PRODUCTION_RECORD,
         silver.production_rows,
         schemas.PRODUCTION_KEY,
+        {"data": "data", "producao": "producao"},
         ("data",),
     ),
 }
@@ -111,30 +120,50 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
         else:
             source = table_sources.read_table(spark, args.source)
         pack = {"climate": bronze.climate_messages, "production": bronze.production_messages}
-        sent = pack[args.feed](source)
+        sent = pack[args.feed](source, parts=args.parts, ordered=True)
     if args.servers:
         messages.publish(sent, args.servers, args.target)
+    elif args.parts > 1:
+        messages.write_table(sent, args.target)
     else:
         messages.write_lines(sent, args.target)
 
 
 def land(spark: SparkSession, args: argparse.Namespace) -> None:
-    """A topic to bronze, payloads unchanged."""
+    """A topic to bronze, payloads unchanged. What text cannot hold goes to
+    --quarantine as Parquet, which --as-text therefore needs."""
+    if args.as_text and not args.quarantine:
+        raise SystemExit("--as-text needs --quarantine")
     arriving = streams.kafka_stream(spark, args.servers, args.topic, **args.option)
-    query = start_append(
-        bronze.landed(arriving, as_text=args.as_text),
-        args.bronze,
-        args.checkpoint,
-        bronze.INGEST_PARTS,
-        "text" if args.as_text else "parquet",
-        None if args.once else args.interval,
-    )
-    query.awaitTermination()
+    interval = None if args.once else args.interval
+    # the source's partitions bound the files, so nothing is shuffled
+    running = [
+        start_append(
+            bronze.landed(arriving, as_text=args.as_text),
+            args.bronze,
+            args.checkpoint,
+            bronze.INGEST_PARTS,
+            "text" if args.as_text else "parquet",
+            interval,
+            gather=False,
+        )
+    ]
+    if args.as_text:
+        refused = bronze.landed(bronze.not_text(arriving))
+        running.append(
+            start_append(
+                refused, args.quarantine, f"{args.checkpoint}-quarantine",
+                bronze.INGEST_PARTS, interval=interval, gather=False,
+            )
+        )
+    for query in running:
+        query.awaitTermination()
 
 
 def to_silver(spark: SparkSession, args: argparse.Namespace) -> None:
     """Bronze to silver as a stream. With --quarantine, messages that cannot be
-    read and records without their key go there as text, and not to silver."""
+    read, and those of records with a bad value or without their key, go there as
+    they were sent, and the records not to silver."""
     job = SILVER[args.table]
     path = f"{args.bronze.rstrip('/')}/{args.glob}" if args.glob else args.bronze
     if args.landed:
@@ -143,31 +172,34 @@ def to_silver(spark: SparkSession, args: argparse.Namespace) -> None:
         )
     else:
         arriving = streams.text_stream(spark, path, args.max_files)
-    raw = silver.records(arriving, job.record)
     extra = {"state_codes": True} if args.state_codes else {}
     interval = None if args.once else args.interval
     running = []
     if args.quarantine:
-        texts = job.transform(silver.with_text(raw), also=["value"], **extra)
-        rows, keyless = split_rejects(texts, job.key)
-        bad = silver.unreadable_records(arriving, job.record)
+        raw = silver.checked_records(arriving, job.record)
+        checked = job.transform(raw, also=["value", "_texts"], **extra)
+        bad = silver.rejected(job.fields, job.key)
         running.append(
             start_append(
-                bad.unionByName(keyless.select("value")),
+                checked.filter(bad).select("value"),
                 args.quarantine,
                 f"{args.checkpoint}-quarantine",
                 interval=interval,
             )
         )
-        rows = rows.drop("value")
+        rows = checked.filter(~bad).drop("value", "_texts")
     else:
-        rows = job.transform(raw, **extra)
+        rows = job.transform(silver.records(arriving, job.record), **extra)
     if args.drop_replays_within:
-        rows = drop_replays_stream(rows, job.key, args.drop_replays_within)
-        rows = rows.drop("ingest_ts")
+        rows = drop_replays_stream(rows, args.drop_replays_within)
+        rows = rows if args.keep_ingest else rows.drop("ingest_ts")
+    elif args.keep_ingest:
+        rows = rows.withColumn("ingest_ts", F.current_timestamp())
     layout = job.partition_by if args.partition_by is None else args.partition_by
     running.append(
-        start_append(rows, args.silver, args.checkpoint, layout, interval=interval)
+        start_append(
+            rows, args.silver, args.checkpoint, layout, interval=interval, spread=args.spread
+        )
     )
     for query in running:
         query.awaitTermination()
@@ -176,7 +208,11 @@ def to_silver(spark: SparkSession, args: argparse.Namespace) -> None:
 def to_gold(spark: SparkSession, args: argparse.Namespace) -> None:
     """Silver to a gold table: files, and a database table fed from those files."""
     job = GOLD[args.table]
-    built = job.build(file_sources.read_parquet(spark, args.silver), unique_on=job.key)
+    built = job.build(
+        file_sources.read_parquet(spark, args.silver),
+        unique_on=job.key,
+        newest_by=args.newest_by,
+    )
     stored = files.overwrite(built, args.gold, args.format, job.partition_by)
     stored.orderBy(*job.order).show()
     if args.option:
@@ -185,10 +221,15 @@ def to_gold(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def load_rain(spark: SparkSession, args: argparse.Namespace) -> None:
     """Yearly grids sampled at the hubs and appended under the key (date, hub)."""
+    years = range(args.years[0], args.years[1] + 1)
     grid = file_sources.read_grid_years(
-        spark, lambda year: args.grid.format(year=year), schemas.GRID_YEARS
+        spark, lambda year: args.grid.format(year=year), years
     )
-    found = sample_grid(grid, dimensions.hubs(spark), years=schemas.GRID_YEARS)
+    axes = file_sources.read_parquet(spark, args.axes) if args.axes else None
+    if axes is not None:
+        every = F.explode(F.array(*map(F.lit, years))).alias("ano")
+        axes = axes.select("latitude", "longitude", every)
+    found = sample_grid(grid, dimensions.hubs(spark), years=years, axes=axes)
     rows = silver.station_rows(found)
     if args.first_load:
         files.append(rows.dropDuplicates(list(schemas.CLIMATE_TABLE_KEY)), args.table_path)
@@ -198,7 +239,8 @@ def load_rain(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def answer(spark: SparkSession, args: argparse.Namespace) -> None:
-    """A serving query over gold files: shown, or written to ``--to``."""
+    """A serving query over gold files, written whole to ``--to``. ``--preview``
+    also shows its first rows."""
 
     def read(path: str) -> DataFrame:
         return spark.read.format(args.format).load(path)
@@ -214,10 +256,9 @@ def answer(spark: SparkSession, args: argparse.Namespace) -> None:
             *map(read, args.gold), args.state, args.first, args.last
         )
         result = RELATION[args.query](relation)
-    if args.to:
-        result.write.mode("overwrite").format(args.format).save(args.to)
-    else:
-        result.show(args.rows, truncate=False)
+    result.write.mode("overwrite").format(args.format).save(args.to)
+    if args.preview:
+        read(args.to).show(args.preview, truncate=False)
 
 
 def _pair(text: str) -> tuple[str, str]:
@@ -254,12 +295,17 @@ def parser() -> argparse.ArgumentParser:
     send.add_argument("--target", required=True, help="topic, or path without --servers")
     send.add_argument("--servers")
     send.add_argument("--newest-first", action="store_true")
+    send.add_argument(
+        "--parts", type=int, default=1,
+        help="messages per date; several go to files as Parquet, with their numbers",
+    )
 
     capture = command(land, "land")
     streaming(capture)
     capture.add_argument("--servers", required=True)
     capture.add_argument("--topic", required=True)
     capture.add_argument("--as-text", action="store_true")
+    capture.add_argument("--quarantine")
 
     refine = command(to_silver, "silver")
     refine.add_argument("table", choices=sorted(SILVER))
@@ -272,17 +318,25 @@ def parser() -> argparse.ArgumentParser:
     refine.add_argument("--partition-by", nargs="*", help="default: the table's own")
     refine.add_argument("--state-codes", action="store_true", help="production only")
     refine.add_argument("--drop-replays-within", help="such as '2 hours'")
+    refine.add_argument("--keep-ingest", action="store_true", help="keep ingest_ts")
+    refine.add_argument("--spread", type=int, help="tasks per partition value and batch")
 
     build = command(to_gold, "gold")
     build.add_argument("table", choices=sorted(GOLD))
     build.add_argument("--silver", required=True)
     build.add_argument("--gold", required=True)
     build.add_argument("--format", default="parquet", help="parquet, delta, ...")
+    build.add_argument("--newest-by", help="column by which a key's last row replaces the others")
 
     rain = command(load_rain, "load-rain")
     rain.add_argument("--grid", required=True, help="path with {year} in it")
     rain.add_argument("--table-path", required=True)
     rain.add_argument("--first-load", action="store_true")
+    rain.add_argument(
+        "--years", type=int, nargs=2, metavar=("FIRST", "LAST"),
+        default=(schemas.GRID_YEARS[0], schemas.GRID_YEARS[-1]),
+    )
+    rain.add_argument("--axes", help="Parquet with the grid's latitudes and longitudes")
 
     ask = command(answer, "serve")
     ask.add_argument(
@@ -293,8 +347,8 @@ def parser() -> argparse.ArgumentParser:
     ask.add_argument("--state")
     ask.add_argument("--first", type=dt.date.fromisoformat)
     ask.add_argument("--last", type=dt.date.fromisoformat)
-    ask.add_argument("--rows", type=int, default=20)
-    ask.add_argument("--to")
+    ask.add_argument("--preview", type=int, default=0, help="rows to show")
+    ask.add_argument("--to", required=True)
     return root
 
 

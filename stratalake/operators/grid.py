@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratalake.operators import sizing
 from stratalake.operators.sizing import broadcast_within, measured_bytes, settled
 
 
@@ -134,9 +133,14 @@ def sample_grid(
     by: Sequence[str] = (),
     years: Iterable[int] | None = None,
     axes: DataFrame | None = None,
+    keep_unmatched: bool = False,
 ) -> DataFrame:
     """The rows of the grid at the cell nearest to each point.
 
+    The nearest cell is found axis by axis, and the grid need not have a row
+    there; such points, and those without a position, are left out, or with
+    ``keep_unmatched`` come once with nulls for the grid's columns.
+
     The points are placed first and the grid is then joined on its cell, so the
     grid is never paired with all points. There is one placed row per point (and
     year); if the points measure little they are broadcast and the grid is not
@@ -145,20 +149,31 @@ def sample_grid(
     """
     by = list(by)
     listed = list(years) if years is not None else []
-    limit = sizing.BROADCAST_BYTES // max(len(listed), 1)
-    size = measured_bytes(points)
+    everyone = points
     if listed:
-        points = points.withColumn("ano", F.explode(F.array(*map(F.lit, listed))))
+        points = everyone = points.withColumn(
+            "ano", F.explode(F.array(*map(F.lit, listed)))
+        )
         by = [*by, "ano"]
-    cells = place_on_grid(
-        points, grid if axes is None else axes, lat, lon, grid_lat, grid_lon, by
+    placed = settled(
+        place_on_grid(points, grid if axes is None else axes, lat, lon, grid_lat, grid_lon, by)
     )
-    cells = broadcast_within(cells, size, limit)
+    cells = broadcast_within(placed, measured_bytes(placed))
     cell = (grid[grid_lat] == cells["cell_lat"]) & (grid[grid_lon] == cells["cell_lon"])
     for name in by:
         cell = cell & (grid[name] == cells[name])
     taken = set(by) | set(cells.columns)
-    return grid.join(cells, cell).select(
+    found = grid.join(cells, cell).select(
         *[cells[name] for name in cells.columns],
         *[grid[name] for name in grid.columns if name not in taken],
     )
+    if not keep_unmatched:
+        return found
+    at = [*by, "cell_lat", "cell_lon"]
+    there = grid.select(*by, F.col(grid_lat).cast("double").alias("cell_lat"),
+                        F.col(grid_lon).cast("double").alias("cell_lon")).distinct()
+    missing = placed.join(there, at, "left_anti")
+    nowhere = F.col(lat).isNull() | F.col(lon).isNull() | F.isnan(lat) | F.isnan(lon)
+    return found.unionByName(missing, allowMissingColumns=True).unionByName(
+        everyone.filter(nowhere), allowMissingColumns=True
+    )

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.operators.sizing import broadcast_within, measured_bytes, settled
+# What a message may measure: a Kafka producer's default bound is 1,048,576 bytes.
+MESSAGE_BYTES = 1_000_000
 
-MAX_RECORDS = 10_000
+
+def parts_for(most_rows: int, bytes_per_row: int, budget: int = MESSAGE_BYTES) -> int:
+    """How many parts keep a message of the largest group within ``budget``.
+
+    A hash does not deal evenly, so a part is planned for two thirds of it.
+    """
+    return max(1, math.ceil(most_rows * bytes_per_row * 1.5 / budget))
 
 
 def pack(
@@ -18,99 +25,56 @@ def pack(
     by: Sequence[str],
     record: Sequence[str] | None = None,
     unique_on: Sequence[str] | None = None,
-    max_records: int = MAX_RECORDS,
+    parts: int = 1,
 ) -> DataFrame:
-    """Rows of the same ``by`` value as one array of records, ``registros``.
+    """Rows of the same ``by`` value as arrays of records, ``registros``.
 
-    A group of up to ``max_records`` rows makes one message. A larger one is
-    spread by hash over as many messages as it needs (``parte`` of ``partes``),
-    each of about that size, so no group is ever gathered whole in one task.
-
-    Give ``unique_on`` if those columns identify a row. Without it rows may be
-    copies, which a hash cannot spread; they are first counted, and a record
-    with many copies is dealt out in portions.
+    Every group makes ``parts`` messages, whatever its size, and each says which
+    it is: ``parte`` (from 0) of ``partes``, with ``linhas`` records. A part may be
+    empty. Rows are dealt to the parts by a hash of ``unique_on``, or in turn
+    where no columns identify a row. The rows are shuffled once; for several parts
+    the keys alone are read a second time, so that no part is missing.
     """
     record = list(record or df.columns)
     by = list(by)
+    slot = F.xxhash64(*unique_on) if unique_on else F.monotonically_increasing_id()
     rows = df.select(
         *by,
+        F.pmod(slot, F.lit(parts)).cast("int").alias("parte"),
         F.struct(*record).alias("_record"),
-        F.shiftright(F.xxhash64(*(unique_on or record)), 1).alias("_hash"),
     )
-    if unique_on is None:
-        counted = rows.groupBy(*by, "_record", "_hash").agg(
-            F.count(F.lit(1)).alias("_copies")
-        )
-        rows = _in_portions(counted, max_records)
-        copies, slot = F.col("_copies"), F.col("_hash") + F.col("_portion")
-        records = F.flatten(
-            F.collect_list(F.array_repeat("_record", F.col("_copies").cast("int")))
-        )
-    else:
-        copies, slot = F.lit(1), F.col("_hash")
-        records = F.collect_list("_record")
-
-    rows = _with_parts(rows.withColumn("_slot", slot), df, by, max_records)
-    return (
-        rows.withColumn("parte", F.pmod("_slot", "partes").cast("int"))
-        .groupBy(*by, "parte", "partes")
-        .agg(
-            F.sum(copies).alias("linhas"),
-            F.sort_array(records).alias("registros"),
-        )
+    if parts > 1:
+        every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("parte")
+        empty = F.lit(None).cast(rows.schema["_record"].dataType).alias("_record")
+        rows = rows.unionByName(df.select(*by).distinct().select(*by, every, empty))
+    return rows.groupBy(*by, "parte").agg(
+        F.lit(parts).cast("long").alias("partes"),
+        F.count("_record").alias("linhas"),
+        F.sort_array(F.collect_list("_record")).alias("registros"),
     )
 
 
-def _in_portions(counted: DataFrame, size: int) -> DataFrame:
-    """Rows standing for ``_copies`` copies, as rows for at most ``size`` each.
-
-    Numbered in two steps, so that no array grows with the number of copies
-    beyond its root.
-    """
-    last = F.floor((F.col("_copies") - 1) / size)
-    step = F.ceil(F.sqrt(last + 1)).cast("bigint")
-    zero = F.lit(0).cast("bigint")
-    return (
-        counted.select("*", last.alias("_last"), step.alias("_step"))
-        .withColumn("_from", F.explode(F.sequence(zero, F.col("_last"), F.col("_step"))))
-        .withColumn(
-            "_portion",
-            F.explode(
-                F.sequence("_from", F.least("_last", F.col("_from") + F.col("_step") - 1))
-            ),
-        )
-        .withColumn(
-            "_copies", F.least(F.lit(size), F.col("_copies") - F.col("_portion") * size)
-        )
-        .drop("_last", "_step", "_from")
+def require_all_parts(df: DataFrame, by: Sequence[str]) -> None:
+    """Raise where a part of a packed group is not there, or not whole."""
+    broken = df.groupBy(*by).agg(
+        F.count_distinct("parte").alias("n"),
+        F.max("partes").alias("partes"),
+        F.max((F.size("registros") != F.col("linhas")).cast("int")).alias("cut"),
     )
+    first = broken.filter("n <> partes or cut = 1").first()
+    if first is not None:
+        named = ", ".join(str(first[name]) for name in by)
+        raise ValueError(f"{named}: {first['n']} of {first['partes']} parts are there and whole")
 
 
-def _with_parts(
-    rows: DataFrame, df: DataFrame, by: list[str], max_records: int
+def unpack(
+    df: DataFrame, records: str = "registros", complete_by: Sequence[str] | None = None
 ) -> DataFrame:
-    """Adds ``partes``: how many messages the row's group needs."""
-    large = settled(
-        df.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > max_records)
-        .select(
-            *[F.col(name).alias(f"_large_{name}") for name in by],
-            F.ceil(F.col("_rows") / max_records).alias("_needed"),
-        )
-    )
-    size = measured_bytes(large)
-    one = F.lit(1).cast("bigint")
-    if size == 0:
-        return rows.withColumn("partes", one)
-    same = reduce(
-        lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_large_{n}")) for n in by]
-    )
-    return rows.join(broadcast_within(large, size), same, "left").select(
-        *rows.columns, F.coalesce("_needed", one).alias("partes")
-    )
-
+    """One row per record; null and empty arrays give none.
 
-def unpack(df: DataFrame, records: str = "registros") -> DataFrame:
-    """One row per record; null and empty arrays give none."""
+    With ``complete_by``, the columns the rows were packed by, a missing part
+    raises instead of leaving rows out.
+    """
+    if complete_by is not None:
+        require_all_parts(df, complete_by)
     return df.select(F.explode(records).alias("_record")).select("_record.*")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,20 +26,25 @@ def drop_incomplete(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def drop_replays(
-    df: DataFrame, keys: Sequence[str], newest_by: str | None = None
+    df: DataFrame, keys: Sequence[str] = (), newest_by: str | None = None
 ) -> DataFrame:
-    """One row per business key.
-
-    Replayed copies are equal, so any will do. Where a source corrects rows,
-    name the ingest column in ``newest_by`` and the last one sent wins. Both
-    forms combine copies before the shuffle: a key that holds a third of the
-    rows leaves each task as one row.
+    """``df`` without the rows that a replay sent again.
+
+    A replay sends equal rows, so only these go: two different rows of one key
+    are both kept. Where a source corrects rows, name the ingest column in
+    ``newest_by``, and of each key the last one sent stays. A null never matches
+    another null there: rows with a null in the key go only as equal copies. Both
+    forms combine copies before the shuffle: a row that is a third of all leaves
+    each task once.
     """
     if newest_by is None:
-        return df.dropDuplicates(list(keys))
+        return df.dropDuplicates()
     rest = [name for name in df.columns if name not in keys and name != newest_by]
+    nameless = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+    whole = F.when(nameless, F.struct(*rest))
     newest = F.max(F.struct(newest_by, *rest)).alias("_newest")
-    return df.groupBy(*keys).agg(newest).select(*keys, "_newest.*").select(*df.columns)
+    kept = df.groupBy(*keys, whole.alias("_whole")).agg(newest)
+    return kept.select(*keys, "_newest.*").select(*df.columns)
 
 
 def append_absent(new: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -47,7 +53,7 @@ def append_absent(new: DataFrame, stored: DataFrame, keys: Sequence[str]) -> Dat
     Appending these keeps ``keys`` a primary key. Pass ``stored`` filtered to
     the part that ``new`` can touch (its year, say) so that only this is read.
     """
-    return drop_replays(new, keys).join(stored.select(*keys), list(keys), "left_anti")
+    return new.dropDuplicates(list(keys)).join(stored.select(*keys), list(keys), "left_anti")
 
 
 def split_rejects(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,8 @@
 
 ``unique_on`` names the business key of the silver rows. Messages are replayed
 and silver only appends, so a sum over silver would count a row once per replay;
-with the key each row counts once. ``scale`` is the number of decimal places of
+with the key equal rows count once. Different rows of one key all count, unless
+``newest_by`` names the column by which the last one replaces the others. ``scale`` is the number of decimal places of
 the values, where they have a fixed one (see ``functions.numbers``).
 
 Results are not sorted: a gold table is written, and sorted where it is read.
@@ -26,8 +27,10 @@ DAILY_MEAN_PRICE_ORDER = ("data",)
 DAILY_TOTAL_RAIN_ORDER = ("ano", "mes", "dia", "estado")
 
 
-def _once(silver: DataFrame, unique_on: Sequence[str] | None) -> DataFrame:
-    return drop_replays(silver, unique_on) if unique_on else silver
+def _once(
+    silver: DataFrame, unique_on: Sequence[str] | None, newest_by: str | None
+) -> DataFrame:
+    return drop_replays(silver, unique_on, newest_by) if unique_on else silver
 
 
 def _day(column: str) -> Column:
@@ -35,7 +38,10 @@ def _day(column: str) -> Column:
 
 
 def monthly_production(
-    silver: DataFrame, unique_on: Sequence[str] | None = None, scale: int | None = None
+    silver: DataFrame,
+    unique_on: Sequence[str] | None = None,
+    scale: int | None = None,
+    newest_by: str | None = None,
 ) -> DataFrame:
     """``ano, mes, estado, producao_mensal_total``.
 
@@ -44,7 +50,7 @@ def monthly_production(
     """
     month = F.trunc(_day("data"), "month")
     totals = keyed_total(
-        _once(silver, unique_on).withColumn("data", month),
+        _once(silver, unique_on, newest_by).withColumn("data", month),
         ["data", "estado"],
         "producao",
         "producao_mensal_total",
@@ -55,11 +61,14 @@ def monthly_production(
 
 
 def daily_mean_rain(
-    silver: DataFrame, unique_on: Sequence[str] | None = None, scale: int | None = None
+    silver: DataFrame,
+    unique_on: Sequence[str] | None = None,
+    scale: int | None = None,
+    newest_by: str | None = None,
 ) -> DataFrame:
     """``data, estado, precipitacao_media_diaria``."""
     return keyed_mean(
-        _once(silver, unique_on),
+        _once(silver, unique_on, newest_by),
         ["data", "estado"],
         "precipitacao_mm",
         "precipitacao_media_diaria",
@@ -68,19 +77,25 @@ def daily_mean_rain(
 
 
 def daily_mean_price(
-    silver: DataFrame, unique_on: Sequence[str] | None = None, scale: int | None = None
+    silver: DataFrame,
+    unique_on: Sequence[str] | None = None,
+    scale: int | None = None,
+    newest_by: str | None = None,
 ) -> DataFrame:
     """``data, preco_medio_dolar``; the date is that of the session time zone."""
-    dated = _once(silver, unique_on).select(_day("timestamp").alias("data"), "preco")
+    dated = _once(silver, unique_on, newest_by).select(_day("timestamp").alias("data"), "preco")
     return keyed_mean(dated, ["data"], "preco", "preco_medio_dolar", scale)
 
 
 def daily_total_rain(
-    silver: DataFrame, unique_on: Sequence[str] | None = None, scale: int | None = None
+    silver: DataFrame,
+    unique_on: Sequence[str] | None = None,
+    scale: int | None = None,
+    newest_by: str | None = None,
 ) -> DataFrame:
     """``ano, mes, dia, estado, precipitacao_total_mm``."""
     totals = keyed_total(
-        _once(silver, unique_on).withColumn("data", _day("data")),
+        _once(silver, unique_on, newest_by).withColumn("data", _day("data")),
         ["data", "estado"],
         "precipitacao_mm",
         "precipitacao_total_mm",
@@ -89,8 +104,10 @@ def daily_total_rain(
     return totals.select(*date_parts(F.col("data")), "estado", "precipitacao_total_mm")
 
 
-def price_rows(silver: DataFrame, unique_on: Sequence[str] | None = None) -> DataFrame:
+def price_rows(
+    silver: DataFrame, unique_on: Sequence[str] | None = None, newest_by: str | None = None
+) -> DataFrame:
     """``data, preco, ano, mes, dia``, one per silver row."""
-    return _once(silver, unique_on).select(
+    return _once(silver, unique_on, newest_by).select(
         F.col("timestamp").alias("data"), "preco", *date_parts(F.col("timestamp"))
     )

@@ -1,15 +1,15 @@
 """Bronze to silver. Each function serves a batch and a stream alike.
 
-``also`` names raw columns that a silver row keeps, such as the record's text
-from :func:`with_text`, which a row without its key takes into quarantine.
+``also`` names raw columns that a silver row keeps, such as the message and the
+fields' texts from :func:`checked_records`, by which bad rows go to quarantine.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from stratalake.functions.dates import (
     month_label_date,
     price_timestamp,
 )
-from stratalake.functions.messages import parse_records, record_json
+from stratalake.functions.messages import parse_records
 from stratalake.functions.numbers import decimal_comma, numeric
 from stratalake.functions.states import state_code
 from stratalake.operators.packing import unpack
@@ -78,10 +78,39 @@ def records(messages: DataFrame, record: T.StructType) -> DataFrame:
     return unpack(messages.select(parsed.alias("registros")))
 
 
-def with_text(raw: DataFrame, name: str = "value") -> DataFrame:
-    """Raw records with their JSON text beside them."""
-    fields = [F.col(f"`{field}`") for field in raw.columns]
-    return raw.withColumn(name, record_json(*fields))
+def checked_records(messages: DataFrame, record: T.StructType) -> DataFrame:
+    """Like :func:`records`, with ``value``, the message as it was sent, and
+    ``_texts``, each field as text. A message that is no JSON is one row of nulls,
+    so nothing that came in is missing."""
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in record.fields])
+    value = F.col("value").cast("string")
+    both = messages.select(
+        value.alias("value"),
+        parse_records(value, record).alias("_typed"),
+        parse_records(value, texts).alias("_said"),
+    )
+    pairs = F.when(
+        F.col("_typed").isNotNull() & F.col("_said").isNotNull(),
+        F.arrays_zip("_typed", "_said"),
+    ).otherwise(F.array(F.struct(
+        F.lit(None).cast(record).alias("_typed"), F.lit(None).cast(texts).alias("_said")
+    )))
+    rows = both.select("value", F.explode(pairs).alias("_pair"))
+    return rows.select("_pair._typed.*", "value", F.col("_pair._said").alias("_texts"))
+
+
+def rejected(fields: Mapping[str, str], key: Sequence[str]) -> Column:
+    """True for rows whose key is incomplete, or whose value did not parse.
+
+    ``fields`` names the record's field of each silver column: text was sent, and
+    the column is null. An empty JSON null is no text.
+    """
+    unkeyed = [F.col(f"`{name}`").isNull() for name in key]
+    unread = [
+        F.col(f"`{column}`").isNull() & F.col("_texts").getField(field).isNotNull()
+        for column, field in fields.items()
+    ]
+    return reduce(lambda a, b: a | b, unkeyed + unread)
 
 
 def production_rows(

@@ -46,6 +46,7 @@ PRODUCTION_KEY = ("data", "estado")
 CLIMATE_KEY = ("data", "cidade")
 PRICE_KEY = ("timestamp",)
 CLIMATE_TABLE_KEY = ("date", "hub")
+PRODUCTION_TABLE_KEY = ("data", "unidade_federativa")
 
 HUB = _schema(
     ("hub", _S), ("state", _S), ("commodity", _S), ("lat", _D), ("lon", _D)

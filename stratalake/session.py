@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # checkpoints go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -76,6 +78,15 @@ def shared_folder(spark: SparkSession) -> str:
     return made
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`work_path` named, and nothing else."""
+    root = f"{shared_folder(spark).rstrip('/')}/stratalake/"
+    if not path.startswith(root) or ".." in path[len(root) :]:
+        raise ValueError(f"{path} is no work folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_folder(spark).rstrip('/')}/stratalake/{label}-{uuid.uuid4().hex}"

@@ -2,13 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Beside key and value: which part of its group a message is.
+PART_COLUMNS = ("parte", "partes", "linhas")
 
 
 def publish(messages: DataFrame, servers: str, topic: str) -> None:
-    """Send ``key`` and ``value`` to a Kafka topic."""
+    """Send ``key`` and ``value`` to a Kafka topic, part numbers as headers."""
+    sent = [F.col("key").cast("string"), F.col("value").cast("string")]
+    numbers = [name for name in PART_COLUMNS if name in messages.columns]
+    if numbers:
+        headers = F.array(
+            *[
+                F.struct(
+                    F.lit(name).alias("key"),
+                    F.col(name).cast("string").cast("binary").alias("value"),
+                )
+                for name in numbers
+            ]
+        )
+        sent.append(headers.alias("headers"))
     (
-        messages.selectExpr("cast(key as string) key", "cast(value as string) value")
+        messages.select(*sent)
         .write.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)
@@ -17,5 +36,31 @@ def publish(messages: DataFrame, servers: str, topic: str) -> None:
 
 
 def write_lines(messages: DataFrame, path: str, mode: str = "append") -> None:
-    """Each message as a line of a text file."""
+    """Each message as a line of a text file.
+
+    A line is the message alone; where groups come in several parts, use
+    :func:`write_table`, which keeps their numbers.
+    """
     messages.selectExpr("cast(value as string) value").write.mode(mode).text(path)
+
+
+def write_table(messages: DataFrame, path: str, mode: str = "append") -> None:
+    """Messages as Parquet, with key and part numbers as columns."""
+    messages.write.mode(mode).parquet(path)
+
+
+def send_in_order(
+    messages: DataFrame, path: str, after_each: Callable[[str], None] | None = None
+) -> list[str]:
+    """Messages to text files under ``path``, key after key in ascending order.
+
+    All messages of a key are there before the next key's, and ``after_each`` is
+    called in between. The keys of a feed are its days, so there are few of them.
+    """
+    keys = [r["key"] for r in messages.select("key").distinct().orderBy("key").collect()]
+    for key in keys:
+        day = messages.filter(F.col("key").eqNullSafe(F.lit(key)))
+        write_lines(day.hint("rebalance"), path)  # no empty files
+        if after_each is not None:
+            after_each(key)
+    return keys

@@ -22,9 +22,24 @@ MISSING_TEXTS = [
 ]
 
 
-def read_csv_text(spark: SparkSession, path: str | list[str], sep: str = ",") -> DataFrame:
-    """CSV with a header, every column as text: no inference pass over the data."""
-    raw = spark.read.option("header", True).option("sep", sep).csv(path)
+def read_csv_text(
+    spark: SparkSession, path: str | list[str], sep: str = ",", multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header, every column as text: no inference pass over the data.
+
+    A quote within a quoted cell is doubled. A file whose header differs from the
+    first one's raises when it is read. ``multi_line`` allows line breaks in
+    quoted cells; a file is then one task, so it is off by default.
+    """
+    raw = (
+        spark.read.option("header", True)
+        .option("sep", sep)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .option("enforceSchema", False)
+        .csv(path)
+    )
     cells = {
         name: F.when(~F.col(f"`{name}`").isin(MISSING_TEXTS), F.col(f"`{name}`"))
         for name in raw.columns
@@ -32,9 +47,11 @@ def read_csv_text(spark: SparkSession, path: str | list[str], sep: str = ",") ->
     return raw.select(*[cell.alias(name) for name, cell in cells.items()])
 
 
-def read_production_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_production_csv(
+    spark: SparkSession, path: str | list[str], multi_line: bool = False
+) -> DataFrame:
     """Production CSV; raises where it has no rows or lacks a column."""
-    df = read_csv_text(spark, path)
+    df = read_csv_text(spark, path, multi_line=multi_line)
     require_columns(df, PRODUCTION_CSV_COLUMNS)
     require_rows(df)
     return df
@@ -56,7 +73,7 @@ def read_grid_years(
     years: Iterable[int],
     schema: T.StructType = GRID,
 ) -> DataFrame:
-    """Union of the yearly rainfall grids; a year without data is logged and skipped.
+    """Union of the yearly rainfall grids; a year without a path is logged and skipped.
 
     The year travels as a literal column ``ano``, so a filter on it drops whole
     branches of the union before any file is read.
@@ -66,6 +83,8 @@ def read_grid_years(
         try:
             grid = spark.read.schema(schema).parquet(path_of(year))
         except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             log.warning("grid of %s skipped: %s", year, error)
             continue
         grid = grid.withColumn("ano", F.lit(year))

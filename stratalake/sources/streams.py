@@ -60,12 +60,13 @@ def parquet_stream(
 
 
 def replay_feed(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
-    """One packed day per micro-batch: each message file is a batch of its own.
+    """One packed day per micro-batch, from a feed sent day by day.
 
-    Files come in the order in which they were written. Run it to the end to
-    stop after the last day.
+    The sender (:func:`stratalake.sinks.messages.send_in_order`) waits after each day, and the
+    query is run to the end of what is there: a run is a batch, all files of that
+    day are in it, and the checkpoint numbers the batches on.
     """
-    return json_stream(spark, path, record, max_files=1)
+    return json_stream(spark, path, record)
 
 
 def kafka_stream(

@@ -25,7 +25,8 @@ def start_append(
     fmt: str = "parquet",
     interval: str | None = BATCH_INTERVAL,
     name: str | None = None,
-    spread: int = 8,
+    spread: int | None = None,
+    gather: bool = True,
 ) -> StreamingQuery:
     """Append ``df`` to files under ``path``, exactly once.
 
@@ -34,12 +35,14 @@ def start_append(
     source's limits ask for, and ends.
 
     A partitioned sink gathers each partition's rows in at most ``spread`` tasks
-    before it writes. A batch thus adds that many files to a partition, not one
-    per task of the source, and a date with a third of the rows is not left to
-    a single task.
+    before it writes, by default as many as there are shuffle partitions. A batch
+    thus adds that many files to a partition at most, and a date with a third of the rows
+    is not left to a single task. With ``gather=False`` nothing is shuffled, and
+    each task of the source writes what it has read.
     """
-    if partition_by:
-        df = _gathered(df, partition_by, spread)
+    if partition_by and gather:
+        conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+        df = _gathered(df, partition_by, spread or int(conf))
     writer = (
         df.writeStream.format(fmt)
         .outputMode("append")
@@ -63,8 +66,11 @@ def run_to_end(
     checkpoint: str,
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
+    gather: bool = True,
 ) -> StreamingQuery:
     """Append all there is now and return the finished query."""
-    query = start_append(df, path, checkpoint, partition_by, fmt, interval=None)
+    query = start_append(
+        df, path, checkpoint, partition_by, fmt, interval=None, gather=gather
+    )
     query.awaitTermination()
     return query

@@ -2,48 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 INGEST_TIME = "ingest_ts"
 
 
-def _first_in_batch(keys: Sequence[str]):
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            place = pa.array(range(batch.num_rows), pa.int64())
-            rows = pa.table(
-                [*[batch.column(name) for name in keys], place], [*keys, "_place"]
-            )
-            first = rows.group_by(list(keys)).aggregate([("_place", "min")])
-            yield batch.take(first["_place_min"].combine_chunks())
-
-    return keep
-
-
 def drop_replays_stream(
-    df: DataFrame,
-    keys: Sequence[str],
-    within: str = "1 day",
-    ingest_time: str = INGEST_TIME,
-    combine_first: bool = True,
+    df: DataFrame, within: str = "1 day", ingest_time: str = INGEST_TIME
 ) -> DataFrame:
-    """The first row of each key among those that came in ``within`` that time.
-
-    The watermark runs on ``ingest_time``, added as the batch's clock if absent:
-    a replay repeats dates of years back, which an event-time watermark would
-    take for late data. State holds the keys of the last ``within`` only; what
-    is replayed later passes, and gold drops it.
+    """The first of equal rows among those that came in ``within`` that time.
 
-    A stream's de-duplication shuffles every copy to the task of its key.
-    ``combine_first`` drops copies within each Arrow batch before that, so that
-    a key repeated through a third of the rows does not flood one task.
+    Rows are equal if all columns but ``ingest_time`` are; two different rows of
+    one key both pass. The watermark runs on ``ingest_time``, added as the batch's
+    clock if absent: a replay repeats dates of years back, which an event-time
+    watermark would take for late data. State holds the rows of the last
+    ``within`` only; what is replayed later passes, and gold drops it.
     """
     if ingest_time not in df.columns:
         df = df.withColumn(ingest_time, F.current_timestamp())
-    if combine_first:
-        df = df.mapInArrow(_first_in_batch(keys), df.schema)
-    return df.withWatermark(ingest_time, within).dropDuplicatesWithinWatermark(list(keys))
+    row = [name for name in df.columns if name != ingest_time]
+    return df.withWatermark(ingest_time, within).dropDuplicatesWithinWatermark(row)

@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.sql.maxMetadataStringLength": "2000",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -84,6 +84,7 @@ def test_every_hub_gets_its_cell_each_day(spark, monkeypatch, small):
     lons = sorted({r.longitude for r in grid.select("longitude").distinct().collect()})
     cells = {(r.latitude, r.longitude) for r in grid.collect()}
     found = sample_grid(grid, hubs(spark), years=[2015, 2016, 2017])
+    everyone = sample_grid(grid, hubs(spark), years=[2015, 2016, 2017], keep_unmatched=True)
     hinted = "strategy=broadcast" in found._jdf.queryExecution().optimizedPlan().toString()
     assert hinted == small
     got = found.select("hub", "lat", "lon", "cell_lat", "cell_lon", "date").collect()
@@ -91,6 +92,13 @@ def test_every_hub_gets_its_cell_each_day(spark, monkeypatch, small):
         h for h in hubs(spark).collect() if (brute(h.lat, lats), brute(h.lon, lons)) in cells
     ]
     assert len(got) == 2 * len(want) > 0
+    # all of them come out, those without a grid row once for each year
+    all_rows = everyone.select("hub", "ano", "date", "precip").collect()
+    assert {r.hub for r in all_rows} == {h.hub for h in hubs(spark).collect()}
+    assert sum(r.date is not None for r in all_rows) == len(got)
+    nowhere = spark.createDataFrame([("x", None, 1.0)], "hub string, lat double, lon double")
+    left = sample_grid(grid.drop("ano"), nowhere, keep_unmatched=True).collect()
+    assert [(r.hub, r.precip) for r in left] == [("x", None)]
     for r in got:
         assert (r.cell_lat, r.cell_lon) == (brute(r.lat, lats), brute(r.lon, lons))
 

@@ -35,18 +35,21 @@ def test_production_from_csv_to_series(spark, tmp_path, run, rows):
     for _ in range(2):
         run("publish", "production", "--source", "carga", "--target", tmp_path / "bronze")
     keyless = '{"data":"2015-13-01","unidade_federativa":"Bahia","produto":null,"producao":7.0}'
-    put(str(tmp_path / "bronze" / "2024" / "01" / "02" / "bad.json"), "junk", keyless)
+    number = '[ {"data":"2015-01-01","unidade_federativa":"Bahia","producao":"12,5"} ]'
+    put(str(tmp_path / "bronze" / "2024" / "01" / "02" / "bad.json"), "junk", keyless, number)
     run(
         "silver", "production", "--bronze", tmp_path / "bronze", "--silver", tmp_path / "silver",
         "--checkpoint", tmp_path / "cp", "--quarantine", tmp_path / "bad", "--once",
     )
     assert spark.read.parquet(str(tmp_path / "silver")).count() == 6
-    assert rows(spark.read.parquet(str(tmp_path / "bad"))) == sorted([("junk",), (keyless,)])
+    assert rows(spark.read.parquet(str(tmp_path / "bad"))) == sorted([("junk",), (keyless,), (number,)])
     run("gold", "monthly-production", "--silver", tmp_path / "silver", "--gold", tmp_path / "gold")
     assert sorted(n for n in os.listdir(tmp_path / "gold") if "=" in n) == ["estado=Bahia", "estado=Piaui"]
     run("serve", "production-series", "--gold", tmp_path / "gold", "--to", tmp_path / "out")
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == [(D(2015, 1, 1), 4.0), (D(2015, 2, 1), 4.0)]
-    run("serve", "production-states", "--gold", tmp_path / "gold")
+    run("serve", "production-states", "--gold", tmp_path / "gold", "--to", tmp_path / "states", "--preview", 3)
+    with pytest.raises(SystemExit):
+        run("serve", "production-states", "--gold", tmp_path / "gold")
 
 
 def test_stream_drops_replays(spark, tmp_path, run):
@@ -100,7 +103,24 @@ def test_rain_and_prices_to_answers(spark, tmp_path, run, rows):
     run("serve", "mean-cards", "--gold", *both, "--first", "2024-01-01", "--last", "2024-01-01", "--to", out)
     assert rows(spark.read.parquet(str(out))) == [(4.5, 10.0)]
     for query in ("rain-series", "price-series", "states", "date-range"):
-        run("serve", query, "--gold", *both)
+        run("serve", query, "--gold", *both, "--to", out)
+
+
+def test_gold_keeps_both_prices_of_an_instant(spark, tmp_path, run, rows):
+    price = [(dt.datetime(2024, 1, 1), 100.0, 1), (dt.datetime(2024, 1, 1), 200.0, 1)]
+    schema = "timestamp timestamp, preco double, ordem int"
+    silver = spark.createDataFrame(price * 2 + [(dt.datetime(2024, 1, 2), 5.0, 1)], schema)
+    silver.write.parquet(str(tmp_path / "silver"))
+    mean = tmp_path / "mean"
+    run("gold", "daily-mean-price", "--silver", tmp_path / "silver", "--gold", mean)
+    assert rows(spark.read.parquet(str(mean))) == [(D(2024, 1, 1), 150.0), (D(2024, 1, 2), 5.0)]
+    later = spark.createDataFrame([(dt.datetime(2024, 1, 1), 400.0, 2)], schema)
+    later.write.mode("append").parquet(str(tmp_path / "silver"))
+    run(
+        "gold", "daily-mean-price", "--silver", tmp_path / "silver", "--gold", mean,
+        "--newest-by", "ordem",
+    )
+    assert rows(spark.read.parquet(str(mean)))[0] == (D(2024, 1, 1), 400.0)
 
 
 def test_rain_is_loaded_under_its_key(spark, tmp_path, run, rows):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratalake.functions import parse_records, records_json
-from stratalake.operators.packing import pack, unpack
+from stratalake.operators.packing import pack, parts_for, unpack
 
 
 def events(spark, count=900):
@@ -20,47 +20,46 @@ def events(spark, count=900):
 
 
 @pytest.mark.parametrize("unique_on", [["event_id"], None])
-@pytest.mark.parametrize("max_records", [10_000, 40])
-def test_pack_then_unpack_is_the_identity(spark, rows, unique_on, max_records):
+@pytest.mark.parametrize("parts", [1, 7])
+def test_pack_then_unpack_is_the_identity(spark, rows, unique_on, parts):
     df = events(spark)
-    packed = pack(df, ["data"], unique_on=unique_on, max_records=max_records)
-    text = packed.select(records_json("registros").alias("value"))
+    packed = pack(df, ["data"], unique_on=unique_on, parts=parts)
     record = packed.schema["registros"].dataType.elementType
-    back = unpack(text.select(parse_records("value", record).alias("registros")))
-    assert rows(back.select(df.columns)) == rows(df)
+    text = packed.withColumn("value", records_json("registros"))
+    back = text.withColumn("registros", parse_records("value", record))
+    assert rows(unpack(back, complete_by=["data"]).select(df.columns)) == rows(df)
 
 
-def test_small_groups_make_one_message_each(spark):
-    packed = pack(events(spark), ["data"], unique_on=["event_id"])
-    got = packed.select("data", "partes", F.size("registros").alias("n"), "linhas").collect()
-    assert len(got) == len({r.data for r in got})
-    assert all(r.partes == 1 and r.n == r.linhas for r in got)
+def test_every_group_has_the_same_parts(spark):
+    few = spark.createDataFrame([("a", i) for i in range(500)] + [("b", 1)], "k string, v int")
+    got = pack(few, ["k"], unique_on=["v"], parts=5).collect()
+    assert Counter(r.k for r in got) == {"a": 5, "b": 5}
+    assert all(r.partes == 5 and r.linhas == len(r.registros) for r in got)
+    assert {r.parte for r in got if r.k == "b"} == set(range(5))
+    assert sum(r.linhas for r in got) == 501
+    assert max(r.linhas for r in got if r.k == "a") < 150
 
 
-def test_large_groups_are_split_and_lose_nothing(spark):
-    packed = pack(events(spark, 3000), ["data"], unique_on=["event_id"], max_records=50)
-    got = packed.select("data", "parte", "partes", F.size("registros").alias("n")).collect()
-    hot = [r for r in got if r.data == "2024-01-01"]
-    assert sum(r.n for r in hot) == 1000
-    assert {r.partes for r in hot} == {20}
-    assert max(r.n for r in hot) < 100
+def test_a_missing_part_fails_loudly(spark):
+    packed = pack(events(spark), ["data"], unique_on=["event_id"], parts=3)
+    lost = F.col("data").eqNullSafe("2024-01-01") & (F.col("parte") == 1)
+    whole = packed.filter(~lost)
+    with pytest.raises(ValueError, match="2024-01-01: 2 of 3"):
+        unpack(whole, complete_by=["data"])
+    cut = packed.withColumn("registros", F.slice("registros", 1, 2))
+    with pytest.raises(ValueError, match="whole"):
+        unpack(cut, complete_by=["data"])
 
 
-def test_copies_are_dealt_out_in_portions(spark):
+def test_copies_are_dealt_out_in_turn(spark):
     df = spark.range(0, 2000, 1, 4).select(F.lit("d").alias("data"), F.lit(1.5).alias("v"))
-    packed = pack(df, ["data"], max_records=100)
-    sizes = [r.n for r in packed.select(F.size("registros").alias("n")).collect()]
-    assert sum(sizes) == 2000
-    assert max(sizes) <= 100 and len(sizes) == 20
-
-
-@pytest.mark.parametrize("copies", [1, 9, 10, 11, 100, 1234])
-def test_portions_cover_all_copies(spark, copies):
-    df = spark.range(copies).select(F.lit("d").alias("data"), F.lit("x").alias("v"))
-    sizes = [r.linhas for r in pack(df, ["data"], max_records=10).collect()]
-    assert sum(sizes) == copies
-    assert len(sizes) == -(-copies // 10)
-    assert max(sizes) <= 10
+    sizes = [r.linhas for r in pack(df, ["data"], parts=20).collect()]
+    assert sum(sizes) == 2000 and len(sizes) == 20 and max(sizes) <= 120
+
+
+def test_parts_keep_the_byte_budget():
+    assert parts_for(10, 100) == 1
+    assert parts_for(10_000, 120) == 2
 
 
 def test_records_are_in_order_within_a_message(spark):

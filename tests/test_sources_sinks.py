@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import os
 
 import pytest
@@ -12,6 +13,7 @@ from stratalake.sinks.messages import write_lines
 from stratalake.sinks.tables import replace_table
 from stratalake.sources import dimensions, tables
 from stratalake.sources.files import (
+    read_csv_text,
     read_grid_years,
     read_parquet,
     read_price_csv,
@@ -72,8 +74,46 @@ def test_price_csv_to_ordered_messages(spark, tmp_path, ascending):
 def test_message_files_keep_the_order(spark, tmp_path):
     sent = bronze.price_messages(bronze.price_table(read_price_csv(spark, price_csv(tmp_path))))
     write_lines(sent, str(tmp_path / "lines"))
-    got = spark.read.text(str(tmp_path / "lines"))
-    assert got.count() == 2
+    seen = []
+    for name in sorted(os.listdir(tmp_path / "lines")):
+        if name.startswith("part-"):
+            with open(tmp_path / "lines" / name, encoding="utf-8") as file:
+                seen += [json.loads(line)["data"] for line in file]
+    assert seen == ["2024-01-05 00:00:00", "2024-01-06 00:00:00"]
+
+
+def test_csv_quotes_commas_and_line_breaks(spark, tmp_path):
+    path = tmp_path / "q.csv"
+    path.write_text('a,b\n"Ba ""x"", y",1\n"two\nlines",2\n')
+    got = read_csv_text(spark, str(path), multi_line=True).collect()
+    assert [tuple(r) for r in got] == [('Ba "x", y', "1"), ("two\nlines", "2")]
+
+
+def test_files_with_another_header_are_refused(spark, tmp_path):
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "1.csv").write_text("data,estado\n2024,BA\n")
+    (tmp_path / "csv" / "2.csv").write_text("estado,data\nBA,2024\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv_text(spark, str(tmp_path / "csv")).collect()
+
+
+def test_only_a_missing_year_is_skipped(spark, tmp_path):
+    (tmp_path / "grid-2016").mkdir()
+    (tmp_path / "grid-2016" / "part.parquet").write_text("no parquet")
+    with pytest.raises(Exception):  # noqa: B017
+        read_grid_years(spark, lambda y: str(tmp_path / f"grid-{y}"), range(2015, 2017)).collect()
+    with pytest.raises(FileNotFoundError):
+        read_grid_years(spark, lambda y: str(tmp_path / f"grid-{y}"), range(2020, 2022))
+
+
+def test_days_are_sent_in_order_with_their_parts(spark, tmp_path):
+    table = spark.createDataFrame(
+        [(f"2024-01-{d:02d}", h, "MT", 0.0, 0.0, 1.0) for d in range(20, 0, -1) for h in "AB"],
+        "date string, hub string, state string, latitude double, longitude double, precipitation_mm double",
+    )
+    sent = bronze.climate_messages(table, parts=2, ordered=True).collect()
+    assert [(m.key, m.parte) for m in sent] == [(f"2024-01-{d:02d}", p) for d in range(1, 21) for p in (0, 1)]
+    assert {m.partes for m in sent} == {2} and sum(m.linhas for m in sent) == 40
 
 
 def test_production_messages_hold_a_month(spark):
@@ -167,8 +207,7 @@ def test_object_store_options():
 
 
 def test_work_paths_are_in_the_named_folder(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir")  # the fixture sets it
     one, two = session.work_path(spark, "x"), session.work_path(spark, "x")
     assert one != two
-    if named:
-        assert one.startswith(named.rstrip("/"))
+    assert one.startswith(named.rstrip("/")) and two.startswith(named.rstrip("/"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratalake.plans import bronze, silver
 from stratalake.schemas import CLIMATE_RECORD, PRICE_RECORD, PRODUCTION_RECORD
-from stratalake.sinks.messages import write_lines
+from stratalake.sinks.messages import send_in_order, write_lines
 from stratalake.sources.streams import (
     json_stream,
     parquet_stream,
@@ -147,41 +147,74 @@ def test_gold_reader_ignores_files_the_sink_did_not_commit(spark, tmp_path):
 
 def test_replay_feed_takes_one_day_per_batch(spark, tmp_path):
     source, out, cp = dirs(tmp_path)
-    for day in range(1, 5):
-        put(source, f"2024/01/0{day}/m.json", CLIMATE.replace("2024-01-01", f"2024-01-0{day}"))
-        os.utime(os.path.join(source, f"2024/01/0{day}/m.json"), (day * 1000, day * 1000))
+    days = [3, 1, 4, 2]
+    sent = spark.createDataFrame(
+        [(f"2024-01-0{d}", CLIMATE.replace("2024-01-01", f"2024-01-0{d}")) for d in days],
+        "key string, value string",
+    )
     seen = []
 
-    def note(batch, _):
-        seen.append(sorted({r.date for r in batch.collect()}))
+    def arrive(key):
+        query = (
+            replay_feed(spark, source, CLIMATE_RECORD)
+            .writeStream.foreachBatch(
+                lambda batch, n: seen.append((n, key, sorted({r.date for r in batch.collect()})))
+            )
+            .option("checkpointLocation", cp)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
 
-    feed = replay_feed(spark, source, CLIMATE_RECORD)
-    query = (
-        feed.writeStream.foreachBatch(note)
-        .option("checkpointLocation", cp)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    assert seen == [[f"2024-01-0{day}"] for day in range(1, 5)]
+    assert send_in_order(sent, source, arrive) == [f"2024-01-0{d}" for d in sorted(days)]
+    assert seen == [(d - 1, f"2024-01-0{d}", [f"2024-01-0{d}"]) for d in sorted(days)]
 
 
-@pytest.mark.parametrize("combine_first", [True, False])
-def test_replays_are_dropped_on_the_stream(spark, tmp_path, rows, combine_first):
+def test_replays_are_dropped_on_the_stream(spark, tmp_path, rows):
     source, out, cp = dirs(tmp_path)
-    base = [(D(2015, m, 1), s, float(m), None if m == 3 else "x") for m in range(1, 13) for s in ("BA", "MT", None)]
+    base = [
+        (D(2015, m, 1) if m < 12 else None, s, float(m), None if m == 3 else "x")
+        for m in range(1, 13) for s in ("BA", "MT", None)
+    ]
+    base += [(D(2015, 1, 1), "BA", 99.0, "x"), (None, "BA", 5.0, "y")]  # same keys, other values
     sent = spark.createDataFrame(base, "data date, estado string, producao double, nota string")
     for copies in (40, 1):
         again = sent
         for _ in range(copies - 1):
             again = again.union(sent)
         again.coalesce(2).write.mode("append").parquet(source)
-        stream = parquet_stream(spark, source, sent.schema)
-        once = drop_replays_stream(stream, ["data", "estado"], combine_first=combine_first)
+        once = drop_replays_stream(parquet_stream(spark, source, sent.schema))
         run_to_end(once.drop("ingest_ts"), out, cp)
         assert rows(spark.read.parquet(out)) == sorted(base, key=repr)
 
 
+def test_landing_shuffles_nothing(spark, tmp_path):
+    source, out, cp = dirs(tmp_path)
+    rows = spark.range(0, 4000, 1, 12).select(
+        F.col("id").cast("string").cast("binary").alias("value"), F.col("id").alias("offset")
+    )
+    rows.write.parquet(source)
+    stream = parquet_stream(spark, source, rows.schema)
+    plans = {}
+    for gather in (True, False):
+        query = start_append(
+            bronze.landed(stream), f"{out}-{gather}", f"{cp}-{gather}", bronze.INGEST_PARTS,
+            interval=None, gather=gather,
+        )
+        query.awaitTermination()
+        plans[gather] = query._jsq.explainInternal(False)
+    assert "Exchange" in plans[True] and "Exchange" not in plans[False]
+    assert spark.read.parquet(f"{out}-False").count() == 4000
+
+
+def test_text_landing_refuses_what_a_line_cannot_hold(spark):
+    payloads = [b"good", b"a\nb", b"a\rb", b"\xff", "último".encode(), None, b""]
+    sent = spark.createDataFrame([(p and bytearray(p) if p != b"" else bytearray(),) for p in payloads], "value binary")
+    kept = sorted(r.value for r in bronze.landed(sent, F.lit("2024-01-02").cast("date"), as_text=True).collect())
+    assert kept == ["", "good", "último"]
+    assert bronze.not_text(sent).count() == 4
+
+
 def test_landing_keeps_payload_bytes(spark, tmp_path):
     source, out, cp = dirs(tmp_path)
     payloads = [b'[{"a":1}]\n \xff', b"", "último".encode()]
