@@ -11,11 +11,11 @@ from __future__ import annotations
 
 import math
 import re
-from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +25,7 @@ from stratalake.llm.common import list_texts
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-CACHED_SEGMENTS = 150_000
+CACHED_SEGMENTS = 160_000  # in each of two generations
 CACHED_LENGTH = 48
 
 
@@ -73,6 +73,7 @@ class Codec:
         self.automaton = ahocorasick.Automaton()
         self.bytes_of: list[bytes] = []
         self.byte_ids: dict[int, int] = {}
+        self.length = [len(p) for p in vocabulary.pieces]
         normal = []
         for i, (piece, kind) in enumerate(zip(vocabulary.pieces, vocabulary.kinds, strict=True)):
             if kind == "n":
@@ -89,81 +90,102 @@ class Codec:
             else:
                 self.bytes_of.append(piece.replace(SPACE, " ").encode())
         self.automaton.make_automaton()
+        self.single = {p for p in normal if len(p) == 1}
         # where no piece crosses a space or a line break, the best segmentation does not either
         joined = any(SPACE in p[1:] or ("\n" in p and len(p) > 1) for p in normal)
         self.segment = re.compile(
             r"(?s).+" if joined else f"{SPACE}[^{SPACE}\\n]*|\\n|[^{SPACE}\\n]+"
         )
-        worst = min((vocabulary.scores[i] for i, k in enumerate(vocabulary.kinds) if k == "n"), default=0.0)
-        self.fallback = worst - 10.0
-        self.cache: dict[str, tuple[int, ...]] = {}
+        scores = [s for s, k in zip(vocabulary.scores, vocabulary.kinds, strict=True) if k == "n"]
+        self.fallback = min(scores, default=0.0) - 10.0
+        self.cache = _Segments(self)
 
-    def viterbi(self, segment: str) -> tuple[int, ...]:
+    def viterbi(self, segment: str) -> list[int]:
+        """Ids of the segmentation with the highest total score."""
         n = len(segment)
         best = [-math.inf] * (n + 1)
         best[0] = 0.0
-        back: list[tuple[int, int]] = [(0, -1)] * (n + 1)
-        done = 0
-
-        def bridge(upto: int) -> None:
-            # positions that no piece has reached yet: bytes of the character before
-            nonlocal done
-            for end in range(done + 1, upto + 1):
-                score = best[end - 1] + self.fallback
-                if score > best[end]:
-                    best[end] = score
-                    back[end] = (end - 1, -1)
-            done = max(done, upto)
-
-        for last, (length, score, piece) in self.automaton.iter(segment):
-            end = last + 1
-            bridge(end - 1)
-            total = best[end - length] + score
-            if total > best[end]:
-                best[end] = total
-                back[end] = (end - length, piece)
-        bridge(n)
+        back = [-1] * (n + 1)
+        if self.single.issuperset(segment):
+            # every position is reached by the piece of its own character at least
+            for last, (length, score, piece) in self.automaton.iter(segment):
+                total = best[last + 1 - length] + score
+                if total > best[last + 1]:
+                    best[last + 1] = total
+                    back[last + 1] = piece
+        else:
+            self._with_bytes(segment, best, back)
         out: list[int] = []
         end = n
         while end:
-            start, piece = back[end]
+            piece = back[end]
             if piece >= 0:
                 out.append(piece)
+                end -= self.length[piece]
             else:
-                out.extend(self.byte_ids[b] for b in reversed(segment[start:end].encode()))
-            end = start
-        return tuple(reversed(out))
-
-    def _run(self, text: str, out: array) -> None:
-        cache = self.cache
-        for segment in self.segment.findall(text):
-            ids = cache.get(segment)
-            if ids is None:
-                ids = self.viterbi(segment)
-                if len(segment) <= CACHED_LENGTH:
-                    if len(cache) >= CACHED_SEGMENTS:
-                        cache.clear()
-                    cache[segment] = ids
-            out.extend(ids)
-
-    def encode(self, text: str) -> array:
+                end -= 1
+                out.extend(self.byte_ids[b] for b in reversed(segment[end].encode()))
+        out.reverse()
+        return out
+
+    def _with_bytes(self, segment: str, best: list[float], back: list[int]) -> None:
+        """The same pass, where each character may also go as its bytes."""
+        done = 0
+        for last, (length, score, piece) in [*self.automaton.iter(segment), (len(segment), (0, 0.0, -1))]:
+            while done < last:
+                # all pieces that end here have been seen
+                done += 1
+                if best[done - 1] + self.fallback > best[done]:
+                    best[done] = best[done - 1] + self.fallback
+                    back[done] = -1
+            if piece >= 0 and best[last + 1 - length] + score > best[last + 1]:
+                best[last + 1] = best[last + 1 - length] + score
+                back[last + 1] = piece
+
+    def encode(self, text: str) -> np.ndarray:
         """Ids of a text; none for an empty one."""
-        out = array("i")
         if not text:
-            return out
+            return np.empty(0, np.int32)
         # the mark for a space, where a text holds it itself, goes as bytes
+        literal = np.array([self.byte_ids.get(b, 0) for b in SPACE.encode()], np.int32).tobytes()
+        out = []
         for i, part in enumerate(text.split(SPACE)):
             if i:
-                out.extend(self.byte_ids[b] for b in SPACE.encode())
-            self._run((SPACE if not i else "") + part.replace(" ", SPACE), out)
-        return out
+                out.append(literal)
+            known = self.segment.findall((SPACE if not i else "") + part.replace(" ", SPACE))
+            out.extend(map(self.cache.__getitem__, known))
+        return np.frombuffer(b"".join(out), np.int32)
 
     def decode(self, ids: Sequence[int]) -> str:
-        table = self.bytes_of
-        text = b"".join([table[i] for i in ids]).decode("utf-8", "replace")
+        ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
+        text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text
 
 
+class _Segments(dict):
+    """Ids of segments met before, as bytes; bounded in number and in length.
+
+    When full it becomes the older generation, from which what is met again comes
+    back, so frequent segments stay.
+    """
+
+    def __init__(self, codec: Codec):
+        super().__init__()
+        self.codec = codec
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, segment: str) -> bytes:
+        ids = self.older.get(segment)
+        if ids is None:
+            ids = np.array(self.codec.viterbi(segment), np.int32).tobytes()
+        if len(segment) <= CACHED_LENGTH:
+            if len(self) >= CACHED_SEGMENTS:
+                self.older = dict(self)
+                self.clear()
+            self[segment] = ids
+        return ids
+
+
 _CODECS: dict[int, Codec] = {}
 
 
@@ -181,15 +203,10 @@ def share(spark: SparkSession, path: str = MODEL) -> Broadcast:
     return spark.sparkContext.broadcast(load_vocabulary(path))
 
 
-def _lists(rows: list[array]) -> pa.ListArray:
-    flat = array("i")
-    ends = array("i", [0])
-    for ids in rows:
-        flat.extend(ids)
-        ends.append(len(flat))
-    return pa.ListArray.from_arrays(
-        pa.array(memoryview(ends), pa.int32()), pa.array(memoryview(flat), pa.int32())
-    )
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(ids) for ids in rows])]).astype(np.int32)
+    flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
 
 
 def encode_documents(

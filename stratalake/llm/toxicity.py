@@ -135,6 +135,11 @@ def fit_group(table: pa.Table, prior: float, most: int = FEATURES) -> dict:
     used = place[code] >= 0
     x = np.zeros((len(lists), len(chosen)), np.float32)
     x[owner[used], place[code[used]]] = 1
+    # labels may be drawn with a preference for toxic texts; how much more often
+    # positives than all texts bear a chosen feature bounds the prior as well
+    marked = x.any(axis=1)
+    seen = (marked[~positive].sum() + 0.5) / (n_unl + 1) / max(marked[positive].mean(), 1e-9)
+    prior = float(np.clip(min(prior, seen), 1e-4, 0.5))
     w, b = nnpu_fit(x[positive], x[~positive], prior)
     names = coded.dictionary.take(pa.array(chosen)).to_pylist()
     return {"names": names, "weights": w.tolist(), "bias": b}
@@ -183,7 +188,8 @@ def fit_toxicity(
     The sample has about ``most_positive`` toxic and ``most_unlabelled`` other
     texts in expectation; every model takes all of the former and a share of the
     latter, whose labels it doesn't see. The class prior is the share of toxic
-    texts among all labelled ones. An id with several labels is toxic if one of
+    texts among all labelled ones, or if that is less, what the unlabelled texts
+    show of the features that mark positives. An id with several labels is toxic if one of
     them is; null labels and ids are passed over. Without toxic rows the model
     scores every text alike.
     """
