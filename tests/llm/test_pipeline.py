@@ -51,7 +51,9 @@ def _rows(df):
     return [(r["doc_id"], r["text"]) for r in df.collect()]
 
 
-def _near_groups(rows):
+def _near_groups(rows, least):
+    """Least ids of the groups that pairs of ``least`` similarity connect."""
+
     def shingles(text):
         w = (text or "").lower().split()
         return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
@@ -67,7 +69,7 @@ def _near_groups(rows):
     for i in range(len(rows)):
         for j in range(i):
             shared = len(sets[i] & sets[j])
-            if shared >= 0.8 * (len(sets[i]) + len(sets[j]) - shared):
+            if shared >= least * (len(sets[i]) + len(sets[j]) - shared):
                 parent[root(i)] = root(j)
     best = {}
     for i, (doc_id, _) in enumerate(rows):
@@ -129,7 +131,10 @@ def test_stages_match_their_plain_versions(spark, sf_dir):
 
     single = stages["SimHash near-dedup"](spark, slim, sf_dir).cache()
     assert single.columns == columns
-    assert sorted(r[0] for r in _rows(single)) == _near_groups(_rows(slim))
+    stayed = sorted(r[0] for r in _rows(single))
+    # similarity is estimated, so pairs close to 0.8 may go either way
+    assert set(_near_groups(_rows(slim), 0.68)) <= set(stayed) <= set(_near_groups(_rows(slim), 0.88))
+    assert len(stayed) == len(set(stayed))
     assert single.count() < slim.count()
 
     mixed = stages["mixing sources to target weights"](spark, single, sf_dir).cache()
