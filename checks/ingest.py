@@ -366,18 +366,16 @@ def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT (dense_rank() OVER (ORDER BY date_trunc('month', o_orderdate)) - 1)::BIGINT AS lote,
-           strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS data,
+    SELECT (dense_rank() OVER (ORDER BY date_trunc('year', o_orderdate)) - 1)::BIGINT AS lote,
+           strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') AS data,
            o_orderkey::VARCHAR AS cidade, o_orderstatus AS estado,
            o_totalprice AS precipitacao_mm
-    FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)""")
+    FROM orders""")
 def q_replay_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last year's orders, sent month by month in order of date: each arrives in
-    a micro-batch of its own, whose number comes back with it."""
-    orders = table(spark, sf_dir, "orders")
-    last = orders.select(F.max(F.year("o_orderdate")).alias("ultimo"))
-    records = orders.join(F.broadcast(last), F.year("o_orderdate") == F.col("ultimo")).select(
-        date_text(F.trunc("o_orderdate", "month")).alias("date"),
+    """Orders sent year by year in order of date, a year standing for a day: each
+    arrives in a micro-batch of its own, whose number comes back with it."""
+    records = table(spark, sf_dir, "orders").select(
+        date_text(F.trunc("o_orderdate", "year")).alias("date"),
         F.col("o_orderkey").cast("string").alias("hub"),
         F.col("o_orderstatus").alias("state"),
         F.col("o_totalprice").alias("precipitation_mm"),
