@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import chat, knn, lines, mixing, pieces, quality, secrets, simhash, sketches, toxicity
+from stratalake.llm import chat, knn, mixing, passages, pieces, quality, secrets, simhash, sketches, toxicity
 from stratalake.llm.common import read, settled
 from stratalake.llm.sql import SQL
 
@@ -45,12 +45,15 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the later copies of repeated runs of lines."""
+    """Every document without the later copies of repeated passages, which may start
+    and end inside a line; deleted spans as first and last word."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return lines.dedup_lines(docs, gone_col="_gone").select(
+    span = F.transform("_gone", lambda s: F.concat_ws("-", s["a"], s["b"]))
+    words = F.aggregate("_gone", F.lit(0), lambda n, s: n + s["b"] - s["a"] + 1)
+    return passages.dedup_passages(docs, gone_col="_gone").select(
         "doc_id",
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_deleted"),
-        F.coalesce(F.array_join("_gone", ","), F.lit("")).alias("deleted"),
+        F.coalesce(words, F.lit(0)).cast("long").alias("n_deleted"),
+        F.coalesce(F.array_join(span, ","), F.lit("")).alias("deleted"),
         "text",
     )
 

@@ -1,0 +1,105 @@
+"""Passage dedup (operator 5) against a plain version that compares all places."""
+
+import numpy as np
+import pytest
+import xxhash
+
+from stratalake.llm import passages, queries
+
+
+def _texts(rows):
+    """Rows in corpus order: by id, null first, then by the text's hash."""
+
+    def key(row):
+        h = xxhash.xxh64_intdigest((row[1] or "").encode(), seed=42)
+        return (-(2**63) if row[0] is None else row[0], h - (1 << 64) if h >> 63 else h)
+
+    return sorted(set(rows), key=key)
+
+
+def _repeated(docs, length):
+    """Words of spans of ``length`` words that any earlier place has too."""
+    seen, out = set(), []
+    for _, text in docs:
+        words, gone = (text or "").split(), set()
+        for i in range(len(words) - length + 1):
+            span = tuple(words[i : i + length])
+            if span in seen:
+                gone.update(range(i, i + length))
+            seen.add(span)
+        out.append(gone)
+    return out
+
+
+def _spans(row):
+    return {w - 1 for s in row["gone"] or [] for w in range(s["a"], s["b"] + 1)}
+
+
+def _compare(spark, rows, noise, guarantee):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = passages.dedup_passages(df, noise, guarantee, gone_col="gone").collect()
+    assert len(got) == len(rows)
+    docs = _texts(rows)
+    sure, most = _repeated(docs, guarantee), _repeated(docs, noise)
+    by = {}
+    for r in got:
+        by.setdefault(r["doc_id"], []).append(r)
+    for (doc_id, text), least, all_ in zip(docs, sure, most):
+        words = (text or "").split()
+        fits = []
+        for r in by[doc_id]:
+            gone = _spans(r)
+            left = [w for i, w in enumerate(words) if i not in gone]
+            if (r["text"] or "").split() == left and least <= gone <= all_:
+                fits.append(r)
+        assert fits, (doc_id, sorted(least))
+    return got, sure
+
+
+def test_passages_match_their_definition(spark):
+    rng = np.random.default_rng(5)
+    pool = [[f"v{x}" for x in rng.integers(0, 40, rng.integers(3, 30))] for _ in range(20)]
+    rows = []
+    for i in range(120):
+        words = []
+        for _ in range(rng.integers(0, 7)):
+            words += [f"u{x}" for x in rng.integers(0, 500, rng.integers(0, 15))]
+            one = pool[rng.integers(0, len(pool))]
+            words += one[rng.integers(0, 4) :][: rng.integers(2, 30)]
+        gaps = rng.choice([" ", "\n", "  ", "\n\n", "\t"], len(words))
+        rows.append((i // 2, "".join(w + g for w, g in zip(words, gaps))))
+    rows += [(80, "again " * 70), (None, " ".join(pool[3] * 2)), (81, None), (82, ""), (83, " \n "), rows[7]]
+    got, sure = _compare(spark, rows, 5, 12)
+    assert sum(len(s) for s in sure) > 500
+    kept = {r["doc_id"]: r["text"] for r in got if r["doc_id"] in (81, 82, 83)}
+    assert kept == {81: None, 82: "", 83: " \n "}
+
+
+def test_passage_inside_longer_lines(spark, tmp_path):
+    passage = " ".join(f"p{i}" for i in range(54))
+    rows = [
+        (1, f"one line that starts {passage} and goes on\nnext"),
+        (2, f"another\nstart of another {passage.replace(' p20 ', chr(10) + 'p20 ')} with its own end\nlast"),
+    ]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op5_line_dedup(spark, str(tmp_path)).collect()}
+    assert got[1]["text"] == rows[0][1] and got[1]["deleted"] == ""
+    assert got[2]["text"] == "another\nstart of another with its own end\nlast"
+    assert got[2]["n_deleted"] == 54 and got[2]["deleted"] == "5-58"
+
+
+def test_passage_is_compared_with_all_places(spark):
+    a, b, c = [" ".join(f"{x}{i}" for i in range(30)) for x in "abc"]
+    rows = [(1, f"{a}\n{c}"), (2, f"{a}\n{b}"), (3, f"{a}\n{b}"), (4, f"x {c}\n{a}\n{b} y")]
+    got, _ = _compare(spark, rows, 25, 50)
+    texts = {r["doc_id"]: r["text"] for r in got}
+    assert texts[3] == "" and "b0" not in texts[4]
+
+
+@pytest.mark.parametrize("copies", [30])
+def test_copies_and_empty_table(spark, copies):
+    text = " ".join(f"w{i}" for i in range(33))
+    got, _ = _compare(spark, [(i, text) for i in range(copies)], 25, 50)
+    assert sorted(r["text"] for r in got)[-2:] == ["", text]
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert passages.dedup_passages(none).count() == 0
