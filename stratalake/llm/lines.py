@@ -11,6 +11,11 @@ extended both ways while its lines equal those around the first place, for up to
 ``guarantee`` words; a longer match holds a further fingerprint that goes on from
 there. The lines of the extended run are deleted. A deleted line always equals an
 earlier line, so one copy of every line stays.
+
+With ``all_places`` a fingerprint is extended against every earlier place that has
+it, not the first alone: each number of lines that agree makes a key with the hash
+of those lines, and a key that an earlier place has deletes them. Without it, a
+line that repeats only beside a fingerprint's second place or a later one stays.
 """
 
 from __future__ import annotations
@@ -125,8 +130,74 @@ def _matching(own: Column, other: Column, words: int) -> Column:
     )
 
 
+def _as_gone(per_doc: DataFrame, own: DataFrame, gone: Column) -> DataFrame:
+    """Indexes of lines as their numbers in the text, a row per document key."""
+    return per_doc.join(own, ["_d", "_t"]).select(
+        "_d",
+        "_t",
+        F.transform(F.array_sort(gone), lambda i: F.col("_lines")[i - 1]["no"]).alias("_gone"),
+    ).dropDuplicates(["_d", "_t"])
+
+
+def _repeats_anywhere(keys: DataFrame, own: DataFrame, guarantee: int) -> DataFrame:
+    """(_d, _t, _gone) of fingerprints extended against all earlier places."""
+    several = keys.groupBy("g").agg(F.count("*").alias("c")).filter("c > 1").select("g")
+    per_doc = (
+        keys.join(several, "g", "left_semi")
+        .groupBy("_d", "_t")
+        .agg(F.collect_set(F.struct("g", "at", "n")).alias("_hits"))
+    )
+
+    def steps(hit: Column) -> Column:
+        def side(sign: int, lines: Column) -> Column:
+            return let(
+                _lines_for(lines, guarantee),
+                lambda some: F.transform(
+                    some,
+                    lambda _, j: F.struct(
+                        F.xxhash64(hit["g"], F.lit(sign), j, F.slice(some, 1, j + 1)).alias("key"),
+                        hit["at"].alias("at"),
+                        (hit["at"] - (j + 1) if sign < 0 else hit["at"] + hit["n"] + j)
+                        .cast("int").alias("line"),
+                    ),
+                ),
+            )
+
+        gram = F.transform(
+            F.sequence(F.lit(0), hit["n"] - 1),
+            lambda j: F.struct(
+                F.xxhash64(hit["g"], F.lit(0), j).alias("key"), hit["at"].alias("at"),
+                (hit["at"] + j).cast("int").alias("line"),
+            ),
+        )
+        return F.concat(
+            gram,
+            side(-1, _before(F.col("_lines"), hit["at"], guarantee)),
+            side(1, F.slice("_lines", hit["at"] + hit["n"], guarantee)),
+        )
+
+    met = per_doc.join(own, ["_d", "_t"]).dropDuplicates(["_d", "_t"])
+    rows = met.select("_d", "_t", F.explode(F.flatten(F.transform("_hits", steps))).alias("_s"))
+    rows = settled(rows.select("_d", "_t", "_s.*"))
+    place = F.struct("_d", "_t", "at")
+    first = (
+        rows.groupBy("key").agg(F.min(place).alias("_f"), F.count("*").alias("c"))
+        .filter("c > 1").select("key", "_f")
+    )
+    marked = (
+        rows.join(first, "key").filter(F.col("_f") != place)
+        .groupBy("_d", "_t").agg(F.collect_set("line").alias("_at"))
+    )
+    return _as_gone(marked, own, F.col("_at"))
+
+
 def repeated_lines(
-    docs: DataFrame, noise: int, guarantee: int, id_col: str, text_col: str
+    docs: DataFrame,
+    noise: int,
+    guarantee: int,
+    id_col: str,
+    text_col: str,
+    all_places: bool = False,
 ) -> DataFrame:
     """(_d, _t, _gone): by document key, the numbers of the lines to delete."""
     d, t = row_key(id_col, text_col)
@@ -139,6 +210,8 @@ def repeated_lines(
     keys = profile.select("_d", "_t", F.explode("_keys").alias("_k")).select(
         "_d", "_t", "_k.g", "_k.at", "_k.n"
     )
+    if all_places:
+        return _repeats_anywhere(keys, profile.select("_d", "_t", "_lines"), guarantee)
     # the first place of each fingerprint that has several, a row per fingerprint
     first = (
         keys.groupBy("g")
@@ -186,11 +259,7 @@ def repeated_lines(
         return F.sequence(hit["at"] - left, hit["at"] + hit["n"] - 1 + right)
 
     gone = F.array_distinct(F.flatten(F.transform("_hits", run)))
-    return per_doc.join(own, ["_d", "_t"]).select(
-        "_d",
-        "_t",
-        F.transform(F.array_sort(gone), lambda i: F.col("_lines")[i - 1]["no"]).alias("_gone"),
-    ).dropDuplicates(["_d", "_t"])
+    return _as_gone(per_doc, own, gone)
 
 
 def dedup_lines(
@@ -200,6 +269,7 @@ def dedup_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     gone_col: str | None = None,
+    all_places: bool = False,
 ) -> DataFrame:
     """The rows of ``docs`` with later copies of repeated runs of lines deleted.
 
@@ -207,13 +277,14 @@ def dedup_lines(
     of the line. All columns stay; only the text changes, and only where lines go:
     it is the kept lines joined by line breaks, empty if none is left. ``gone_col``
     adds the numbers (from 1) of the deleted lines, null if there are none.
+    ``all_places`` compares each repeat with every earlier place of its fingerprint.
 
     Null and empty texts stay as they are. Rows that repeat both id and text count
     as one document and get the same result. Blank lines are no part of a run and
     are kept. Texts are shuffled once, to meet their deletions.
     """
     d, t = row_key(id_col, text_col)
-    gone = repeated_lines(docs, noise, guarantee, id_col, text_col)
+    gone = repeated_lines(docs, noise, guarantee, id_col, text_col, all_places)
     packed = docs.select(d.alias("_d"), t.alias("_t"), F.struct("*").alias("_row"))
     met = packed.join(gone, ["_d", "_t"], "left")
     old = F.col("_row")[text_col]
