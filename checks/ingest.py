@@ -155,6 +155,9 @@ def q_production_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- packing -----------------------------------------------------------------
 
+# Messages of a date, so that one date with much of the table is not one message.
+PARTS = 50
+
 
 def _packed_events(spark: SparkSession, sf_dir: str, parts: int) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
@@ -166,9 +169,9 @@ def _packed_events(spark: SparkSession, sf_dir: str, parts: int) -> DataFrame:
 @query("""
     SELECT CAST(ts AS DATE) AS data, event_id, event_type, value FROM events""")
 def q_pack_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A day a message and four parts a day, half of the events each."""
+    """Four parts a day and many, half of the events each."""
     back = []
-    for parts in (1, 4):
+    for parts in (PARTS, 4):
         packed = _packed_events(spark, sf_dir, parts)
         record = packed.schema["registros"].dataType.elementType
         text = packed.select(
@@ -176,7 +179,7 @@ def q_pack_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         again = text.withColumn("registros", parse_records("value", record))
         back.append(
-            unpack(again, complete_by=["data"]).filter(F.col("event_id") % 2 == int(parts == 1))
+            unpack(again, complete_by=["data"]).filter(F.col("event_id") % 2 == int(parts == PARTS))
         )
     return back[0].unionByName(back[1])
 
@@ -291,7 +294,7 @@ def q_stream_silver_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("precipitation_mm"),
     )
     source = work_path(spark, "climate-messages")
-    write_lines(bronze.day_messages(station, "date"), source)
+    write_lines(bronze.day_messages(station, "date", parts=PARTS), source)
     raw = json_stream(spark, source, CLIMATE_RECORD)
     return read_parquet(spark, _run(silver.climate(raw), "climate-silver"))
 
@@ -396,7 +399,8 @@ def q_replay_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         query.awaitTermination()
 
-    send_in_order(bronze.day_messages(records, "date", unique_on=["hub"]), source, arrive)
+    sent = bronze.day_messages(records, "date", unique_on=["hub"], parts=PARTS)
+    send_in_order(sent, source, arrive)
     return read_parquet(spark, target).select(
         F.col("lote").cast("long").alias("lote"), F.col("date").alias("data"), "cidade",
         "estado", "precipitacao_mm",

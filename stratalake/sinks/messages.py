@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.session import drop_path, work_path
+
 # Beside key and value: which part of its group a message is.
 PART_COLUMNS = ("parte", "partes", "linhas")
 
@@ -56,11 +58,20 @@ def send_in_order(
 
     All messages of a key are there before the next key's, and ``after_each`` is
     called in between. The keys of a feed are its days, so there are few of them.
+    The messages are made once, as a work table parted by key, and sent from there.
     """
-    keys = [r["key"] for r in messages.select("key").distinct().orderBy("key").collect()]
-    for key in keys:
-        day = messages.filter(F.col("key").eqNullSafe(F.lit(key)))
+    spark = messages.sparkSession
+    stored = work_path(spark, "messages-in-order")
+    slot = F.xxhash64(F.col("key").cast("string"))
+    messages.select(F.col("key").cast("string"), F.col("value").cast("string"), slot.alias("_slot")).write.partitionBy(
+        "_slot"
+    ).parquet(stored)
+    made = spark.read.schema("key string, value string, _slot long").parquet(stored)
+    keys = made.select("_slot", "key").distinct().orderBy("key").collect()
+    for number, key in keys:
+        day = made.filter((F.col("_slot") == number) & F.col("key").eqNullSafe(F.lit(key)))
         write_lines(day.hint("rebalance"), path)  # no empty files
         if after_each is not None:
             after_each(key)
-    return keys
+    drop_path(spark, stored)
+    return [key for _, key in keys]
