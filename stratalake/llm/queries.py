@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import chat, knn, mixing, passages, pieces, quality, secrets, simhash, sketches, toxicity
+from stratalake.llm import (
+    chat, divergence, knn, mixing, passages, pieces, quality, secrets, simhash, sketches, toxicity,
+)
 from stratalake.llm.common import read, settled
 from stratalake.llm.sql import SQL
 
@@ -98,6 +100,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(read(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from its language's other sources, and its own terms."""
+    return divergence.audit_sources(read(spark, sf_dir, "documents"))
+
+
 def all_queries():
     return {name: f for name, f in globals().items() if name.startswith("op")}
 

@@ -116,3 +116,52 @@ WITH rows AS (
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+SQL["op11_source_divergence"] = r"""
+WITH docs AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), found AS (
+    SELECT lang, unnest(list_distinct(terms)) AS term FROM docs
+), kept AS (
+    SELECT lang, term FROM found GROUP BY ALL HAVING count(*) >= 3
+), used AS (
+    SELECT d.lang, d.source, d.term, count(*)::HUGEINT AS n
+    FROM (SELECT lang, source, unnest(terms) AS term FROM docs) d JOIN kept USING (lang, term)
+    GROUP BY ALL
+), langs AS (
+    SELECT lang, count(DISTINCT term)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM used GROUP BY lang
+), per_lang AS (
+    SELECT u.lang, u.term, any_value(l.v) AS v,
+           1 + (1000000000::HUGEINT * (sum(u.n)::HUGEINT + 1)) // any_value(l.total + l.v) AS q
+    FROM used u JOIN langs l USING (lang) GROUP BY u.lang, u.term
+), groups AS (
+    SELECT d.lang, d.source, coalesce(any_value(t.total), 0)::HUGEINT AS total
+    FROM (SELECT DISTINCT lang, source FROM docs) d
+    LEFT JOIN (SELECT lang, source, sum(n) AS total FROM used GROUP BY ALL) t USING (lang, source)
+    GROUP BY d.lang, d.source
+), shares AS (
+    SELECT g.lang, g.source, k.term, coalesce(u.n, 0) AS n, k.q,
+           1 + (1000000000::HUGEINT * (coalesce(u.n, 0) + 1)) // (g.total + k.v) AS p
+    FROM groups g JOIN per_lang k USING (lang)
+    LEFT JOIN used u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY ALL
+), items AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT
+    FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+    FROM items
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
