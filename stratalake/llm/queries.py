@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import (
-    chat, divergence, knn, mixing, passages, pieces, quality, secrets, simhash, sketches, toxicity,
+    chat, divergence, knn, markov, mixing, passages, pieces, quality, repair, secrets, simhash,
+    sketches, toxicity,
 )
 from stratalake.llm.common import read, settled
 from stratalake.llm.sql import SQL
@@ -105,6 +106,18 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit_sources(read(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by a hash and repaired at the least cost."""
+    hurt = repair.damaged(read(spark, sf_dir, "conversations"))
+    return repair.repair_conversations(hurt, live=F.col("live"))[1]
+
+
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Likelihood of every document under a model of those outside one fold of seven."""
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    return markov.score_documents(read(spark, sf_dir, "documents"), fold != 2)
+
+
 def all_queries():
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
