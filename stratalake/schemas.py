@@ -7,6 +7,11 @@ from pyspark.sql import types as T
 # Rows that the JSON source cannot read keep their text in this column.
 CORRUPT = "_corrupt_record"
 
+# Columns that say how a silver row came in, and nothing of what it says.
+INGEST_TIME = "ingest_ts"
+BATCH = "lote"
+BOOKKEEPING = (INGEST_TIME, BATCH)
+
 
 def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-INGEST_TIME = "ingest_ts"
+from stratalake.schemas import INGEST_TIME
 
 
 def drop_replays_stream(
