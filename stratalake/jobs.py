@@ -20,15 +20,27 @@ from stratalake import schemas
 from stratalake.operators.aggregates import row_counts
 from stratalake.operators.grid import sample_grid
 from stratalake.operators.ordering import first_rows
+from stratalake.operators.packing import parts_for
 from stratalake.operators.quality import append_absent
-from stratalake.plans import bronze, gold, serve, silver
+from stratalake.operators.sizing import measured_bytes, settled
+from stratalake.plans import bronze, compaction, gold, serve, silver, summaries
+from stratalake.plans.refresh import Periods, read_silver, refresh_gold
 from stratalake.session import build_session
 from stratalake.sinks import files, messages, tables
+from stratalake.sinks.keyed import append_by_year
 from stratalake.sources import dimensions
 from stratalake.sources import files as file_sources
 from stratalake.sources import streams
 from stratalake.sources import tables as table_sources
-from stratalake.streaming import drop_replays_stream, start_append
+from stratalake.streaming import (
+    drop_replays_stream,
+    into_batches,
+    into_newest,
+    split,
+    start_append,
+    start_merge,
+    start_split,
+)
 
 
 @dataclass(frozen=True)
@@ -38,6 +50,7 @@ class SilverJob:
     key: tuple[str, ...]
     fields: dict[str, str]  # silver column to the record's field
     partition_by: tuple[str, ...] = ()
+    merge_by: tuple[str, ...] = ("data",)  # partitions that follow from the key
 
 
 @dataclass(frozen=True)
@@ -45,6 +58,7 @@ class GoldJob:
     build: Callable[..., DataFrame]
     key: tuple[str, ...]
     order: tuple[str, ...]
+    periods: Periods
     partition_by: tuple[str, ...] = ()
 
 
@@ -70,24 +84,39 @@ SILVER = {
         ("data",),
     ),
 }
+_DAY_OF_RAIN = Periods("data", "day", ("data",))
+_DAY_OF_PRICE = Periods("timestamp", "day", ("data",))
+_DATE_PARTS = ("ano", "mes", "dia")
 GOLD = {
     "monthly-production": GoldJob(
         gold.monthly_production,
         schemas.PRODUCTION_KEY,
         gold.MONTHLY_PRODUCTION_ORDER,
+        Periods("data", "month", ("ano", "mes")),
         ("estado",),
     ),
     "daily-mean-rain": GoldJob(
-        gold.daily_mean_rain, schemas.CLIMATE_KEY, gold.DAILY_MEAN_RAIN_ORDER
+        gold.daily_mean_rain, schemas.CLIMATE_KEY, gold.DAILY_MEAN_RAIN_ORDER, _DAY_OF_RAIN
     ),
     "daily-mean-price": GoldJob(
-        gold.daily_mean_price, schemas.PRICE_KEY, gold.DAILY_MEAN_PRICE_ORDER
+        gold.daily_mean_price, schemas.PRICE_KEY, gold.DAILY_MEAN_PRICE_ORDER, _DAY_OF_PRICE
     ),
     "daily-total-rain": GoldJob(
-        gold.daily_total_rain, schemas.CLIMATE_KEY, gold.DAILY_TOTAL_RAIN_ORDER
+        gold.daily_total_rain, schemas.CLIMATE_KEY, gold.DAILY_TOTAL_RAIN_ORDER,
+        Periods("data", "day", _DATE_PARTS),
     ),
-    "price-rows": GoldJob(gold.price_rows, schemas.PRICE_KEY, ("data",)),
-}
+    "price-rows": GoldJob(
+        gold.price_rows, schemas.PRICE_KEY, ("data",), Periods("timestamp", "day", _DATE_PARTS)
+    ),
+    "rain-summaries": GoldJob(
+        summaries.rain_summaries, schemas.CLIMATE_KEY, ("data", "estado"),
+        Periods("data", "month", ("ano", "mes")),
+    ),
+    "price-summaries": GoldJob(
+        summaries.price_summaries, schemas.PRICE_KEY, ("data",),
+        Periods("timestamp", "month", ("ano", "mes")),
+    ),
+}
 RELATION = {
     "rain-series": serve.RainPriceRelation.rain_series,
     "price-series": serve.RainPriceRelation.price_series,
@@ -96,6 +125,10 @@ RELATION = {
     "states": serve.RainPriceRelation.states,
     "date-range": serve.RainPriceRelation.date_range,
 }
+SUMMARIES = {
+    "summary-cards": summaries.RainPriceSummaries.mean_cards,
+    "summary-trend": summaries.RainPriceSummaries.trend_line,
+}
 
 
 def load_production(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -109,6 +142,14 @@ def load_production(spark: SparkSession, args: argparse.Namespace) -> None:
     first_rows(stored).show()
 
 
+def planned_parts(source: DataFrame, dated: str) -> int:
+    """Messages per date that keep those of the largest date within a broker's limit."""
+    found = source.groupBy(dated).count().agg(F.max("count"), F.sum("count")).first()
+    if not found[1]:
+        return 1
+    return parts_for(found[0], -(-measured_bytes(source) // found[1]))
+
+
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
     """A table or CSV as JSON messages, to a topic or to text files."""
     if args.feed == "prices":
@@ -120,10 +161,12 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
         else:
             source = table_sources.read_table(spark, args.source)
         pack = {"climate": bronze.climate_messages, "production": bronze.production_messages}
+        dated = {"climate": "date", "production": "data"}[args.feed]
+        args.parts = args.parts or planned_parts(source, dated)
         sent = pack[args.feed](source, parts=args.parts, ordered=True)
     if args.servers:
         messages.publish(sent, args.servers, args.target)
-    elif args.parts > 1:
+    elif (args.parts or 1) > 1:
         messages.write_table(sent, args.target)
     else:
         messages.write_lines(sent, args.target)
@@ -162,11 +205,14 @@ def land(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def to_silver(spark: SparkSession, args: argparse.Namespace) -> None:
     """Bronze to silver as a stream. With --quarantine, messages that cannot be
-    read, and those of records with a bad value or without their key, go there as
-    they were sent, and the records not to silver."""
+    read, and those of records with a bad value or without their key, go there once,
+    as they were sent, with the numbers of the bad records, and these not to silver.
+    --merge keeps the newest row of each key instead of all of them."""
     job = SILVER[args.table]
     path = f"{args.bronze.rstrip('/')}/{args.glob}" if args.glob else args.bronze
-    if args.landed:
+    if args.json:
+        arriving = streams.json_stream(spark, path, job.record, args.max_files)
+    elif args.landed:
         arriving = streams.parquet_stream(
             spark, path, T.StructType().add("value", T.BinaryType()), args.max_files
         )
@@ -174,53 +220,93 @@ def to_silver(spark: SparkSession, args: argparse.Namespace) -> None:
         arriving = streams.text_stream(spark, path, args.max_files)
     extra = {"state_codes": True} if args.state_codes else {}
     interval = None if args.once else args.interval
-    running = []
+    layout = job.partition_by if args.partition_by is None else args.partition_by
+    if args.merge and args.drop_replays_within:
+        raise SystemExit("--merge drops replays whenever they come")
+
+    if args.quarantine and not args.drop_replays_within:
+        also = [split.MESSAGE, split.NUMBER, split.SENT, split.TEXTS]
+
+        def check(batch: DataFrame) -> DataFrame:
+            raw = silver.numbered_json(batch) if args.json else silver.numbered_records(batch, job.record)
+            checked = job.transform(raw, also=also, **extra)
+            if args.merge or args.keep_ingest:
+                checked = checked.withColumn(schemas.INGEST_TIME, F.current_timestamp())
+            return checked
+
+        if args.merge:
+            take = into_newest(args.silver, args.checkpoint, job.key, job.merge_by)
+        else:
+            take = into_batches(args.silver, layout)
+        start_split(
+            arriving, check, split.rejection(job.fields, job.key), take, args.quarantine,
+            args.checkpoint, f"{args.quarantine.rstrip('/')}-contagem", interval,
+        ).awaitTermination()
+        return
     if args.quarantine:
+        # replays are told by a state, which has no place in the query that splits
         raw = silver.checked_records(arriving, job.record)
         checked = job.transform(raw, also=["value", "_texts"], **extra)
         bad = silver.rejected(job.fields, job.key)
-        running.append(
-            start_append(
-                checked.filter(bad).select("value"),
-                args.quarantine,
-                f"{args.checkpoint}-quarantine",
-                interval=interval,
-            )
-        )
+        refused = start_append(
+            checked.filter(bad).select("value"), args.quarantine,
+            f"{args.checkpoint}-quarantine", interval=interval,
+        )
         rows = checked.filter(~bad).drop("value", "_texts")
     else:
-        rows = job.transform(silver.records(arriving, job.record), **extra)
-    if args.drop_replays_within:
-        rows = drop_replays_stream(rows, args.drop_replays_within)
-        rows = rows if args.keep_ingest else rows.drop("ingest_ts")
-    elif args.keep_ingest:
-        rows = rows.withColumn("ingest_ts", F.current_timestamp())
-    layout = job.partition_by if args.partition_by is None else args.partition_by
-    running.append(
-        start_append(
+        refused = None
+        raw = arriving.drop(schemas.CORRUPT) if args.json else silver.records(arriving, job.record)
+        rows = job.transform(raw, **extra)
+    if args.merge:
+        query = start_merge(rows, args.silver, args.checkpoint, job.key, job.merge_by, interval=interval)
+    else:
+        if args.drop_replays_within:
+            rows = drop_replays_stream(rows, args.drop_replays_within)
+            rows = rows if args.keep_ingest else rows.drop(schemas.INGEST_TIME)
+        elif args.keep_ingest:
+            rows = rows.withColumn(schemas.INGEST_TIME, F.current_timestamp())
+        query = start_append(
             rows, args.silver, args.checkpoint, layout, interval=interval, spread=args.spread
         )
+    for running in (refused, query):
+        if running is not None:
+            running.awaitTermination()
+
+
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Landed days before --before, of many small files, to an archive of few."""
+    done = compaction.compact_days(
+        spark, args.bronze, args.archive, args.before, args.file_bytes
     )
-    for query in running:
-        query.awaitTermination()
+    print(f"{len(done)} days compacted")
 
 
 def to_gold(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Silver to a gold table: files, and a database table fed from those files."""
+    """Silver to a gold table: files, and a database table fed from those files.
+    With --changes, only the dates that came in since the last run are made anew;
+    with --publish, a catalog name shows the former table until the new one is there."""
     job = GOLD[args.table]
-    built = job.build(
-        file_sources.read_parquet(spark, args.silver),
-        unique_on=job.key,
-        newest_by=args.newest_by,
-    )
-    stored = files.overwrite(built, args.gold, args.format, job.partition_by)
+    build = partial(job.build, unique_on=job.key, newest_by=args.newest_by)
+    if args.changes:
+        if args.format != "parquet" or args.publish:
+            raise SystemExit("--changes replaces partitions of Parquet files")
+        rebuilt = refresh_gold(spark, args.silver, args.gold, args.changes, build, job.periods)
+        print(f"{rebuilt} periods rebuilt")
+        stored = file_sources.read_parquet(spark, args.gold)
+    elif args.publish:
+        built = build(read_silver(spark, args.silver))
+        stored = tables.publish_version(built, args.publish, args.gold, job.partition_by, args.format)
+    else:
+        built = build(read_silver(spark, args.silver))
+        stored = files.overwrite(built, args.gold, args.format, job.partition_by)
     stored.orderBy(*job.order).show()
     if args.option:
         tables.overwrite_jdbc(stored, args.option)
 
 
 def load_rain(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Yearly grids sampled at the hubs and appended under the key (date, hub)."""
+    """Yearly grids sampled at the hubs and appended under the key (date, hub). Hubs
+    whose nearest cell has no row in a year are reported, not appended."""
     years = range(args.years[0], args.years[1] + 1)
     grid = file_sources.read_grid_years(
         spark, lambda year: args.grid.format(year=year), years
@@ -229,13 +315,23 @@ def load_rain(spark: SparkSession, args: argparse.Namespace) -> None:
     if axes is not None:
         every = F.explode(F.array(*map(F.lit, years))).alias("ano")
         axes = axes.select("latitude", "longitude", every)
-    found = sample_grid(grid, dimensions.hubs(spark), years=years, axes=axes)
-    rows = silver.station_rows(found)
+    found = settled(
+        sample_grid(grid, dimensions.hubs(spark), years=years, axes=axes, keep_unmatched=True)
+    )
+    lost = found.filter(F.col("date").isNull())
+    if not lost.isEmpty():
+        lost.select("hub", "lat", "lon", "cell_lat", "cell_lon").distinct().orderBy("hub").show()
+    rows = silver.station_rows(found.filter(F.col("date").isNotNull()))
+    key = schemas.CLIMATE_TABLE_KEY
+    if args.by_year:
+        append_by_year(rows, args.table_path, key, "date")
+        return
     if args.first_load:
-        files.append(rows.dropDuplicates(list(schemas.CLIMATE_TABLE_KEY)), args.table_path)
+        none = rows.limit(0)
+        files.append(append_absent(rows, none, key), args.table_path)
         return
     stored = file_sources.read_parquet(spark, args.table_path)
-    files.append(append_absent(rows, stored, schemas.CLIMATE_TABLE_KEY), args.table_path)
+    files.append(append_absent(rows, stored, key), args.table_path)
 
 
 def answer(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -249,6 +345,11 @@ def answer(spark: SparkSession, args: argparse.Namespace) -> None:
         result = serve.production_series(read(args.gold[0]), args.state)
     elif args.query == "production-states":
         result = serve.production_states(read(args.gold[0]))
+    elif args.query in SUMMARIES:
+        figures = summaries.RainPriceSummaries(
+            *map(read, args.gold), args.state, args.first, args.last
+        )
+        result = SUMMARIES[args.query](figures)
     elif args.query == "points":
         result = serve.rain_price_points(*map(read, args.gold), args.state)
     else:
@@ -296,8 +397,9 @@ def parser() -> argparse.ArgumentParser:
     send.add_argument("--servers")
     send.add_argument("--newest-first", action="store_true")
     send.add_argument(
-        "--parts", type=int, default=1,
-        help="messages per date; several go to files as Parquet, with their numbers",
+        "--parts", type=int,
+        help="messages per date, by default as many as the largest date needs to keep a"
+        " message small; several go to files as Parquet, with their numbers",
     )
 
     capture = command(land, "land")
@@ -312,6 +414,8 @@ def parser() -> argparse.ArgumentParser:
     streaming(refine)
     refine.add_argument("--silver", required=True)
     refine.add_argument("--quarantine")
+    refine.add_argument("--json", action="store_true", help="read with the JSON source")
+    refine.add_argument("--merge", action="store_true", help="keep the newest row of each key")
     refine.add_argument("--landed", action="store_true", help="bronze is landed Parquet")
     refine.add_argument("--glob", help="read only these files, such as '*/*/*/*.json'")
     refine.add_argument("--max-files", type=int, default=10_000, help="per batch")
@@ -321,17 +425,26 @@ def parser() -> argparse.ArgumentParser:
     refine.add_argument("--keep-ingest", action="store_true", help="keep ingest_ts")
     refine.add_argument("--spread", type=int, help="tasks per partition value and batch")
 
+    pack_days = command(compact, "compact")
+    pack_days.add_argument("--bronze", required=True)
+    pack_days.add_argument("--archive", required=True)
+    pack_days.add_argument("--before", type=dt.date.fromisoformat, required=True)
+    pack_days.add_argument("--file-bytes", type=int, default=compaction.FILE_BYTES)
+
     build = command(to_gold, "gold")
     build.add_argument("table", choices=sorted(GOLD))
     build.add_argument("--silver", required=True)
     build.add_argument("--gold", required=True)
     build.add_argument("--format", default="parquet", help="parquet, delta, ...")
+    build.add_argument("--changes", help="checkpoint of the dates that are done")
+    build.add_argument("--publish", help="name in the catalog")
     build.add_argument("--newest-by", help="column by which a key's last row replaces the others")
 
     rain = command(load_rain, "load-rain")
     rain.add_argument("--grid", required=True, help="path with {year} in it")
     rain.add_argument("--table-path", required=True)
     rain.add_argument("--first-load", action="store_true")
+    rain.add_argument("--by-year", action="store_true", help="keep the table parted by year")
     rain.add_argument(
         "--years", type=int, nargs=2, metavar=("FIRST", "LAST"),
         default=(schemas.GRID_YEARS[0], schemas.GRID_YEARS[-1]),
@@ -340,7 +453,7 @@ def parser() -> argparse.ArgumentParser:
 
     ask = command(answer, "serve")
     ask.add_argument(
-        "query", choices=["production-series", "production-states", "points", *RELATION]
+        "query", choices=["production-series", "production-states", "points", *RELATION, *SUMMARIES]
     )
     ask.add_argument("--gold", nargs="+", required=True)
     ask.add_argument("--format", default="parquet")

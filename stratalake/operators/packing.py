@@ -55,26 +55,47 @@ def pack(
 
 
 def require_all_parts(df: DataFrame, by: Sequence[str]) -> None:
-    """Raise where a part of a packed group is not there, or not whole."""
-    broken = df.groupBy(*by).agg(
-        F.count_distinct("parte").alias("n"),
-        F.max("partes").alias("partes"),
-        F.max((F.size("registros") != F.col("linhas")).cast("int")).alias("cut"),
+    """Raise where a part of a packed group is not there.
+
+    Only the keys and numbers of the messages are read, not what is in them.
+    """
+    numbers = df.select(*by, "parte", "partes")
+    broken = numbers.groupBy(*by).agg(
+        F.count_distinct("parte").alias("n"), F.max("partes").alias("partes")
     )
-    first = broken.filter("n <> partes or cut = 1").first()
+    first = broken.filter("n <> partes").first()
     if first is not None:
         named = ", ".join(str(first[name]) for name in by)
         raise ValueError(f"{named}: {first['n']} of {first['partes']} parts are there and whole")
 
 
+def require_whole_parts(df: DataFrame, by: Sequence[str], records: str = "registros") -> None:
+    """Raise where a part has other than as many records as it says."""
+    first = df.filter(F.size(records) != F.col("linhas")).select(*by, "parte").first()
+    if first is not None:
+        named = ", ".join(str(first[name]) for name in by)
+        raise ValueError(f"{named}: part {first['parte']} is not whole")
+
+
 def unpack(
-    df: DataFrame, records: str = "registros", complete_by: Sequence[str] | None = None
+    df: DataFrame,
+    records: str = "registros",
+    complete_by: Sequence[str] | None = None,
+    checked: bool = True,
 ) -> DataFrame:
     """One row per record; null and empty arrays give none.
 
-    With ``complete_by``, the columns the rows were packed by, a missing part
-    raises instead of leaving rows out.
+    With ``complete_by``, the columns the rows were packed by, a missing part or a cut
+    one raises instead of leaving rows out. The messages are read for that once and
+    again for the records. ``checked=False`` only counts the parts beforehand, from
+    keys and numbers, and lets a cut part fail where its records are read.
     """
     if complete_by is not None:
         require_all_parts(df, complete_by)
+        if checked:
+            require_whole_parts(df, complete_by, records)
+        else:
+            cut = F.size(records) != F.col("linhas")
+            said = F.concat_ws(" ", F.lit("part"), "parte", F.lit("is not whole"))
+            df = df.withColumn(records, F.when(cut, F.raise_error(said)).otherwise(F.col(records)))
     return df.select(F.explode(records).alias("_record")).select("_record.*")

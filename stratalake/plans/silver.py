@@ -99,6 +99,55 @@ def checked_records(messages: DataFrame, record: T.StructType) -> DataFrame:
     return rows.select("_pair._typed.*", "value", F.col("_pair._said").alias("_texts"))
 
 
+def numbered_records(messages: DataFrame, record: T.StructType) -> DataFrame:
+    """Like :func:`checked_records`, with ``_mensagem`` and ``_numero``: which message of
+    its batch a record came in, and as which of its records (from 1). The first
+    of them tells apart messages that say the same. For plans of one batch, as a
+    stream's sink gets them, and for batch reads.
+    """
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in record.fields])
+    value = F.col("value").cast("string")
+    both = messages.select(
+        F.monotonically_increasing_id().alias("_mensagem"),
+        value.alias("value"),
+        parse_records(value, record).alias("_typed"),
+        parse_records(value, texts).alias("_said"),
+    )
+    readable = F.col("_typed").isNotNull() & F.col("_said").isNotNull()
+    nothing = F.array(
+        F.struct(F.lit(None).cast(record).alias("_typed"), F.lit(None).cast(texts).alias("_said"))
+    )
+    pairs = F.when(readable, F.arrays_zip("_typed", "_said")).otherwise(nothing)
+    return both.select(
+        "_mensagem", "value", F.posexplode(pairs).alias("_at", "_pair")
+    ).select(
+        "_pair._typed.*",
+        "_mensagem",
+        (F.col("_at") + 1).alias("_numero"),
+        "value",
+        F.col("_pair._said").alias("_texts"),
+    )
+
+
+def numbered_json(raw: DataFrame) -> DataFrame:
+    """Rows of the JSON source with the columns of :func:`numbered_records`.
+
+    The source keeps the text of a line that it could not read, or not in full, so a
+    row with such text counts as unreadable as a whole, and is number 1.
+    """
+    fields = [F.col(f"`{name}`") for name in raw.columns if name != CORRUPT]
+    said = F.struct(
+        *[F.col(f"`{name}`").cast("string").alias(name) for name in raw.columns if name != CORRUPT]
+    )
+    return raw.select(
+        *fields,
+        F.monotonically_increasing_id().alias("_mensagem"),
+        F.lit(1).alias("_numero"),
+        F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*fields))).alias("value"),
+        F.when(F.col(CORRUPT).isNull(), said).alias("_texts"),
+    )
+
+
 def rejected(fields: Mapping[str, str], key: Sequence[str]) -> Column:
     """True for rows whose key is incomplete, or whose value did not parse.
 

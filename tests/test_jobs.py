@@ -5,7 +5,10 @@ import os
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from stratalake import jobs
+from stratalake.sinks.files import read_batches
 
 D = dt.date
 
@@ -42,7 +45,11 @@ def test_production_from_csv_to_series(spark, tmp_path, run, rows):
         "--checkpoint", tmp_path / "cp", "--quarantine", tmp_path / "bad", "--once",
     )
     assert spark.read.parquet(str(tmp_path / "silver")).count() == 6
-    assert rows(spark.read.parquet(str(tmp_path / "bad"))) == sorted([("junk",), (keyless,), (number,)])
+    bad = read_batches(spark, str(tmp_path / "bad"))
+    assert rows(bad.select("value")) == sorted([("junk",), (keyless,), (number,)])
+    assert {(r.value, tuple(r.registros), tuple(r.motivos)) for r in bad.collect()} == {
+        ("junk", (1,), ("mensagem ilegível",)), (keyless, (1,), ("valor ilegível",)), (number, (1,), ("valor ilegível",)),
+    }
     run("gold", "monthly-production", "--silver", tmp_path / "silver", "--gold", tmp_path / "gold")
     assert sorted(n for n in os.listdir(tmp_path / "gold") if "=" in n) == ["estado=Bahia", "estado=Piaui"]
     run("serve", "production-series", "--gold", tmp_path / "gold", "--to", tmp_path / "out")
@@ -141,3 +148,97 @@ def test_rain_is_loaded_under_its_key(spark, tmp_path, run, rows):
     assert rows(spark.read.parquet(str(tmp_path / "t"))) == stored
     run("publish", "climate", "--source", f"parquet.`{tmp_path}/t`", "--target", tmp_path / "msgs")
     assert spark.read.text(str(tmp_path / "msgs")).count() == 2
+
+
+def test_replays_with_ingest_time_count_once(spark, tmp_path, run, rows):
+    line = '[{"data":"2015-01-01","unidade_federativa":"Bahia","producao":10}]'
+    put(str(tmp_path / "bronze" / "a.json"), line)
+    for name in ("b.json", "c.json"):
+        run(
+            "silver", "production", "--bronze", tmp_path / "bronze", "--silver", tmp_path / "silver",
+            "--checkpoint", tmp_path / "cp", "--keep-ingest", "--once",
+        )
+        put(str(tmp_path / "bronze" / name), line)
+    silver = spark.read.parquet(str(tmp_path / "silver"))
+    assert silver.count() == 2 and silver.select("ingest_ts").distinct().count() == 2
+    run("gold", "monthly-production", "--silver", tmp_path / "silver", "--gold", tmp_path / "gold")
+    assert rows(spark.read.parquet(str(tmp_path / "gold")).select("producao_mensal_total")) == [(10.0,)]
+
+
+def test_json_source_reaches_silver_and_quarantine(spark, tmp_path, run, rows):
+    day = '{"date":"2024-01-0%d","hub":"%s","state":"MT","precipitation_mm":%s}'
+    put(str(tmp_path / "in" / "a.json"), "[" + day % (1, "A", "NaN") + "," + day % (1, "B", 2) + "]", "junk")
+    put(str(tmp_path / "in" / "b.json"), '{"date":"2024-01-02","hub":null,"precipitation_mm":1}')
+    argv = ["silver", "climate", "--json", "--bronze", tmp_path / "in", "--once"]
+    run(*argv, "--silver", tmp_path / "plain", "--checkpoint", tmp_path / "cp0")
+    assert spark.read.parquet(str(tmp_path / "plain")).filter("cidade is not null").count() == 2
+    run(*argv, "--silver", tmp_path / "s", "--checkpoint", tmp_path / "cp", "--quarantine", tmp_path / "q")
+    assert sorted(r.cidade for r in read_batches(spark, str(tmp_path / "s")).collect()) == ["A", "B"]
+    bad = read_batches(spark, str(tmp_path / "q")).collect()
+    assert sorted(r.motivos[0] for r in bad) == ["mensagem ilegível", "sem chave"]
+    assert "junk" in [r.value for r in bad]
+    counts = read_batches(spark, str(tmp_path / "q-contagem")).first().asDict()
+    assert counts == {"entrada": 4, "prata": 2, "ilegiveis": 1, "sem_chave": 1, "valores": 0}
+
+
+def test_merge_keeps_the_newest_row(spark, tmp_path, run, rows):
+    line = '[{"data":"2015-0%d-01","unidade_federativa":"Bahia","producao":%s}]'
+    put(str(tmp_path / "bronze" / "a.json"), line % (1, 1), line % (2, 2))
+    for n, new in enumerate([line % (1, 9), line % (3, 3), line % (1, 9)]):
+        for quarantine in ([], ["--quarantine", tmp_path / "bad"]):
+            run(
+                "silver", "production", "--bronze", tmp_path / "bronze", "--silver", tmp_path / f"s{len(quarantine)}",
+                "--checkpoint", tmp_path / f"cp{len(quarantine)}", "--merge", "--once", *quarantine,
+            )
+        put(str(tmp_path / "bronze" / f"n{n}.json"), new)
+    for name in ("s0", "s2"):
+        got = spark.read.parquet(str(tmp_path / name)).select(F.month("data").alias("m"), "producao")
+        assert rows(got) == [(1, 9.0), (2, 2.0), (3, 3.0)]
+
+
+def test_hubs_without_a_row_are_told_and_years_kept_apart(spark, tmp_path, run, rows, capfd):
+    def grid(rain):
+        spark.createDataFrame(
+            [(D(2015, 1, 1), -12.5, -55.5, rain), (D(2015, 1, 1), -17.5, -50.5, rain)],
+            "date date, latitude double, longitude double, precip double",
+        ).write.mode("overwrite").parquet(str(tmp_path / "grid-2015"))
+
+    argv = ["load-rain", "--grid", str(tmp_path / "grid-{year}"), "--table-path", tmp_path / "t", "--by-year"]
+    for rain in (1.0, 5.0):
+        grid(rain)
+        run(*argv)
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert rows(stored.select("precipitation_mm", "ano").distinct()) == [(1.0, 2015)]
+    assert 0 < stored.count() < 10
+
+
+def test_published_gold_and_summaries_serve(spark, tmp_path, run, rows):
+    rain = [(D(2024, 1, d), "A", s, float(d * k)) for d in range(1, 6) for k, s in ((1, "BA"), (3, "MT"))]
+    spark.createDataFrame(rain, "data date, cidade string, estado string, precipitacao_mm double").write.parquet(
+        str(tmp_path / "rain")
+    )
+    price = [(dt.datetime(2024, 1, d, h), float(d * d + h)) for d in range(2, 7) for h in (0, 5)]
+    spark.createDataFrame(price, "timestamp timestamp, preco double").write.parquet(str(tmp_path / "price"))
+    for table, source in (("daily-total-rain", "rain"), ("price-rows", "price")):
+        run("gold", table, "--silver", tmp_path / source, "--gold", tmp_path / table)
+    for table, source in (("rain-summaries", "rain"), ("price-summaries", "price")):
+        run("gold", table, "--silver", tmp_path / source, "--gold", tmp_path / table, "--changes", tmp_path / f"{table}-cp")
+    both = ["--gold", tmp_path / "daily-total-rain", tmp_path / "price-rows"]
+    stored = ["--gold", tmp_path / "rain-summaries", tmp_path / "price-summaries"]
+    for full, short in (("mean-cards", "summary-cards"), ("trend-line", "summary-trend")):
+        for choice in ([], ["--state", "MT"], ["--first", "2024-01-03", "--last", "2024-01-04"]):
+            run("serve", full, *both, *choice, "--to", tmp_path / "a")
+            run("serve", short, *stored, *choice, "--to", tmp_path / "b")
+            a, b = (spark.read.parquet(str(tmp_path / n)).first().asDict() for n in "ab")
+            assert a == pytest.approx(b)
+    run("gold", "daily-total-rain", "--silver", tmp_path / "rain", "--gold", tmp_path / "pub", "--publish", "chuva")
+    assert spark.table("chuva").count() == 10
+    with pytest.raises(SystemExit):
+        run("gold", "price-rows", "--silver", tmp_path / "price", "--gold", tmp_path / "x", "--changes", "cp", "--publish", "y")
+
+
+def test_parts_are_planned_from_the_largest_date(spark):
+    small = spark.range(10).select(F.lit("d").alias("date"), "id")
+    assert jobs.planned_parts(small, "date") == 1 and jobs.planned_parts(small.limit(0), "date") == 1
+    wide = spark.range(3000).select(F.lit("d").alias("date"), F.repeat(F.lit("x"), F.lit(1000)).alias("t"))
+    assert jobs.planned_parts(wide, "date") >= 4
