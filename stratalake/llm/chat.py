@@ -7,6 +7,7 @@ output can be read back without loss.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,6 +32,27 @@ def escape(text: Column) -> Column:
     return F.regexp_replace(text, r"<(\\*)\|", r"<$1\\|")
 
 
+_SEEN = "array<struct<shown:string,is_text:boolean,tokens:bigint,type:string,ref:string,part:int>>"
+
+
+def join_texts(seen: Column) -> Column:
+    """Visited parts with texts that stand side by side made one.
+
+    A control string may begin in one part and end in a later one, so texts are
+    escaped as they will be read.
+    """
+
+    def add(done: Column, part: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        longer = last.withField("shown", F.concat(last["shown"], part["shown"]))
+        goes_on = part["is_text"] & F.coalesce(last["is_text"], F.lit(False))
+        return F.when(
+            goes_on, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer))
+        ).otherwise(F.concat(done, F.array(part)))
+
+    return F.aggregate(seen, F.array().cast(_SEEN), add)
+
+
 def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"<(\\*)\\\|", "<$1|")
 
@@ -84,11 +106,12 @@ def text_part(text: Column) -> Column:
 
 
 def visit(part: Column, counters: Mapping[str, Callable[[Column], Column]]) -> Column:
-    """What a part leaves in the output: its string, whether it is text, its tokens.
+    """What a part leaves in the output: its string (a text not escaped yet), whether it
+    is text, its tokens.
 
     A type that is neither text nor known is kept as text.
     """
-    shown = escape(F.coalesce(part["text"], F.lit("")))
+    shown = F.coalesce(part["text"], F.lit(""))
     is_text, tokens = F.lit(True), F.lit(0).cast("long")
     for kind, count in counters.items():
         hit = F.coalesce(part["type"] == kind, F.lit(False))
@@ -113,7 +136,8 @@ def format_chat(
     """One row per conversation: the formatted string and what belongs to it.
 
     Returns the conversation's id, ``formatted``, ``loss_spans`` (start and length
-    in code points of every text part of role ``learn_from``), ``attachments``
+    in code points of the texts of role ``learn_from``, adjacent text parts as one),
+    ``attachments``
     (turn and part number from 0, type, reference, expanded tokens, in order) and
     ``attachment_tokens``.
 
@@ -129,7 +153,19 @@ def format_chat(
         F.col(conv_col).alias("_conv"),
         F.col(turn_col).alias("_turn"),
         F.coalesce(F.col(role_col), F.lit("")).alias("_role"),
-        F.transform(content, lambda part: visit(part, counters)).alias("_seen"),
+        join_texts(
+            F.transform(
+                content, lambda part, i: visit(part, counters).withField("part", i.cast("int"))
+            )
+        ).alias("_seen"),
+    ).withColumn(
+        "_seen",
+        F.transform(
+            "_seen",
+            lambda s: s.withField(
+                "shown", F.when(s["is_text"], escape(s["shown"])).otherwise(s["shown"])
+            ),
+        ),
     )
     body = F.array_join(F.col("_seen.shown"), "")
     flat = flat.withColumn("_head", F.concat(F.lit(START), escape_role("_role"), F.lit("\n")))
@@ -158,8 +194,8 @@ def format_chat(
     attached = F.filter(
         F.transform(
             "_seen",
-            lambda s, i: F.struct(
-                F.col("_no").alias("turn"), i.alias("part"), s["type"].alias("type"),
+            lambda s: F.struct(
+                F.col("_no").alias("turn"), s["part"].alias("part"), s["type"].alias("type"),
                 s["ref"].alias("ref"), s["tokens"].alias("tokens"), s["is_text"].alias("is_text"),
             ),
         ),
@@ -187,9 +223,10 @@ def format_chat(
 
 
 def read_turns(formatted: Column) -> Column:
-    """The turns of a formatted conversation: role and content, unescaped.
+    """The turns of a formatted conversation: role, content unescaped (``text``), and the
+    content as it stands (``content``), which :func:`read_parts` takes apart.
 
-    Placeholders stay in the content as they are.
+    Placeholders stay in the text as they are.
     """
 
     def turn(raw: Column) -> Column:
@@ -199,12 +236,35 @@ def read_turns(formatted: Column) -> Column:
         return F.struct(
             unescape_role(F.substring(raw, F.lit(1), cut - 1)).alias("role"),
             unescape(body).alias("text"),
+            body.alias("content"),
         )
 
     pieces = F.split(formatted, START.replace("|", "\\|"))
     return let(pieces, lambda p: F.transform(F.slice(p, 2, F.size(p)), turn))
 
 
+def read_parts(content: Column) -> Column:
+    """Content as it stands between a turn's marks, as parts in order: type and text.
+
+    Adjacent texts come back as one, unescaped. A placeholder is one only where it is
+    not escaped, so a text that says ``<|image|>`` stays a text.
+    """
+    names = "|".join(re.escape(mark) for mark in PLACEHOLDERS.values())
+    pieces = F.filter(
+        F.split(content, f"(?={names})|" + "|".join(f"(?<={re.escape(m)})" for m in PLACEHOLDERS.values())),
+        lambda piece: piece != "",
+    )
+
+    def part(piece: Column) -> Column:
+        kind = F.lit("text")
+        for name, mark in PLACEHOLDERS.items():
+            kind = F.when(piece == mark, F.lit(name)).otherwise(kind)
+        text = F.when(kind == "text", unescape(piece))
+        return F.struct(kind.alias("type"), text.alias("text"))
+
+    return F.transform(pieces, part)
+
+
 def read_loss(formatted: Column, spans: Column) -> Column:
     """All text under the loss mask, unescaped, in order."""
     return F.array_join(
