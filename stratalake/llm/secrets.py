@@ -3,8 +3,9 @@
 Candidate strings are runs of key characters. Within a candidate a window of
 fixed length slides over each stretch of one character class; its Shannon
 entropy follows from counts that change by two characters per step. Windows
-above the class's threshold become a span of kind ``entropy``, unless the
-allow-list names them or a pattern has found them already.
+above the class's threshold that overlap or touch become a span of kind ``entropy``,
+unless the allow-list names the candidate or a word in the window. They stand beside
+what the fixed patterns found, and say how random a value is that a pattern only names.
 """
 
 from __future__ import annotations
@@ -32,12 +33,15 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "entropy")
 # -------------------------------------------------------------------------------
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 
+# A window that holds one of these words is no secret.
+ALLOWED_WORDS = r"(?i)example|sample|dummy|placeholder|changeme"
+# Whole candidates that are none: ids, words joined by signs or by capitals, figures.
 ALLOWED = (
-    r"(?i)example|sample|dummy|placeholder|changeme",
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"^[A-Za-z]+([_/-][A-Za-z]+)*$",
+    r"^([A-Za-z]?[a-z]*|[A-Z]+)([_/+=-]+([A-Za-z]?[a-z]*|[A-Z]+))*$",
+    r"^([A-Z]?[a-z]{2,})+$",
     r"^[0-9/_+=-]+$",
 )
 
@@ -54,6 +58,9 @@ class EntropyClass:
 CLASSES = (
     EntropyClass(r"[0-9a-f]+|[0-9A-F]+", (r"[0-9]", r"[A-Fa-f]"), 3.0),
     EntropyClass(r"[A-Za-z0-9+/_=-]+", (r"[0-9]", r"[a-z]", r"[A-Z]"), 3.9),
+    EntropyClass(r"[a-z0-9]+", (r"[0-9].*[0-9].*[0-9]", r"[g-z]"), 3.6),
+    EntropyClass(r"[A-Z0-9]+", (r"[0-9].*[0-9]", r"[G-Z]"), 3.5),
+    EntropyClass(r"[A-Za-z]+", (r"[A-Z]{2}", r"[a-z][A-Z][a-z][A-Z]|[A-Z][a-z][A-Z][a-z]"), 3.7),
 )
 
 
@@ -65,7 +72,7 @@ def window_entropies(text: str, width: int) -> list[float]:
     """
     if len(text) < width:
         return []
-    part = [0.0] + [c * math.log2(c) for c in range(1, width + 1)]
+    part = [0.0] + [c * math.log2(c) for c in range(1, width + 2)]  # one more comes in first
     counts: dict[str, int] = {}
     total = 0.0
     out = []
@@ -86,11 +93,18 @@ def window_entropies(text: str, width: int) -> list[float]:
 class SecretScanner:
     """Finds spans in one text; built once per Python worker."""
 
-    def __init__(self, classes: Sequence[EntropyClass], allowed: Sequence[str], width: int):
+    def __init__(
+        self,
+        classes: Sequence[EntropyClass],
+        allowed: Sequence[str],
+        width: int,
+        words: str = ALLOWED_WORDS,
+    ):
         self.classes = [
             (re.compile(c.stretch), [re.compile(n) for n in c.needs], c.bits) for c in classes
         ]
         self.allowed = [re.compile(p) for p in allowed]
+        self.words = re.compile(words)
         self.width = width
 
     def base(self, text: str) -> list[tuple[int, int, int]]:
@@ -105,28 +119,39 @@ class SecretScanner:
         found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
         return sorted(found)
 
-    def entropy(self, text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        found = []
+    def entropy(self, text: str) -> list[tuple[int, int, int]]:
+        """(start, kind, end) of random stretches; spans of a text never overlap."""
+        found: list[tuple[int, int, int]] = []
         for candidate in CANDIDATE.finditer(text):
             word, at = candidate.group(), candidate.start()
-            if word.isalpha() or any(p.search(word) for p in self.allowed):
+            if any(p.search(word) for p in self.allowed):
                 continue
-            spans = [s for c in self.classes for s in self._windows(word, at, *c)]
-            if not spans:
-                continue
-            start, end = min(s for s, _ in spans), max(e for _, e in spans)
-            if not any(s < end and start < e for s, _, e in taken):
-                found.append((start, 3, end))
+            named = [m.span() for m in self.words.finditer(word)]
+            spans = sorted(s for c in self.classes for s in self._windows(word, named, *c))
+            for start, end in _united(spans):
+                found.append((at + start, 3, at + end))
         return found
 
-    def _windows(self, word, at, stretch, needs, bits):
+    def _windows(self, word, named, stretch, needs, bits):
         for run in stretch.finditer(word):
-            part = run.group()
+            part, begin = run.group(), run.start()
             if len(part) < self.width or not all(n.search(part) for n in needs):
                 continue
-            over = [i for i, h in enumerate(window_entropies(part, self.width)) if h >= bits]
-            if over:
-                yield at + run.start() + over[0], at + run.start() + over[-1] + self.width
+            for i, h in enumerate(window_entropies(part, self.width)):
+                start, end = begin + i, begin + i + self.width
+                if h >= bits and not any(s < end and start < e for s, e in named):
+                    yield start, end
+
+
+def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans, those that overlap or touch made one."""
+    made: list[tuple[int, int]] = []
+    for start, end in spans:
+        if made and start <= made[-1][1]:
+            made[-1] = (made[-1][0], max(end, made[-1][1]))
+        else:
+            made.append((start, end))
+    return made
 
 
 def listed(spans: list[tuple[int, int, int]]) -> str:
@@ -161,7 +186,7 @@ def find_secrets(
         }
         for text in texts:
             base = scanner.base(text)
-            more = scanner.entropy(text, base)
+            more = scanner.entropy(text)
             kinds = [kind for _, kind, _ in base]
             out["n_assign"].append(kinds.count(0))
             out["n_access"].append(kinds.count(1))

@@ -395,7 +395,7 @@ def test_base_patterns(spark):
 
 
 def test_entropy_by_counts_equals_entropy_by_definition():
-    text = "aab3Zk9qQ-_/x7LmN0pR4tUv1w2"
+    text = "aab3Zk9qQ-_/x7LmN0pR4tUv1w2" + "=" * 50 + "A1"
     for i, h in enumerate(secrets.window_entropies(text, 20)):
         part = text[i : i + 20]
         p = np.array([part.count(c) for c in set(part)]) / 20
@@ -410,5 +410,58 @@ def test_entropy_spans_and_allow_list(spark):
     rows = secrets.find_secrets(
         spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     ).collect()
-    assert [r["n_entropy"] for r in sorted(rows)] == [1, 0, 0, 0, 0]
-    assert sorted(rows)[0]["spans"] == "entropy:2:26"
+    # a word on the list hides the windows it is in; a span stands beside a base one
+    assert [r["n_entropy"] for r in sorted(rows)] == [1, 0, 1, 0, 1]
+    assert [r["spans"] for r in sorted(rows)] == [
+        "entropy:2:26", "", "entropy:7:31", "", "assign:0:30,entropy:6:30",
+    ]
+
+
+def test_entropy_spans_equal_the_rule(spark):
+    """All windows of all stretches by definition, united character by character."""
+    rng = np.random.default_rng(8)
+    sets = {
+        "lower": "abcdefghijklmnopqrstuvwxyz0123456789", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+        "letters": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "hex": "0123456789abcdef",
+        "mixed": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/",
+    }
+    keys = {k: ["".join(rng.choice(list(v), 40)) for _ in range(20)] for k, v in sets.items()}
+    clean = [
+        "getElementByIdentifierFromTheDocument", "some_words_joined_by_signs_here", "2024-01-01/2024-12-31/0001",
+        "Donaudampfschifffahrtsgesellschaft", "aaaaaaaaaaaaaaaaaaaaaaaa1", "ALL_CAPITALS_IN_A_CONSTANT",
+    ]
+    texts = [f"é {key} and {key[:25]}sample{key[25:]}{'-' * 21}{key}" for some in keys.values() for key in some]
+    texts += clean + [" ".join(clean)]
+    scanner = secrets.SecretScanner(secrets.CLASSES, secrets.ALLOWED, 20)
+
+    def plain(text):
+        marked = []
+        for m in re.finditer(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}", text):
+            word = m.group()
+            if any(re.search(p, word) for p in secrets.ALLOWED):
+                continue
+            for c in secrets.CLASSES:
+                for run in re.finditer(c.stretch, word):
+                    if not all(re.search(n, run.group()) for n in c.needs):
+                        continue
+                    for i in range(run.start(), run.end() - 19):
+                        part = word[i : i + 20]
+                        p = np.array([part.count(x) for x in set(part)]) / 20
+                        names = re.finditer(secrets.ALLOWED_WORDS, word)
+                        if -(p * np.log2(p)).sum() >= c.bits - 1e-12 and not any(
+                            n.start() < i + 20 and i < n.end() for n in names
+                        ):
+                            marked.append((m.start() + i, m.start() + i + 20))
+        out = []
+        for s, e in sorted(marked):
+            if out and s <= out[-1][1]:
+                out[-1] = (out[-1][0], max(e, out[-1][1]))
+            else:
+                out.append((s, e))
+        return out
+
+    for text in texts:
+        assert [(s, e) for s, _, e in scanner.entropy(text)] == plain(text)
+    for kind, some in keys.items():
+        assert sum(bool(scanner.entropy(key)) for key in some) >= 18, kind
+    assert not any(scanner.entropy(text) for text in clean)
