@@ -165,3 +165,111 @@ WITH docs AS (
 )
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
 """
+
+
+def _cost(made: str, cost: str, audit: str) -> str:
+    """A candidate, nine digits of cost before its audit, with an edit more."""
+    return f"lpad((left({made}, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || substr({made}, 10) || '{audit}'"
+
+
+def _repair() -> str:
+    """Damage, faults, and the cheapest edits by a fold over the rows: the best candidate
+    for each state of the reading so far (nothing, s, u, a)."""
+    none, system, user, assistant = (f"a[{i}]" for i in range(1, 5))
+    closed = (
+        f"[{none}, {system}, "
+        f"least({user}, {_cost(none, '3', 'I')}, {_cost(system, '3', 'I')}, {_cost(assistant, '3', 'I')}), "
+        f"least({assistant}, {_cost(user, '3', 'I')}, {_cost(none, '6', 'II')}, {_cost(system, '6', 'II')})]"
+    )
+    cut = "CASE WHEN x[1] = upper(x[1]) THEN 3 ELSE 0 END"
+    before = {"s": "b[1]", "u": "least(b[1], b[2], b[4])", "a": "b[3]"}
+
+    def state(at: int, initial: str) -> str:
+        kept = _cost(before[initial], cut, "K")
+        choices = [_cost(f"b[{at}]", "4", "D"), f"CASE WHEN lower(x[1]) = '{initial}' THEN {kept} END"]
+        if initial != "s":
+            moved = _cost(before[initial], f"3 + {cut}", "R")
+            choices.append(f"CASE WHEN x[1] <> 'D' THEN {moved} END")
+        return f"least({', '.join(choices)})"
+
+    step = f"[{_cost('b[1]', '4', 'D')}, {state(2, 's')}, {state(3, 'u')}, {state(4, 'a')}]"
+    fold = f"list_transform([{closed}], lambda b: {step})[1]"
+    ends = (
+        f"least(f[1], f[4], {_cost('f[3]', '3', 'I')}, {_cost('f[2]', '6', 'II')})"
+    )
+    return rf"""
+WITH keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+    FROM conversations
+), fated AS (
+    SELECT *, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, strlen(k) + 1),
+            lambda i: [ascii(substr(k, i, 1))::BIGINT, 256, 256, 256, 256, 256, 256, 256, 256]))),
+        lambda c, b: CASE WHEN b < 256 THEN xor(c, b) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT)
+                          ELSE c >> 1 END), 4294967295::BIGINT) % 20 AS fate
+    FROM keyed
+), damaged AS (
+    SELECT conv_id, turn, CASE fate WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE fate WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM fated WHERE fate <> 0
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n
+    FROM damaged
+), faults AS (
+    SELECT conv_id, turn, role, text, n, NOT regexp_matches(text, '[^ 	-]') AS blank,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again,
+           regexp_extract(text, '([^ 	-])[ 	-]*$', 1) NOT IN ('.', '!', '?') AS cut,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) || left(role, 1)
+               NOT IN ('su', 'ua', 'au') AS illegal
+    FROM numbered
+), coded AS (
+    SELECT *, CASE WHEN blank OR again THEN 'D' WHEN left(role, 1) NOT IN ('s', 'u', 'a')
+                   THEN CASE WHEN cut THEN 'X' ELSE 'x' END
+                   WHEN cut THEN upper(left(role, 1)) ELSE left(role, 1) END AS code
+    FROM faults
+), folded AS (
+    SELECT conv_id, list_reduce(
+        list_prepend(['000000000', NULL, NULL, NULL], list([code] ORDER BY n)), lambda a, x: {fold}) AS f
+    FROM coded GROUP BY conv_id
+), best AS (
+    SELECT conv_id, {ends} AS b FROM folded
+), edits AS (
+    SELECT conv_id, k, substr(b, 9 + k, 1) AS edit
+    FROM (SELECT conv_id, b, unnest(range(1, length(b) - 8)) AS k FROM best)
+), placed AS (
+    SELECT *, sum(CASE WHEN edit <> 'I' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY k) AS n FROM edits
+), said AS (
+    SELECT p.conv_id, p.edit, c.role, c.text, row_number() OVER (PARTITION BY p.conv_id ORDER BY k) AS j
+    FROM placed p LEFT JOIN coded c
+      ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.n = p.n AND p.edit <> 'I'
+    WHERE p.edit <> 'D'
+), turned AS (
+    SELECT conv_id, j, coalesce(text, '') AS text,
+           CASE WHEN edit = 'K' THEN role
+                WHEN (j - (first_value(edit = 'K' AND left(role, 1) = 's')
+                           OVER (PARTITION BY conv_id ORDER BY j))::INT) % 2 = 1 THEN 'user'
+                ELSE 'assistant' END AS role
+    FROM said
+), repaired AS (
+    SELECT conv_id, sha256(string_agg(role || ':' || text, chr(10) ORDER BY j)) AS sha FROM turned GROUP BY conv_id
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE again AND NOT blank) AS duplicate,
+           count(*) FILTER (WHERE cut AND NOT blank AND NOT again) AS truncated,
+           count(*) FILTER (WHERE illegal) AS illegal
+    FROM coded GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(left(b, 9)::BIGINT, 0) AS cost,
+       coalesce(substr(b, 10), '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+SQL["op12_conversation_repair"] = _repair()
