@@ -111,6 +111,9 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
     )
 
 
+HOT = 1000
+
+
 def hex16(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
@@ -129,14 +132,21 @@ def simhash_components(
     columns are ignored; an empty table gives an empty result.
     """
     marked = settled(fingerprints(docs, words, id_col, text_col))
-    nodes = settled(marked.groupBy("fp").agg(F.min(id_col).alias("_first")))
+    nodes = settled(
+        marked.groupBy("fp").agg(F.min(id_col).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    )
     linked = connected_components(fingerprint_links(nodes.select("fp")))
     named = linked.join(nodes, linked["node"] == nodes["fp"]).select("fp", "component", "_first")
     least = named.groupBy("component").agg(F.min("_first").alias("_least"))
     of_linked = named.join(least, "component").select("fp", "_least")
     of_all = nodes.join(of_linked, "fp", "left").select(
-        "fp", F.coalesce("_least", "_first").alias("component_id")
-    )
-    return marked.join(of_all, "fp").select(
-        id_col, hex16(F.col("fp")).alias("fingerprint"), "component_id"
+        "fp", "_rows", F.coalesce("_least", "_first").alias("component_id")
     )
+    # fingerprints of more than a HOT-th of the rows each: HOT of them at most, so they may
+    # be broadcast, and none of the others makes a task large
+    least_hot = (nodes.agg(F.sum("_rows")).first()[0] or 0) / HOT
+    hot = of_all.filter(F.col("_rows") > least_hot).drop("_rows")
+    rest = of_all.filter(F.col("_rows") <= least_hot).drop("_rows")
+    cold = marked.join(F.broadcast(hot.select("fp")), "fp", "left_anti")
+    met = marked.join(F.broadcast(hot), "fp").unionByName(cold.join(rest, "fp"))
+    return met.select(id_col, hex16(F.col("fp")).alias("fingerprint"), "component_id")
