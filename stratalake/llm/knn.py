@@ -5,10 +5,11 @@ cell into regions. A region's summary is a count and its largest distance
 from the pivot. For a query q and a row x of a region around pivot p,
     q.p - |q| far  <=  q.x  <=  q.p + |q| far     with far >= |x - p|,
 so the summaries alone give each query a score that k rows reach for certain, and
-the regions that can hold a better one. Queries form blocks of near queries; a
-block meets a region only if one of its queries may need it. Large regions are
-dealt out to several tasks. Each pair of blocks is solved by one matrix product,
-and the k best of all its pairs are a query's answer.
+the regions that can hold a better one. Neighbouring regions are joined to blocks
+of rows, large ones are dealt out to several blocks. A query goes once to each
+block with a region that it needs, together with the near queries of its own
+block. Each pair of blocks is solved by one matrix product, and the k best of all
+its pairs are a query's answer.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +29,7 @@ RINGS = 24  # at most, per cell
 BLOCK_VALUES = 1 << 19  # numbers in a block of rows: 8,192 of 64 each
 QUERY_BLOCK_VALUES = 1 << 17
 EXACT = 2.0**53
+LIMB = 20  # bits of a digit; a sum of 2**13 products of two stays below EXACT
 
 
 def quantized(vector: Column, scale: float) -> Column:
@@ -55,8 +56,15 @@ def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     bound = np.abs(q).max() * np.abs(x).max() * q.shape[1]
     if bound < EXACT:
         return np.rint(q @ x.T).astype(np.int64)
-    whole = [[int(v) for v in row] for row in x]
     top, low = 2**63 - 1, -(2**63)
+    if max(np.abs(q).max(), np.abs(x).max()) < 2.0 ** (3 * LIMB) and q.shape[1] < 1 << 13:
+        # products of limbs and their sums stay whole in double, the rest is whole anyway
+        total = np.zeros((len(q), len(x)), object)
+        for i, a in enumerate(_limbs(q)):
+            for j, b in enumerate(_limbs(x)):
+                total += np.rint(a @ b.T).astype(np.int64).astype(object) << (LIMB * (i + j))
+        return np.clip(total, low, top).astype(np.int64)
+    whole = [[int(v) for v in row] for row in x]
     return np.array(
         [
             [min(top, max(low, sum(a * b for a, b in zip(map(int, row), other, strict=True)))) for other in whole]
@@ -66,6 +74,15 @@ def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     )
 
 
+def _limbs(x: np.ndarray) -> list[np.ndarray]:
+    """Whole numbers as three digits of LIMB bits, lowest first, all of their sign."""
+    sign, rest, digits = np.sign(x), np.abs(x).astype(np.int64), []
+    for _ in range(3):
+        digits.append(sign * (rest & ((1 << LIMB) - 1)))
+        rest >>= LIMB
+    return digits
+
+
 class Pivots:
     """Cells and rings of one dimension."""
 
@@ -144,23 +161,65 @@ def _best(scores: np.ndarray, ids: np.ndarray, known: np.ndarray, own: np.ndarra
 
 
 def _solver(k: int):
-    def solve(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(left) and len(right):
-            known = right["vec_id"].notna().to_numpy()
-            ids = np.array([int(i) if i == i and i is not None else 0 for i in right["vec_id"]])
-            scores = exact_scores(np.stack(left["v"].to_list()), np.stack(right["v"].to_list()))
-            for row, query, mark in zip(scores, left["query_id"], left["_q"], strict=True):
-                for b in _best(row, ids, known, known & (ids == query), k):
-                    found.append((query, mark, int(ids[b]) if known[b] else None, int(row[b])))
-        made = pd.DataFrame(found, columns=["query_id", "_q", "vec_id", "score"])
-        return made.astype(
-            {"query_id": "int64", "_q": "int64", "vec_id": "Int64", "score": "int64"}
+    made = pa.schema([(c, pa.int64()) for c in ("query_id", "_q", "vec_id", "score")])
+
+    def solve(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left) or not len(right):
+            return made.empty_table()
+        dim = left.column("dim")[0].as_py()
+        ids = right.column("vec_id").combine_chunks()
+        known = np.asarray(ids.is_valid())
+        ids = np.asarray(ids.fill_null(0))
+        asks = np.asarray(left.column("query_id"))
+        scores = exact_scores(
+            _matrix(left.column("v").combine_chunks(), dim),
+            _matrix(right.column("v").combine_chunks(), dim),
+        )
+        best = [
+            _best(row, ids, known, known & (ids == query), k)
+            for row, query in zip(scores, asks, strict=True)
+        ]
+        which = np.repeat(np.arange(len(asks)), [len(b) for b in best])
+        at = np.concatenate(best)
+        return pa.table(
+            [
+                pa.array(asks[which]),
+                left.column("_q").combine_chunks().take(pa.array(which)),
+                pa.array(ids[at], pa.int64(), mask=~known[at]),
+                pa.array(scores[which, at]),
+            ],
+            schema=made,
         )
 
     return solve
 
 
+def _data_blocks(
+    pivots: Pivots, regions: list[tuple[int, int, int, float]], rows: int
+) -> list[tuple[int, int, int, float, int, int]]:
+    """Regions (cell, ring, rows, far) with their first block and number of blocks.
+
+    Cells follow one another along the main direction of the pivots, so a block
+    holds near cells. A region of more than ``rows`` rows has blocks of its own.
+    """
+    middle = pivots.points - pivots.points.mean(axis=0)
+    if np.any(middle):
+        middle /= np.abs(middle).max()
+        along = middle @ np.linalg.svd(middle, full_matrices=False)[2][0]
+    else:
+        along = np.zeros(len(middle))
+    out, block, room = [], -1, 0
+    for r in sorted(regions, key=lambda r: (along[r[0]], r[0], r[1])):
+        parts = max(1, math.ceil(r[2] / rows))
+        if parts > 1 or r[2] > room:
+            block, room = block + 1, rows
+        out.append((*r, block, parts))
+        room -= r[2]
+        if parts > 1:
+            block, room = block + parts - 1, 0
+    return out
+
+
 def _query_blocks(counts: list[tuple[int, int, int]], values: int) -> dict:
     """(dim, cell) to first block and blocks: large cells are split, small ones share."""
     out, block, room = {}, -1, 0
@@ -233,10 +292,13 @@ def top_k(
         .agg(F.count("*").alias("n"), F.max("away").alias("far"))
         .collect()  # at most PIVOTS * RINGS rows for each vector length
     )
-    regions: dict[int, list[tuple]] = {}
+    found: dict[int, list[tuple]] = {}
     for r in sorted(summary):
-        parts = max(1, math.ceil(r["n"] * max(r["dim"], 1) / block_values))
-        regions.setdefault(r["dim"], []).append((r["cell"], r["ring"], r["n"], r["far"], parts))
+        found.setdefault(r["dim"], []).append((r["cell"], r["ring"], r["n"], r["far"]))
+    regions = {
+        dim: _data_blocks(pivots_of(made, dim), some, max(1, block_values // max(dim, 1)))
+        for dim, some in found.items()
+    }
     # rows of a query's own id are no candidates, so so many more must be certain
     own = everything.groupBy("vec_id").count().agg(F.max("count")).first()[0] or 0
     asking = _placed(
@@ -253,50 +315,54 @@ def top_k(
                 there = regions[dim]
                 needs = pivots_of(made, dim).needed(q, there, k + own)
                 cell = some.column("cell").to_pylist()
-                mark = some.column("_q").to_pylist()
+                mark = some.column("_m").to_pylist()
                 place = [
                     blocks[dim, c][0] + m % blocks[dim, c][1]
                     for c, m in zip(cell, mark, strict=True)
                 ]
-                for i, (_, _, _, _, parts) in enumerate(there):
-                    at = np.flatnonzero(needs[:, i])
+                # a block is needed if one of its regions is
+                wanted: dict[int, np.ndarray] = {}
+                for i, (*_, first, parts) in enumerate(there):
+                    for to in range(first, first + parts):
+                        wanted[to] = wanted.get(to, False) | needs[:, i]
+                for to, by in wanted.items():
+                    at = np.flatnonzero(by)
                     if not len(at):
                         continue
                     sent = some.take(pa.array(at))
-                    for part in range(parts):
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                sent.column("vec_id"), sent.column("_q"), sent.column("v"),
-                                sent.column("dim"), pa.array([i] * len(at), pa.int32()),
-                                pa.array([part] * len(at), pa.int32()),
-                                pa.array([place[j] for j in at], pa.int32()),
-                            ],
-                            ["query_id", "_q", "v", "dim", "region", "part", "block"],
-                        )
-
-    sent = asking.withColumn("_q", F.xxhash64("v")).mapInArrow(
-        spread,
-        "query_id long, _q long, v array<double>, dim int, region int, part int, block int",
-    )
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            sent.column("vec_id"), sent.column("_q"), sent.column("v"),
+                            sent.column("dim"), pa.array([to] * len(at), pa.int32()),
+                            pa.array([place[j] for j in at], pa.int32()),
+                        ],
+                        ["query_id", "_q", "v", "dim", "to", "block"],
+                    )
+
     spark = vectors.sparkSession
-    numbered = [
-        (dim, r[0], r[1], i, r[4]) for dim, some in regions.items() for i, r in enumerate(some)
-    ]
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the mark of id and vector deals out the queries of one very common vector, too
+    marked = asking.select("*", F.xxhash64("v").alias("_q"), F.xxhash64("vec_id", "v").alias("_m"))
+    sent = marked.repartition(tasks, "_m").mapInArrow(
+        spread, "query_id long, _q long, v array<double>, dim int, to int, block int"
+    )
+    numbered = [(dim, r[0], r[1], *r[4:]) for dim, some in regions.items() for r in some]
     names = F.broadcast(  # as many rows as the summary
-        spark.createDataFrame(numbered, "dim int, cell int, ring int, region int, parts int")
+        spark.createDataFrame(numbered, "dim int, cell int, ring int, first int, parts int")
     )
-    meet = ["dim", "region", "part"]
-    pairs = sent.select(*meet, F.col("block").alias("_to")).distinct()
+    meet = ["dim", "to"]
+    pairs = sent.select(*meet, F.col("block").alias("_by")).distinct()
+    part = F.pmod(F.xxhash64("vec_id", "v"), "parts").cast("int")
     data = (
         everything.join(names, ["dim", "cell", "ring"])
-        .withColumn("part", F.pmod(F.xxhash64("vec_id", "v"), "parts").cast("int"))
+        .withColumn("to", F.col("first") + part)
         .join(pairs, meet)
-        .select(*[F.col(c).alias(f"_{c}") for c in meet], "_to", "vec_id", "v")
+        .select(*[F.col(c).alias(f"_{c}") for c in meet], "_by", "vec_id", "v")
     )
     met = (
         sent.groupBy(*meet, "block")
-        .cogroup(data.groupBy(*[f"_{c}" for c in meet], "_to"))
-        .applyInPandas(_solver(k), "query_id long, _q long, vec_id long, score long")
+        .cogroup(data.groupBy(*[f"_{c}" for c in meet], "_by"))
+        .applyInArrow(_solver(k), "query_id long, _q long, vec_id long, score long")
     )
     best = Window.partitionBy("query_id", "_q").orderBy(
         F.desc("score"), F.col("vec_id").asc_nulls_last()

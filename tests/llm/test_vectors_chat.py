@@ -52,6 +52,32 @@ def test_top_k_of_nothing_and_of_large_numbers(spark):
     assert got == {1: 2**63 - 1, 2: -(2**63)}
 
 
+def test_scores_beyond_double_are_exact():
+    rng = np.random.default_rng(3)
+    for bits in (20, 27, 40, 59, 70):
+        q, x = (np.floor(rng.normal(size=(n, 33)) * 2.0**bits / 8) for n in (4, 5))
+        want = [[sum(int(a) * int(b) for a, b in zip(r, o)) for o in x] for r in q]
+        ends = np.array([[min(2**63 - 1, max(-(2**63), s)) for s in r] for r in want], dtype=np.int64)
+        assert (knn.exact_scores(q, x) == ends).all()
+
+
+def test_regions_become_blocks():
+    rng = np.random.default_rng(4)
+    pivots = knn.Pivots(rng.normal(size=(9, 5)), 1.0)
+    regions = [(c, r, int(rng.integers(1, 40)), 1.0) for c in range(9) for r in range(4)]
+    regions[7] = (1, 3, 130, 1.0)
+    made = knn._data_blocks(pivots, regions, 50)
+    assert sorted(m[:4] for m in made) == sorted(regions)
+    held = {}
+    for *_, n, _, first, parts in made:
+        for to in range(first, first + parts):
+            held[to] = held.get(to, 0) + n / parts
+    assert max(held.values()) <= 50 and sorted(held) == list(range(len(held)))
+    assert len(held) < len(regions) / 1.5  # joined where there is room
+    same = knn._data_blocks(knn.Pivots(np.ones((2, 3)), 1.0), [(0, 0, 3, 0.0), (1, 0, 4, 0.0)], 50)
+    assert {m[4] for m in same} == {0}
+
+
 TURNS = (
     "conv_id long, turn long, role string, "
     "parts array<struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>>, "
