@@ -1,4 +1,4 @@
-"""Passage dedup by winnowing over words (operator 5), DataFrame functions only.
+"""Passage dedup by winnowing over words (operator 5).
 
 A document is the sequence of its words; a line break is white space like any
 other. Within every span of ``guarantee`` words the place whose first two words
@@ -11,195 +11,409 @@ without pairs: places of equal neighbourhoods are a class, all but the first of
 class match in full, and the first is matched with other classes by a key per
 number of words that agree. A deleted word always lies in a run of ``noise`` words
 or more that an earlier place has, so one copy of everything stays.
+
+Words, window minima and the hashes of runs of words are computed in numpy, over
+all words of some texts at once; places meet in joins and aggregates. Each step's
+rows are a table in the shared folder, and what a finished step shuffled goes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import gc
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import let, row_key, settled
+from stratalake.llm.common import row_key
+from stratalake.session import drop_path, work_path
 
 NOISE_WORDS = 25
 GUARANTEE_WORDS = 50
 
-_WHITE = " \t\n\x0b\f\r"
-
-
-def word_hashes(text: Column) -> Column:
-    words = F.filter(F.split(F.btrim(text, F.lit(_WHITE)), r"\s+"), lambda w: w != "")
-    return F.transform(words, lambda w: F.xxhash64(w))
-
-
-def _left(words: Column, at: Column, most: Column | int) -> Column:
-    """The words before ``at`` (from 0), nearest first."""
-    n = F.least(at, F.lit(most))
-    return F.reverse(F.slice(words, at - n + 1, n))
-
-
-def _right(words: Column, at: Column, noise: int, most: Column | int) -> Column:
-    return F.slice(words, at + noise + 1, F.lit(most))
-
-
-def selected(words: Column, noise: int, guarantee: int) -> Column:
-    """Fingerprints of word hashes: hash, place (from 0), hashes of the words around."""
-    more = guarantee - noise  # what a span can hold beside a fingerprint
+SLICE_BYTES = 1 << 21  # of texts taken at once; a longer text is taken whole
+LONG_WORD = 256  # bytes; from there on a word is hashed by itself
+NEAR = 4  # words beside a fingerprint that are compared first
+
+_WHITE = np.zeros(256, bool)
+_WHITE[list(b" \t\n\x0b\f\r")] = True
+_LOW = np.uint64((1 << 32) - 1)
+_NONE = np.uint64((1 << 64) - 1)
+_BASE = 0x9E3779B97F4A7C15 | 1
+_ODD = np.uint64(0xD6E8FEB86659FD93)
+
+_PLACE = ("_d", "_t", "at")
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    """A bijection of 64 bits in which every bit of the input counts."""
+    h = (h ^ (h >> np.uint64(32))) * _ODD
+    h = (h ^ (h >> np.uint64(32))) * _ODD
+    return h ^ (h >> np.uint64(32))
+
+
+_BYTE = _mix(np.arange(1, 257, dtype=np.uint64))
+
+
+class _Powers:
+    """Powers of an odd number modulo 2**64 and of its inverse."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size = max(n, 2 * len(self.up))
+            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+                made = np.full(size, base, np.uint64)
+                made[0] = 1
+                setattr(self, name, np.cumprod(made, dtype=np.uint64))
+        return self.up, self.down
+
+
+_powers = _Powers()
+
+
+class _Runs:
+    """Hashes of runs of a sequence, in which place the run stands being of no account."""
+
+    def __init__(self, values: np.ndarray):
+        up, self.down = _powers(len(values) + 1)
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * up[: len(values)], out=self.sums[1:])
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Of the values from ``a`` to before ``b``; the length counts."""
+        raw = (self.sums[b] - self.sums[a]) * self.down[a]
+        return _mix(raw ^ ((b - a).astype(np.uint64) * _ODD))
+
+
+class Words:
+    """The words of a column of texts: bytes, hashes, and each text's first and last."""
+
+    def __init__(self, texts: pa.Array):
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        self.data = np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]]
+        self.offsets = offsets - offsets[0]
+        dark = ~_WHITE[self.data]
+        cut = np.zeros(len(dark) + 1, bool)
+        cut[self.offsets] = True
+        begins, ends = dark & cut[:-1], dark & cut[1:]
+        begins[1:] |= dark[1:] & ~dark[:-1]
+        ends[:-1] |= dark[:-1] & ~dark[1:]
+        self.begin, self.end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        # words from first to before last are those of a text
+        self.first = np.searchsorted(self.begin, self.offsets[:-1])
+        self.last = np.searchsorted(self.begin, self.offsets[1:])
+        self.hashes = self._hashes()
+
+    def _hashes(self) -> np.ndarray:
+        out = np.empty(len(self.begin), np.uint64)
+        i = 0
+        while i < len(out):
+            start = self.begin[i]
+            j = max(i + 1, int(np.searchsorted(self.begin, start + SLICE_BYTES)))
+            runs = _Runs(_BYTE[self.data[start : self.end[j - 1]]])
+            out[i:j] = runs(self.begin[i:j] - start, self.end[i:j] - start)
+            i = j
+        for k in np.flatnonzero(self.end - self.begin >= LONG_WORD):
+            out[k] = xxhash.xxh64_intdigest(self.data[self.begin[k] : self.end[k]].tobytes())
+        return out
+
+    def selected(self, noise: int, guarantee: int) -> tuple[np.ndarray, np.ndarray]:
+        """Texts and first words (both counted over all texts) of the fingerprints."""
+        more, n = guarantee - noise, len(self.hashes)
+        at = np.arange(n, dtype=np.uint64)
+        text = np.repeat(np.arange(len(self.first)), self.last - self.first)
+        fits = np.flatnonzero(np.arange(n) + noise <= self.last[text])
+        if not len(fits):
+            return fits, fits
+        pair = _mix(self.hashes[fits] * _ODD + self.hashes[fits + 1])
+        # room after each text, so that no window reaches into the next one
+        low = np.full(n + len(self.first) * more, _NONE)
+        spot = fits + text[fits] * more
+        low[spot] = (pair & ~_LOW) | at[fits]
+        width = 1
+        while width < more + 1:  # minima of windows twice as wide
+            step = min(width, more + 1 - width)
+            np.minimum(low[:-step], low[step:].copy(), out=low[:-step])
+            width += step
+        least = (low[spot] & _LOW).astype(np.int64)
+        chosen = least[np.concatenate([[True], least[1:] != least[:-1]])]
+        return text[chosen], chosen
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose texts are of SLICE_BYTES or less, or a single row."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64)
+    ends = np.cumsum(sizes)
+    i = 0
+    while i < len(ends):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] - sizes[i] + SLICE_BYTES, "right")))
+        yield i, j
+        i = j
+
+
+def _signed(h: np.ndarray) -> pa.Array:
+    return pa.array(h.view(np.int64))
+
+
+def _fingerprints(texts: DataFrame, noise: int, guarantee: int) -> DataFrame:
+    """(_d, _t, g, at, l, r): hash, place (from 0) and hashes of the words around."""
+    more = guarantee - noise
 
-    def places(starts: Column) -> Column:
-        def least(_: Column, i: Column) -> Column:
-            return let(
-                F.slice(starts, i + 1, more + 1),
-                lambda some: (i + F.array_position(some, F.array_min(some)) - 1).cast("int"),
-            )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in _slices(batch.column("_x")):
+                some = batch.slice(i, j - i)
+                words = Words(some.column("_x"))
+                text, at = words.selected(noise, guarantee)
+                first, last = words.first[text], words.last[text]
+                runs, row = _Runs(words.hashes), pa.array(text)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        some.column("_d").take(row), some.column("_t").take(row),
+                        _signed(runs(at, at + noise)), pa.array((at - first).astype(np.int32)),
+                        _signed(runs(np.maximum(first, at - more), at)),
+                        _signed(runs(at + noise, np.minimum(last, at + noise + more))),
+                    ],
+                    ["_d", "_t", "g", "at", "l", "r"],
+                )
+
+    return texts.mapInArrow(run, "_d long, _t long, g long, at int, l long, r long")
+
+
+def _ladders(texts: DataFrame, noise: int, guarantee: int) -> DataFrame:
+    """(_d, _t, at, side, keys): for the sides in ``_open``, a hash with the fingerprint
+    of the nearest word, of the two nearest ones, and so on."""
+    more = guarantee - noise
 
-        return F.array_distinct(F.transform(starts, least))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in _slices(batch.column("_x")):
+                some = batch.slice(i, j - i)
+                words = Words(some.column("_x"))
+                lists = some.column("_open")
+                text = np.repeat(np.arange(len(some)), np.asarray(pc.list_value_length(lists)))
+                told = lists.flatten()
+                g, at, side = (np.asarray(told.field(k)) for k in range(3))
+                left, spot = (side < 0)[:, None], at + words.first[text]
+                room = np.where(side < 0, at, words.last[text] - spot - noise)
+                step = np.arange(1, more + 1)[None, :]
+                there = step <= room[:, None]
+                far = np.where(there, step, 0)
+                a = np.where(left, spot[:, None] - far, spot[:, None] + noise)
+                b = np.where(left, spot[:, None], spot[:, None] + noise + far)
+                own = _mix(g.view(np.uint64) + side.astype(np.int64).view(np.uint64))
+                keys = _mix(_Runs(words.hashes)(a, b) ^ own[:, None])
+                ends = np.concatenate([[0], np.cumsum(there.sum(axis=1))]).astype(np.int32)
+                row = pa.array(text)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        some.column("_d").take(row), some.column("_t").take(row),
+                        told.field(1), told.field(2),
+                        pa.ListArray.from_arrays(pa.array(ends), _signed(keys[there])),
+                    ],
+                    ["_d", "_t", "at", "side", "keys"],
+                )
+
+    return texts.mapInArrow(run, "_d long, _t long, at int, side int, keys array<long>")
+
+
+class _Steps:
+    """Tables of steps in the shared folder."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def keep(self, name: str, rows: DataFrame) -> DataFrame:
+        path = work_path(self.spark, f"passages-{name}")
+        rows.write.parquet(path)
+        self.paths[name] = path
+        return self.spark.read.parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Delete tables that no later step reads, and let go what was shuffled for them.
+
+        Spark deletes the shuffle files of a plan once its driver has collected it.
+        """
+        for name in names:
+            drop_path(self.spark, self.paths.pop(name))
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
+
+def _place() -> Column:
+    return F.struct(*_PLACE)
+
+
+def _again(keys: DataFrame) -> DataFrame:
+    """Places whose fingerprint has several, with whether theirs is not the first."""
+    firsts = (
+        keys.groupBy("g").agg(F.min(_place()).alias("_f"), F.count("*").alias("_c"))
+        .filter("_c > 1").select("g", "_f")
+    )
+    return keys.join(firsts, "g").select(
+        "g", *_PLACE, "l", "r", (F.col("_f") != _place()).alias("again")
+    )
 
-    def told(at: Column) -> Column:
-        return F.struct(
-            F.xxhash64(F.slice(words, at + 1, noise)).alias("g"),
-            at.alias("at"),
-            F.xxhash64(_left(words, at, more)).alias("l"),
-            F.xxhash64(_right(words, at, noise, more)).alias("r"),
-        )
 
-    starts = let(
-        words,
-        lambda all_: F.transform(
-            F.slice(all_, 1, F.greatest(F.size(all_) - noise + 1, F.lit(0))),
-            lambda h, i: F.xxhash64(h, F.get(all_, i + 1)),
-        ),
+def _open_sides(shared: DataFrame) -> DataFrame:
+    """The first place of each neighbourhood, where a fingerprint has several of them."""
+    sides = F.array(
+        F.struct(F.lit(-1).alias("side"), F.col("l").alias("ctx")),
+        F.struct(F.lit(1).alias("side"), F.col("r").alias("ctx")),
     )
-    return F.transform(let(starts, places), told)
+    classes = (
+        shared.select("g", *_PLACE, F.explode(sides).alias("_s"))
+        .groupBy("g", "_s.side", "_s.ctx").agg(F.min(_place()).alias("_f"))
+    )
+    mixed = classes.groupBy("g", "side").count().filter("count > 1").select("g", "side")
+    return classes.join(mixed, ["g", "side"], "left_semi").select("g", "side", "_f.*")
 
 
-def _not_first(rows: DataFrame, by: list[str], mark: str) -> DataFrame:
-    """``rows`` with ``mark``: whether an earlier place has the same ``by``."""
-    place = F.struct("_d", "_t", "at")
+def _agreeing(rows: DataFrame) -> DataFrame:
+    """(place, side, j): where an earlier place has the same key of ``j`` words."""
     firsts = (
-        rows.groupBy(*by).agg(F.min(place).alias("_f"), F.count("*").alias("_c"))
-        .filter("_c > 1").drop("_c")
+        rows.groupBy("key").agg(F.min(_place()).alias("_f"), F.count("*").alias("_c"))
+        .filter("_c > 1").select("key", "_f")
     )
-    met = rows.join(firsts, by, "left")
-    return met.withColumn(mark, F.coalesce(F.col("_f") != place, F.lit(False))).drop("_f")
+    met = rows.join(firsts, "key").filter(F.col("_f") != _place())
+    return met.groupBy(*_PLACE, "side").agg(F.max("j").alias("j"))
+
+
+def _levels(ladders: DataFrame, start: int, n: int) -> DataFrame:
+    """A row for each key of the words from ``start`` (from 0) on."""
+    return ladders.select(
+        *_PLACE, "side", F.posexplode(F.slice("keys", start + 1, n)).alias("_j", "key")
+    ).select(*_PLACE, "side", (F.col("_j") + start + 1).cast("int").alias("j"), "key")
 
 
 def repeated_words(
     docs: DataFrame, noise: int, guarantee: int, id_col: str, text_col: str
 ) -> DataFrame:
-    """(_d, _t, _spans): by document key, first and last word (from 0) of what goes."""
+    """(_d, _t, _hits): by document key, places (from 0) of repeated fingerprints.
+
+    A hit is ``at``, ``side`` and ``j``: side 0 for a fingerprint to delete, else a
+    side on which ``j`` words beside it go. A side that isn't named goes in full.
+    """
+    if not 2 <= noise <= guarantee:
+        raise ValueError("noise must be 2 or more, and guarantee no less")
     more = guarantee - noise
+    steps = _Steps(docs.sparkSession)
     d, t = row_key(id_col, text_col)
     texts = docs.select(
         d.alias("_d"), t.alias("_t"), F.coalesce(text_col, F.lit("")).alias("_x")
     )
-    profile = settled(
-        texts.select(
-            "_d",
-            "_t",
-            let(word_hashes(F.col("_x")), lambda w: selected(w, noise, guarantee)).alias("_keys"),
-        ).filter(F.size("_keys") > 0)
+    keys = steps.keep("keys", _fingerprints(texts, noise, guarantee))
+    shared = steps.keep("shared", _again(keys))
+    del keys
+    steps.drop("keys")
+    open_ = steps.keep("open", _open_sides(shared))
+    steps.drop()
+    asked = open_.groupBy("_d", "_t").agg(
+        F.collect_list(F.struct("g", "at", "side")).alias("_open")
     )
-    keys = profile.select("_d", "_t", F.explode("_keys").alias("_k")).select("_d", "_t", "_k.*")
-    several = (
-        keys.groupBy("g").agg(F.count("*").alias("_c"), F.min(F.struct("_d", "_t", "at")).alias("_f"))
-        .filter("_c > 1").select("g", "_f")
-    )
-    place = F.struct("_d", "_t", "at")
-    shared = keys.join(several, "g").select(
-        "g", "_d", "_t", "at", "l", "r", (F.col("_f") != place).alias("_again")
+    ladders = steps.keep(
+        "ladders", _ladders(texts.join(asked, ["_d", "_t"]), noise, guarantee)
     )
-    sides = settled(
-        _not_first(
-            shared.select(
-                "g", "_d", "_t", "at", "_again",
-                F.explode(
-                    F.array(
-                        F.struct(F.lit(-1).alias("side"), F.col("l").alias("ctx")),
-                        F.struct(F.lit(1).alias("side"), F.col("r").alias("ctx")),
-                    )
-                ).alias("_s"),
-            ).select("g", "_d", "_t", "at", "_again", "_s.*"),
-            ["g", "side", "ctx"],
-            "_whole",
-        )
-    )
-    end = F.col("at") + noise - 1
-    whole = sides.filter("_again").select(
-        "_d",
-        "_t",
-        F.when(F.col("_whole") & (F.col("side") < 0), F.greatest(F.col("at") - more, F.lit(0)))
-        .otherwise(F.col("at")).alias("a"),
-        F.when(F.col("_whole") & (F.col("side") > 0), end + more).otherwise(end).alias("b"),
-    )
-    # the first place of each neighbourhood, where a fingerprint has several of them
-    classes = sides.filter("not _whole")
-    mixed = classes.groupBy("g", "side").agg(F.count("*").alias("_c")).filter("_c > 1")
-    open_ = (
-        classes.join(mixed.select("g", "side"), ["g", "side"], "left_semi")
-        .groupBy("_d", "_t")
-        .agg(F.collect_set(F.struct("g", "at", "side")).alias("_open"))
+    del asked
+    steps.drop()
+    # most places differ within a few words; the others go on
+    last = F.get("keys", F.lit(NEAR - 1))
+    deep = ladders.groupBy(last.alias("_k")).count().filter("count > 1 and _k is not null")
+    far = ladders.filter(F.size("keys") > NEAR).join(deep, last == F.col("_k"), "left_semi")
+    agreed = steps.keep(
+        "agreed",
+        _agreeing(_levels(ladders, 0, NEAR)).unionByName(_agreeing(_levels(far, NEAR, more))),
     )
+    del deep, far, ladders
+    steps.drop("ladders")
+
+    def hits(rows: DataFrame, side: Column, j: Column) -> DataFrame:
+        return rows.select("_d", "_t", F.struct("at", side.alias("side"), j.alias("j")).alias("_h"))
 
-    def levels(words: Column, key: Column) -> Column:
-        around = F.when(key["side"] < 0, _left(words, key["at"], more)).otherwise(
-            _right(words, key["at"], noise, more)
-        )
-        return let(
-            around,
-            lambda some: F.transform(
-                some,
-                lambda _, j: F.struct(
-                    F.xxhash64(
-                        key["g"], key["side"], j, F.slice(some, 1, j + 1)
-                    ).alias("key"),
-                    key["at"].alias("at"),
-                    (key["side"] * (j + 1)).cast("int").alias("far"),
-                ),
-            ),
-        )
-
-    steps = (
-        texts.join(open_, ["_d", "_t"])
-        .dropDuplicates(["_d", "_t"])
-        .select(
-            "_d",
-            "_t",
-            F.explode(
-                let(
-                    word_hashes(F.col("_x")),
-                    lambda w: F.flatten(F.transform("_open", lambda key: levels(w, key))),
-                )
-            ).alias("_k"),
-        )
-        .select("_d", "_t", "_k.*")
-    )
-    partly = _not_first(settled(steps), ["key"], "_same").filter("_same").select(
-        "_d",
-        "_t",
-        F.least(F.col("at") + F.col("far"), F.col("at")).alias("a"),
-        F.greatest(end + F.col("far"), end).alias("b"),
-    )
     return (
-        whole.unionByName(partly)
-        .groupBy("_d", "_t", "a").agg(F.max("b").alias("b"))
-        .groupBy("_d", "_t").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("_spans"))
+        hits(shared.filter("again"), F.lit(0), F.lit(0))
+        .unionByName(hits(open_, F.col("side"), F.lit(0)))
+        .unionByName(hits(agreed, F.col("side"), F.col("j")))
+        .groupBy("_d", "_t").agg(F.collect_list("_h").alias("_hits"))
     )
 
 
-def _joined(spans: Column) -> Column:
-    """Sorted spans with those that touch made one."""
-    none = F.array().cast("array<struct<a:int,b:int>>")
-
-    def add(made: Column, s: Column) -> Column:
-        last = F.get(made, F.size(made) - 1)
-        wider = F.struct(last["a"].alias("a"), F.greatest(last["b"], s["b"]).alias("b"))
-        one = F.struct(s["a"].alias("a"), s["b"].alias("b"))
-        return F.when(
-            (F.size(made) > 0) & (s["a"] <= last["b"] + 1),
-            F.concat(F.slice(made, 1, F.greatest(F.size(made) - 1, F.lit(0))), F.array(wider)),
-        ).otherwise(F.concat(made, F.array(one)))
+def _spans(hits: np.ndarray, words: int, noise: int, more: int) -> np.ndarray:
+    """First and last word of what goes, as rows in order; ``hits`` are at, side, j."""
+    at = np.unique(hits[hits[:, 1] == 0, 0])
+    if not len(at):
+        return np.zeros((0, 2), np.int64)
+    beside = {}
+    for side in (-1, 1):
+        beside[side] = np.full(len(at), more)
+        some = hits[hits[:, 1] == side]
+        some = some[np.lexsort((some[:, 2], some[:, 0]))]
+        some = some[np.append(some[1:, 0] != some[:-1, 0], True)] if len(some) else some
+        spot = np.minimum(np.searchsorted(at, some[:, 0]), len(at) - 1)
+        same = at[spot] == some[:, 0]
+        beside[side][spot[same]] = some[same, 2]
+    a = np.maximum(at - beside[-1], 0)
+    b = np.minimum(at + noise - 1 + beside[1], words - 1)
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], np.maximum.accumulate(b[order])
+    new = np.append(True, a[1:] > b[:-1] + 1)
+    return np.stack([a[new], b[np.append(new[1:], True)]], axis=1)
+
+
+def _cut(words: Words, row: int, spans: np.ndarray) -> str:
+    """The text without the words of ``spans`` and the white space after them."""
+    low, high = words.offsets[row], words.offsets[row + 1]
+    first, n = words.first[row], words.last[row] - words.first[row]
+    kept, done = [], low
+    for a, b in spans:
+        kept.append(words.data[done : words.begin[first + a] if a else low].tobytes())
+        done = words.begin[first + b + 1] if b + 1 < n else high
+    kept.append(words.data[done:high].tobytes())
+    return b"".join(kept).decode()
+
+
+def _without(rows: DataFrame, noise: int, guarantee: int) -> DataFrame:
+    """``rows`` (_rest, _x, _hits) as (_rest, _x, _gone), with the texts cut."""
+    more = guarantee - noise
+    gone = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in _slices(batch.column("_x")):
+                some = batch.slice(i, j - i)
+                texts, lists = some.column("_x"), some.column("_hits")
+                hit = np.flatnonzero(np.asarray(lists.is_valid()))
+                words = Words(texts.take(pa.array(hit)))
+                sizes = np.asarray(pc.list_value_length(lists.take(pa.array(hit))))
+                told = lists.take(pa.array(hit)).flatten()
+                flat = np.stack([np.asarray(told.field(k)) for k in range(3)], axis=1).astype(np.int64)
+                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(int)
+                cut, spans, changed = [], [None] * len(some), np.zeros(len(some), bool)
+                for k, row in enumerate(hit):
+                    n = int(words.last[k] - words.first[k])
+                    found = _spans(flat[ends[k] : ends[k + 1]], n, noise, more)
+                    if len(found):
+                        changed[row] = True
+                        cut.append(_cut(words, k, found))
+                        spans[row] = [{"a": a + 1, "b": b + 1} for a, b in found.tolist()]
+                if cut:
+                    texts = pc.replace_with_mask(texts, pa.array(changed), pa.array(cut, texts.type))
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("_rest"), texts, pa.array(spans, gone)], ["_rest", "_x", "_gone"]
+                )
 
-    return F.aggregate(spans, none, add)
+    rest = rows.schema["_rest"].dataType.simpleString()
+    return rows.mapInArrow(run, f"_rest {rest}, _x string, _gone array<struct<a:int,b:int>>")
 
 
 def dedup_passages(
@@ -215,47 +429,23 @@ def dedup_passages(
     Every word of a span of ``guarantee`` words that an earlier place has too goes,
     with the white space after it; a run of fewer than ``noise`` words never does.
     The corpus order is that of the id (null first), then of the text's hash, then
-    of the word. All columns stay. ``gone_col`` adds the deleted spans as an array
-    of first and last word (``a`` and ``b``, from 1), null if there are none.
+    of the word. All columns stay, whatever their names. ``gone_col`` adds the
+    deleted spans as an array of first and last word (``a`` and ``b``, from 1), null
+    if there are none.
 
     Null and empty texts stay as they are. Rows that repeat both id and text count
-    as one document and get the same result.
+    as one document and get the same result. A text of any length is one task's work,
+    as its words are looked at in order.
     """
     d, t = row_key(id_col, text_col)
-    one = docs.select(id_col, text_col)
-    gone = repeated_words(one, noise, guarantee, id_col, text_col)
-    packed = docs.select(d.alias("_d"), t.alias("_t"), F.struct("*").alias("_row"))
-    met = packed.join(gone, ["_d", "_t"], "left")
-    old = F.col("_row")[text_col]
-    pieces = F.regexp_extract_all(old, F.lit(r"^\s*\S+\s*|\S+\s*"), F.lit(0))
-    n = F.size(pieces)
-    spans = F.transform(
-        _joined(F.col("_spans")),
-        lambda s: F.struct(s["a"].alias("a"), F.least(s["b"], n - 1).alias("b")),
-    )
-
-    def rest(all_: Column, some: Column) -> Column:
-        starts = F.concat(F.transform(some, lambda s: s["a"]), F.array(F.size(all_)))
-        return let(
-            F.concat(F.array(F.lit(-1)), F.transform(some, lambda s: s["b"])),
-            lambda ends: F.array_join(
-                F.flatten(
-                    F.transform(
-                        starts, lambda s, i: F.slice(all_, ends[i] + 2, s - ends[i] - 1)
-                    )
-                ),
-                "",
-            ),
-        )
-
-    kept = let(pieces, lambda all_: let(spans, lambda some: rest(all_, some)))
-    text = F.when(F.col("_spans").isNull(), old).otherwise(kept)
-    columns = [text.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns]
-    told = F.when(
-        F.col("_spans").isNotNull(),
-        F.transform(
-            spans, lambda s: F.struct((s["a"] + 1).alias("a"), (s["b"] + 1).alias("b"))
-        ),
-    )
-    more = [] if gone_col is None else [told.alias(gone_col)]
-    return met.select(*columns, *more)
+    gone = repeated_words(docs.select(id_col, text_col), noise, guarantee, id_col, text_col)
+    others = [c for c in docs.columns if c != text_col]
+    # under names that cannot clash with each other
+    rest = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)])
+    packed = docs.select(d.alias("_d"), t.alias("_t"), rest.alias("_rest"), F.col(text_col).alias("_x"))
+    met = packed.join(gone, ["_d", "_t"], "left").select("_rest", "_x", "_hits")
+    made = _without(met, noise, guarantee)
+    at = {c: F.col("_rest")[f"c{i}"].alias(c) for i, c in enumerate(others)}
+    columns = [F.col("_x").alias(c) if c == text_col else at[c] for c in docs.columns]
+    more = [] if gone_col is None else [F.col("_gone").alias(gone_col)]
+    return made.select(*columns, *more)

@@ -103,3 +103,45 @@ def test_copies_and_empty_table(spark, copies):
     assert sorted(r["text"] for r in got)[-2:] == ["", text]
     none = spark.createDataFrame([], "doc_id long, text string")
     assert passages.dedup_passages(none).count() == 0
+
+
+def test_long_texts_long_words_and_clashing_names(spark):
+    rng = np.random.default_rng(8)
+    long = [f"w{x}" for x in rng.integers(0, 3000, 20000)]
+    long[300] = "é" * 400
+    tail = [f"t{x}" for x in rng.integers(0, 900, 70)]
+    rows = [
+        (1, " ".join(long)),
+        (2, "\n".join(["start"] + long[250:420] + tail + ["end"] + long[19000:])),
+        (3, " ".join(long[:150] + ["other"] + long[151:400])),
+        (4, "\t" + " ".join(tail) + "  "),
+        (4, "\t" + " ".join(tail) + "  "),
+    ]
+    got, sure = _compare(spark, rows, 25, 50)
+    assert sum(len(s) for s in sure) > 1500
+    texts = {r["doc_id"]: r["text"] for r in got}
+    assert texts[4] == "" and "é" not in texts[2] and "é" in texts[1]
+
+    names = ["_d", "_t", "_x", "_rest", "_hits", "g", "at", "keys", "_gone", "c0"]
+    clash = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "doc_id", *[f"{i} as {n}" for i, n in enumerate(names)], "text", "array(null, 1.5) as more"
+    )
+    made = passages.dedup_passages(clash)
+    assert made.columns == clash.columns
+    for r in made.collect():
+        assert r["text"] == texts[r["doc_id"]] and r["more"] == [None, 1.5]
+        assert [r[n] for n in names] == list(range(len(names)))
+
+
+def test_slices_do_not_change_the_result(spark, monkeypatch):
+    texts = ["", "a b " * 40, None, " x", "word " * 30 + "é " * 45, "z"] * 3
+    column = passages.pa.array(texts)
+    whole = passages.Words(column)
+    found = [(t, at - whole.first[t]) for t, at in zip(*whole.selected(5, 12))]
+    monkeypatch.setattr(passages, "SLICE_BYTES", 50)
+    small = []
+    for i, j in passages._slices(column):
+        words = passages.Words(column.slice(i, j - i))
+        assert [h for h in words.hashes] == list(whole.hashes[whole.first[i] : whole.last[j - 1]])
+        small += [(i + t, at - words.first[t]) for t, at in zip(*words.selected(5, 12))]
+    assert small == found and found
