@@ -2,35 +2,11 @@
 
 import numpy as np
 import pytest
-import xxhash
+from brute_passages import corpus_order, repeated
 
 from stratalake.llm import passages, queries
 
 
-def _texts(rows):
-    """Rows in corpus order: by id, null first, then by the text's hash."""
-
-    def key(row):
-        h = xxhash.xxh64_intdigest((row[1] or "").encode(), seed=42)
-        return (-(2**63) if row[0] is None else row[0], h - (1 << 64) if h >> 63 else h)
-
-    return sorted(set(rows), key=key)
-
-
-def _repeated(docs, length):
-    """Words of spans of ``length`` words that any earlier place has too."""
-    seen, out = set(), []
-    for _, text in docs:
-        words, gone = (text or "").split(), set()
-        for i in range(len(words) - length + 1):
-            span = tuple(words[i : i + length])
-            if span in seen:
-                gone.update(range(i, i + length))
-            seen.add(span)
-        out.append(gone)
-    return out
-
-
 def _spans(row):
     return {w - 1 for s in row["gone"] or [] for w in range(s["a"], s["b"] + 1)}
 
@@ -39,8 +15,8 @@ def _compare(spark, rows, noise, guarantee):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = passages.dedup_passages(df, noise, guarantee, gone_col="gone").collect()
     assert len(got) == len(rows)
-    docs = _texts(rows)
-    sure, most = _repeated(docs, guarantee), _repeated(docs, noise)
+    docs = corpus_order(rows)
+    sure, most = repeated(docs, guarantee), repeated(docs, noise)
     by = {}
     for r in got:
         by.setdefault(r["doc_id"], []).append(r)

@@ -2,12 +2,12 @@
 
 import hashlib
 
-import brute_lines
 import numpy as np
 import pytest
+from brute_passages import corpus_order, repeated
 
 import corpus_pipeline
-from stratalake.llm import lines, mixing, pieces, toxicity
+from stratalake.llm import mixing, passages, pieces, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, extra string"
 RUDE = ["grobian", "frechdachs", "miesling"]
@@ -118,22 +118,24 @@ def test_stages_match_their_plain_versions(spark, sf_dir):
     assert sorted(plain, key=repr) == sorted(_rows(kept), key=repr)
 
     slim = stages["line dedup"](spark, kept, sf_dir).cache()
-    gone = brute_lines.deleted(_rows(kept), lines.NOISE_WORDS, lines.GUARANTEE_WORDS)
-    want = []
-    for doc_id, text in _rows(kept):
-        if (doc_id, text) in gone:
-            some = gone[doc_id, text]
-            text = "\n".join(x for n, x in enumerate(text.split("\n"), 1) if n not in some)
-        want.append((doc_id, text))
-    assert gone and slim.columns == columns
-    assert sorted(_rows(slim), key=repr) == sorted(want, key=repr)
+    told = passages.dedup_passages(kept, gone_col="gone").collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in told), key=repr) == sorted(_rows(slim), key=repr)
+    docs_in_order = corpus_order(_rows(kept))
+    sure, most = repeated(docs_in_order, 50), repeated(docs_in_order, 25)
+    bounds = {d: (s, m) for (d, _), s, m in zip(docs_in_order, sure, most)}
+    before = dict(_rows(kept))
+    for r in told:  # every word of a repeated span of 50, none outside repeated spans of 25
+        gone = {w - 1 for span in r["gone"] or [] for w in range(span["a"], span["b"] + 1)}
+        assert bounds[r["doc_id"]][0] <= gone <= bounds[r["doc_id"]][1]
+        left = [w for i, w in enumerate((before[r["doc_id"]] or "").split()) if i not in gone]
+        assert left == (r["text"] or "").split()
+    assert sum(len(s) for s in sure) > 1000 and slim.columns == columns
     assert all(r["n_chars"] == len(r["text"]) for r in slim.collect() if r["n_chars"] is not None and r["text"])
 
     single = stages["SimHash near-dedup"](spark, slim, sf_dir).cache()
     assert single.columns == columns
     stayed = sorted(r[0] for r in _rows(single))
-    # similarity is estimated, so pairs close to 0.8 may go either way
-    assert set(_near_groups(_rows(slim), 0.68)) <= set(stayed) <= set(_near_groups(_rows(slim), 0.88))
+    assert stayed == _near_groups(_rows(slim), 0.8)
     assert len(stayed) == len(set(stayed))
     assert single.count() < slim.count()
 
