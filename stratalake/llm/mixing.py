@@ -4,11 +4,13 @@ Token weights are raked to target shares of several columns at once: iterative
 proportional fitting scales the cells of the contingency table to each column's
 targets in turn until all hold. The factor of a cell over the largest factor is
 the probability with which a document of the cell is sampled, so the sample has
-the target shares in expectation and no document counts more than once.
+the target shares in expectation and no document counts more than once. A wished
+sample size scales the factors instead, up to a probability of one.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -22,6 +24,9 @@ from stratalake.operators.sizing import broadcast_within, measured_bytes
 POWERS = {"source": 0.85, "lang": 0.9, "topic": 0.95}
 ROUNDS = 12
 ROUNDS_A_JOB = 4
+# Targets that the cells cannot meet together leave a distance above this.
+TOLERANCE = 1e-3
+POINTS = 32  # scales tried at once for a wished sample size
 SALT = "mix"
 
 # What a text is made of, by the share of some characters; a stand-in where no
@@ -86,7 +91,8 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
     value); a value without one keeps the tokens it has, a target of zero empties
     it. Nulls are a value like others. A step is a window over the cells of a value;
     cells are counts of documents, so that is far less than the value's documents.
-    Some rounds make one job, which ends in a checkpoint.
+    Some rounds make one job, which ends in a checkpoint. Targets that are not met
+    to ``TOLERANCE`` in the end are told by a warning.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     now = cells.withColumn("weight", F.col("tokens").cast("double"))
@@ -102,9 +108,47 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
             now = now.withColumn("weight", F.when(there > 0, scaled).otherwise(0.0))
         if i % ROUNDS_A_JOB == ROUNDS_A_JOB - 1:
             now = settled(now)
+    off = farthest(now, list(targets))
+    if off > TOLERANCE:
+        warnings.warn(f"shares are up to {off:.2g} of a target away from it", stacklevel=2)
     return now.select(*cells.columns, "weight")
 
 
+def farthest(raked: DataFrame, names: Sequence[str]) -> float:
+    """The largest distance of a value's tokens from its goal, as a share of the goal."""
+    most = 0.0
+    for name in names:
+        sums = raked.groupBy(name).agg(
+            F.sum("weight").alias("_sum"), F.first(f"_goal_{name}").alias("_goal")
+        )
+        away = F.max(F.abs(F.col("_sum") - F.col("_goal")) / F.col("_goal"))
+        most = max(most, sums.filter("_goal > 0").agg(away).first()[0] or 0.0)
+    return most
+
+
+def scale_for(raked: DataFrame, share: float) -> float:
+    """What to multiply the factors by to keep ``share`` of all tokens in expectation.
+
+    Probabilities end at one, so a cell that gets there stays below its target and
+    the others make up for it. Each pass over the cells tries some scales at once.
+    """
+    if not 0 < share <= 1:
+        raise ValueError("share must be above 0 and no more than 1")
+    factor = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens"))
+    total, least = raked.agg(F.sum("tokens"), F.min(F.when(F.col("weight") > 0, factor))).first()
+    if not total or not least:
+        return 1.0
+    low, high = 0.0, 1.0 / least
+    for _ in range(8):
+        tried = [low + (high - low) * i / POINTS for i in range(1, POINTS + 1)]
+        kept = raked.agg(
+            *[F.sum(F.col("tokens") * F.least(F.lit(1.0), factor * s)) for s in tried]
+        ).first()
+        enough = next((i for i, k in enumerate(kept) if (k or 0) >= share * total), POINTS - 1)
+        low, high = tried[enough] - (high - low) / POINTS, tried[enough]
+    return high
+
+
 def uniform(id_col: str, salt: str = SALT) -> Column:
     """A number in [0, 1) that depends on the id alone, so a rerun draws the same."""
     text = F.concat_ws(":", F.lit(salt), F.col(id_col).cast("string"))
@@ -120,6 +164,7 @@ def mix(
     rounds: int = ROUNDS,
     id_col: str = "doc_id",
     text_col: str = "text",
+    share: float | None = None,
 ) -> DataFrame:
     """Sampling probability of every document, under raked shares.
 
@@ -128,7 +173,9 @@ def mix(
     takes the place of a power. ``tokens`` is the token count, by default that of the
     text; where both are given, the text isn't needed. Returns all columns of ``docs`` in struct ``_row``,
     ``_cell`` (the raked columns), ``tokens``, ``weight`` (a document's tokens after
-    raking), ``probability`` and ``selected``.
+    raking), ``probability`` and ``selected``. Without ``share`` the probabilities are
+    relative to the largest factor, which a cell of a few documents may set; with it
+    that share of all tokens is kept in expectation (:func:`scale_for`).
 
     The table of cells is gathered by aggregates; it is broadcast if measured to be
     small, else joined by shuffle, where skewed cells are split. A null text has no
@@ -155,13 +202,16 @@ def mix(
     }
     raked = rake(cells, goals, rounds)
     factor = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens"))
-    most = raked.agg(F.max(factor)).first()[0] or 1.0
+    if share is None:
+        most = raked.agg(F.max(factor)).first()[0] or 1.0
+    else:
+        most = 1.0 / scale_for(raked, share)
     table = raked.select(*[F.col(d).alias(f"_{d}") for d in dims], factor.alias("_factor"))
     table = broadcast_within(table, measured_bytes(table))
     same = reduce(
         Column.__and__, [F.col("_cell")[d].eqNullSafe(F.col(f"_{d}")) for d in dims]
     )
-    chance = F.coalesce(F.col("_factor") / float(most), F.lit(1.0))
+    chance = F.least(F.lit(1.0), F.coalesce(F.col("_factor") / float(most), F.lit(1.0)))
     return told.join(table, same).select(
         "_row",
         "_cell",
