@@ -9,7 +9,8 @@ that its other copies have too, wherever it starts or ends in a line.
 Each fingerprint is extended both ways against every earlier place that has it,
 without pairs: places of equal neighbourhoods are a class, all but the first of a
 class match in full, and the first is matched with other classes by a key per
-number of words that agree. A deleted word always lies in a run of ``noise`` words
+number of words that agree. A task finds the first place of each key for some
+fingerprints; those with very many classes have their keys dealt over all tasks. A deleted word always lies in a run of ``noise`` words
 or more that an earlier place has, so one copy of everything stays.
 
 Words, window minima and the hashes of runs of words are computed in numpy, over
@@ -37,7 +38,8 @@ GUARANTEE_WORDS = 50
 
 SLICE_BYTES = 1 << 21  # of texts taken at once; a longer text is taken whole
 LONG_WORD = 256  # bytes; from there on a word is hashed by itself
-NEAR = 4  # words beside a fingerprint that are compared first
+NEAR = 4  # words beside a fingerprint that are compared first, in large groups
+LOCAL = 4096  # neighbourhoods of a fingerprint that one task compares; more are dealt out
 
 _WHITE = np.zeros(256, bool)
 _WHITE[list(b" \t\n\x0b\f\r")] = True
@@ -190,7 +192,7 @@ def _fingerprints(texts: DataFrame, noise: int, guarantee: int) -> DataFrame:
 
 
 def _ladders(texts: DataFrame, noise: int, guarantee: int) -> DataFrame:
-    """(_d, _t, at, side, keys): for the sides in ``_open``, a hash with the fingerprint
+    """(g, _d, _t, at, side, keys): for the sides in ``_open``, a hash with the fingerprint
     of the nearest word, of the two nearest ones, and so on."""
     more = guarantee - noise
 
@@ -216,14 +218,65 @@ def _ladders(texts: DataFrame, noise: int, guarantee: int) -> DataFrame:
                 row = pa.array(text)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        some.column("_d").take(row), some.column("_t").take(row),
+                        told.field(0), some.column("_d").take(row), some.column("_t").take(row),
                         told.field(1), told.field(2),
                         pa.ListArray.from_arrays(pa.array(ends), _signed(keys[there])),
                     ],
-                    ["_d", "_t", "at", "side", "keys"],
+                    ["g", "_d", "_t", "at", "side", "keys"],
                 )
 
-    return texts.mapInArrow(run, "_d long, _t long, at int, side int, keys array<long>")
+    return texts.mapInArrow(run, "g long, _d long, _t long, at int, side int, keys array<long>")
+
+
+def _agreed_by_group(ladders: DataFrame) -> DataFrame:
+    """(place, side, j): on how many words an earlier place of the group agrees.
+
+    The rows of a fingerprint's side meet in a task, which holds a batch and a group.
+    """
+
+    def told(rows: pa.Table) -> pa.RecordBatch:
+        d, t, at, side = (np.asarray(rows.column(c)) for c in ("_d", "_t", "at", "side"))
+        lists = rows.column("keys").combine_chunks()
+        size, flat = np.asarray(pc.list_value_length(lists)), np.asarray(lists.flatten())
+        start = np.cumsum(size) - size
+        order = np.lexsort((side, at, t, d))
+        # a document that is there several times is one place
+        told_before = np.ones(len(d), bool)
+        told_before[:1] = False
+        for c in (d, t, at, side):
+            told_before[1:] &= c[order[1:]] == c[order[:-1]]
+        order = order[~told_before]
+        agreed = np.zeros(len(d), np.int32)
+        for j in range(size.max(initial=0)):
+            there = order[size[order] > j]
+            _, first, which = np.unique(flat[start[there] + j], return_index=True, return_inverse=True)
+            agreed[there[first[which] != np.arange(len(there))]] = j + 1
+        some = agreed > 0
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c[some]) for c in (d, t, at, side, agreed)], ["_d", "_t", "at", "side", "j"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []  # of the group that may go on
+        for batch in batches:
+            if not len(batch):
+                continue
+            rest.append(batch)
+            g, side = np.asarray(batch.column("g")), np.asarray(batch.column("side"))
+            others = np.flatnonzero((g != g[-1]) | (side != side[-1]))
+            head = rest[0]
+            if len(others):
+                end = int(others[-1]) + 1
+                yield told(pa.Table.from_batches([*rest[:-1], batch.slice(0, end)]))
+                rest = [batch.slice(end)]
+            elif head.column("g")[0] != batch.column("g")[0] or head.column("side")[0] != batch.column("side")[0]:
+                yield told(pa.Table.from_batches(rest[:-1]))
+                rest = [batch]
+        if rest:
+            yield told(pa.Table.from_batches(rest))
+
+    together = ladders.repartition("g", "side").sortWithinPartitions("g", "side")
+    return together.mapInArrow(run, "_d long, _t long, at int, side int, j int")
 
 
 class _Steps:
@@ -275,8 +328,8 @@ def _open_sides(shared: DataFrame) -> DataFrame:
         shared.select("g", *_PLACE, F.explode(sides).alias("_s"))
         .groupBy("g", "_s.side", "_s.ctx").agg(F.min(_place()).alias("_f"))
     )
-    mixed = classes.groupBy("g", "side").count().filter("count > 1").select("g", "side")
-    return classes.join(mixed, ["g", "side"], "left_semi").select("g", "side", "_f.*")
+    mixed = classes.groupBy("g", "side").agg(F.count("*").alias("n")).filter("n > 1")
+    return classes.join(mixed, ["g", "side"]).select("g", "side", "_f.*", "n")
 
 
 def _agreeing(rows: DataFrame) -> DataFrame:
@@ -296,6 +349,15 @@ def _levels(ladders: DataFrame, start: int, n: int) -> DataFrame:
     ).select(*_PLACE, "side", (F.col("_j") + start + 1).cast("int").alias("j"), "key")
 
 
+def _agreed_by_keys(ladders: DataFrame, more: int) -> DataFrame:
+    """As :func:`_agreed_by_group`, for groups of any size: keys are dealt over all tasks."""
+    # most places differ within a few words; the others go on
+    last = F.get("keys", F.lit(NEAR - 1))
+    deep = ladders.groupBy(last.alias("_k")).count().filter("count > 1 and _k is not null")
+    far = ladders.filter(F.size("keys") > NEAR).join(deep, last == F.col("_k"), "left_semi")
+    return _agreeing(_levels(ladders, 0, NEAR)).unionByName(_agreeing(_levels(far, NEAR, more)))
+
+
 def repeated_words(
     docs: DataFrame, noise: int, guarantee: int, id_col: str, text_col: str
 ) -> DataFrame:
@@ -318,24 +380,22 @@ def repeated_words(
     steps.drop("keys")
     open_ = steps.keep("open", _open_sides(shared))
     steps.drop()
-    asked = open_.groupBy("_d", "_t").agg(
-        F.collect_list(F.struct("g", "at", "side")).alias("_open")
-    )
-    ladders = steps.keep(
-        "ladders", _ladders(texts.join(asked, ["_d", "_t"]), noise, guarantee)
-    )
-    del asked
+
+    def ladders(some: DataFrame) -> DataFrame:
+        asked = some.groupBy("_d", "_t").agg(
+            F.collect_list(F.struct("g", "at", "side")).alias("_open")
+        )
+        return _ladders(texts.join(asked, ["_d", "_t"]), noise, guarantee)
+
+    agreed = steps.keep("agreed", _agreed_by_group(ladders(open_.filter(F.col("n") <= LOCAL))))
     steps.drop()
-    # most places differ within a few words; the others go on
-    last = F.get("keys", F.lit(NEAR - 1))
-    deep = ladders.groupBy(last.alias("_k")).count().filter("count > 1 and _k is not null")
-    far = ladders.filter(F.size("keys") > NEAR).join(deep, last == F.col("_k"), "left_semi")
-    agreed = steps.keep(
-        "agreed",
-        _agreeing(_levels(ladders, 0, NEAR)).unionByName(_agreeing(_levels(far, NEAR, more))),
-    )
-    del deep, far, ladders
-    steps.drop("ladders")
+    many = open_.filter(F.col("n") > LOCAL)
+    if not many.isEmpty():
+        dealt = steps.keep("ladders", ladders(many))
+        steps.drop()
+        agreed = agreed.unionByName(steps.keep("dealt", _agreed_by_keys(dealt, more)))
+        del dealt
+        steps.drop("ladders")
 
     def hits(rows: DataFrame, side: Column, j: Column) -> DataFrame:
         return rows.select("_d", "_t", F.struct("at", side.alias("side"), j.alias("j")).alias("_h"))
