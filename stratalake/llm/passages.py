@@ -307,29 +307,41 @@ def _place() -> Column:
     return F.struct(*_PLACE)
 
 
-def _again(keys: DataFrame) -> DataFrame:
-    """Places whose fingerprint has several, with whether theirs is not the first."""
-    firsts = (
+# An aggregate that stands in a join's own stage keeps adaptive execution from splitting
+# a hot fingerprint there, so it is a table of its own first.
+
+
+def _firsts(keys: DataFrame) -> DataFrame:
+    """(g, _f): the first place of each fingerprint that has several."""
+    return (
         keys.groupBy("g").agg(F.min(_place()).alias("_f"), F.count("*").alias("_c"))
         .filter("_c > 1").select("g", "_f")
     )
+
+
+def _again(keys: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Places whose fingerprint has several, with whether theirs is not the first."""
     return keys.join(firsts, "g").select(
         "g", *_PLACE, "l", "r", (F.col("_f") != _place()).alias("again")
     )
 
 
-def _open_sides(shared: DataFrame) -> DataFrame:
-    """The first place of each neighbourhood, where a fingerprint has several of them."""
+def _classes(shared: DataFrame) -> DataFrame:
+    """(g, side, _f): the first place of each neighbourhood."""
     sides = F.array(
         F.struct(F.lit(-1).alias("side"), F.col("l").alias("ctx")),
         F.struct(F.lit(1).alias("side"), F.col("r").alias("ctx")),
     )
-    classes = (
+    return (
         shared.select("g", *_PLACE, F.explode(sides).alias("_s"))
         .groupBy("g", "_s.side", "_s.ctx").agg(F.min(_place()).alias("_f"))
+        .select("g", "side", "_f")
     )
-    mixed = classes.groupBy("g", "side").agg(F.count("*").alias("n")).filter("n > 1")
-    return classes.join(mixed, ["g", "side"]).select("g", "side", "_f.*", "n")
+
+
+def _mixed(classes: DataFrame) -> DataFrame:
+    """(g, side, n): the fingerprints with several neighbourhoods on a side."""
+    return classes.groupBy("g", "side").agg(F.count("*").alias("n")).filter("n > 1")
 
 
 def _agreeing(rows: DataFrame) -> DataFrame:
@@ -375,11 +387,17 @@ def repeated_words(
         d.alias("_d"), t.alias("_t"), F.coalesce(text_col, F.lit("")).alias("_x")
     )
     keys = steps.keep("keys", _fingerprints(texts, noise, guarantee))
-    shared = steps.keep("shared", _again(keys))
-    del keys
-    steps.drop("keys")
-    open_ = steps.keep("open", _open_sides(shared))
+    firsts = steps.keep("firsts", _firsts(keys))
     steps.drop()
+    shared = steps.keep("shared", _again(keys, firsts))
+    del keys, firsts
+    steps.drop("keys", "firsts")
+    classes = steps.keep("classes", _classes(shared))
+    mixed = steps.keep("mixed", _mixed(classes))
+    both = classes.join(mixed, ["g", "side"]).select("g", "side", "_f.*", "n")
+    open_ = steps.keep("open", both)
+    del classes, mixed, both
+    steps.drop("classes", "mixed")
 
     def ladders(some: DataFrame) -> DataFrame:
         asked = some.groupBy("_d", "_t").agg(
