@@ -10,9 +10,10 @@ documents by the scaled forward recursion. So counts of every word of the corpus
 learned, while no task holds more than a block or a shard of them, and nothing that
 grows with the corpus is broadcast or passes through the driver.
 
-The starting model is Baum-Welch on a bounded sample of documents, from a seeded draw.
-It only says which state is which; the counts that the model keeps are those of the
-round over all training documents.
+The starting model comes from the same documents: two passes before count the words and
+then, for the most frequent ones, how often each follows each. Baum-Welch on that table,
+whose size is fixed, begins with a seeded draw. It only says which state is which; the
+counts that the model keeps are those of the round over all training documents.
 """
 
 from __future__ import annotations
@@ -33,9 +34,8 @@ from stratalake.llm.common import settled
 from stratalake.session import drop_path, work_path
 
 STATES = 4
-START_DOCS = 600  # the starting model's sample
-START_CHARS = 20_000  # of documents up to this long
-START_ROUNDS = 12
+START_WORDS = 510  # the starting model's words; others are one more, and so is the end
+START_ROUNDS = 200  # on pairs of words, each a few products of small matrices
 BLOCK_TOKENS = 2_000_000
 SHARD_BYTES = 16 * 1024 * 1024  # of text for each shard of the vocabulary
 
@@ -196,7 +196,7 @@ def estimate(counts: Counts, base: np.ndarray, weight: float, totals: np.ndarray
 
 @dataclass
 class StartingModel:
-    """A model over the words of a sample; other words tell nothing of the state."""
+    """A model over the most frequent words; other words tell nothing of the state."""
 
     words: pa.Array
     model: Model
@@ -212,27 +212,54 @@ class StartingModel:
         )
 
 
+def expected_of_pairs(pairs: np.ndarray, first: np.ndarray, model: Model) -> tuple[Counts, np.ndarray]:
+    """Baum-Welch counts of a table of pairs, and the states' shares among left words.
+
+    ``pairs`` says how often a word number stands before another one in a document;
+    its last row, the end's, says how often a document begins with a word.
+    """
+    inner, begins = pairs[:-1], pairs[-1]
+    emit = model.emit
+    left = emit[:-1] * first
+    onward = left @ model.move
+    ratio = inner / np.maximum(onward @ emit.T, np.finfo(float).tiny)
+    moves = model.move * (left.T @ ratio @ emit)
+    as_left = left * (ratio @ (emit @ model.move.T))
+    as_right = emit * (ratio.T @ onward)
+    start = emit * model.start
+    start *= (begins / np.maximum(start.sum(axis=1), np.finfo(float).tiny))[:, None]
+    # a word within a document is right in one pair and left in another, and is one word
+    both = as_right + start
+    both[:-1] = (both[:-1] + as_left) / 2
+    left_states = as_left.sum(axis=0) + 1
+    return Counts(start.sum(axis=0), moves, both), left_states / left_states.sum()
+
+
 def starting_model(
-    texts: list[str], states: int = STATES, rounds: int = START_ROUNDS, seed: int = 42
+    table: tuple[pa.Array, np.ndarray], states: int = STATES, rounds: int = START_ROUNDS, seed: int = 42
 ) -> StartingModel:
-    """Baum-Welch on a sample, from emissions drawn at random around the word shares."""
-    flat, counts = words_of(pa.array(texts, pa.string()))
-    block = Block.of([flat], counts.astype(np.int64))
-    steps = Steps.of(block.ids, block.lens)
-    n = np.bincount(block.ids, minlength=len(block.words)).astype(float)
-    vocabulary = int((n > 0).sum())
-    base = base_share(n, len(block.ids), vocabulary)
+    """Baum-Welch on pairs of words, from emissions drawn at random around the word shares.
+
+    ``table`` are some words and the pairs of :func:`expected_of_pairs`, whose numbers
+    are those words, all others as one, and the end.
+    """
+    words, pairs = table
+    n = pairs.sum(axis=0).astype(float)  # each word and each end is right in one pair
+    size = len(n)
+    base = base_share(n, int(n.sum()), size)
     rng = np.random.default_rng(seed)
-    tilt = rng.gamma(4.0, 1.0, (len(n), states))
+    tilt = rng.gamma(4.0, 1.0, (size, states))
     emit = base[:, None] * tilt / tilt.mean()
     stay = np.full((states, states), 0.05 / max(states - 1, 1))
     np.fill_diagonal(stay, 0.95 if states > 1 else 1.0)
     model = Model(np.full(states, 1 / states), stay, emit / emit.sum(axis=0))
+    first = model.start
     for _ in range(rounds):
-        found, _ = expected(steps, model)
-        model = estimate(found, base, float(vocabulary + 1), found.emit.sum(axis=0))
-    other = 1.0 / (len(block.ids) + vocabulary + 1)
-    return StartingModel(block.words, model, other)
+        found, first = expected_of_pairs(pairs, first, model)
+        model = estimate(found, base, float(size), found.emit.sum(axis=0))
+    named = np.delete(model.emit, size - 2, axis=0)
+    known = pa.concat_arrays([words, pa.array([END], pa.string())])
+    return StartingModel(known, Model(model.start, model.move, named), 1.0 / (n.sum() + size))
 
 
 # --- parcels ------------------------------------------------------------------------
@@ -337,6 +364,81 @@ def _counted_block(
     return batch.append_column("ids", own_ids)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in parts whose texts are of some _SLICE_BYTES; a longer text is whole."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy())
+        cuts = np.searchsorted(sizes, np.arange(0, sizes[-1] + _SLICE_BYTES, _SLICE_BYTES))
+        cuts = np.unique(np.concatenate([[0], cuts, [batch.num_rows]])).clip(max=batch.num_rows)
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield batch.slice(a, b - a)
+
+
+def frequent_words(texts: DataFrame, many: int, block_tokens: int) -> pa.Array:
+    """The ``many`` words that column text has most often; of ties the least."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flats: list[pa.Array] = []
+        held = 0
+
+        def counted() -> pa.RecordBatch:
+            found = pa.chunked_array(flats, pa.string()).value_counts()
+            return pa.RecordBatch.from_arrays([found.field(0), found.field(1)], ["word", "n"])
+
+        for part in _slices(batches):
+            flats.append(words_of(part.column("text"))[0])
+            held += len(flats[-1])
+            if held >= block_tokens:
+                yield counted()
+                flats, held = [], 0
+        if held:
+            yield counted()
+
+    found = (
+        texts.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+        .orderBy(F.desc("n"), "word").limit(many).collect()
+    )
+    return pa.array([r["word"] for r in found], pa.string())
+
+
+def word_pairs(texts: DataFrame, words: pa.Array) -> np.ndarray:
+    """How often each of ``words``, another word or the end stands before each of these.
+
+    Over all of column text. The end stands before the first word of every text.
+    """
+    size = len(words) + 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size * size, np.int64)
+        for part in _slices(batches):
+            flat, counts = words_of(part.column("text"))
+            ids = np.full(len(flat) + len(counts) + 1, size - 1, np.int64)
+            inside = np.ones(len(ids), bool)
+            inside[np.concatenate([[0], np.cumsum(counts + 1)])] = False
+            ids[inside] = pc.fill_null(pc.index_in(flat, value_set=words), size - 2).to_numpy()
+            total += np.bincount(ids[:-1] * size + ids[1:], minlength=size * size)
+        table = total.reshape(size, size)
+        some = np.flatnonzero(table.any(axis=1))
+        parcels = [_sealed({"n": table[a]}) for a in some]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), pa.array(parcels, pa.binary())], ["a", "parcel"]
+        )
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = sum(_opened(p.as_py())["n"].to_numpy() for p in rows["parcel"])
+        return pa.table({"a": rows["a"][:1], "parcel": pa.array([_sealed({"n": total})], pa.binary())})
+
+    summed = texts.mapInArrow(run, "a int, parcel binary").groupBy("a").applyInArrow(
+        add, "a int, parcel binary"
+    )
+    pairs = np.zeros((size, size))
+    for r in summed.collect():
+        pairs[r["a"]] = _opened(bytes(r["parcel"]))["n"].to_numpy()
+    return pairs
+
+
 def _to_blocks(begun: StartingModel, shards: int, block_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -352,24 +454,17 @@ def _to_blocks(begun: StartingModel, shards: int, block_tokens: int):
                 pa.concat_arrays(ids), np.concatenate(learn), number, begun, shards,
             )
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy())
-            cuts = np.searchsorted(sizes, np.arange(0, sizes[-1] + _SLICE_BYTES, _SLICE_BYTES))
-            cuts = np.unique(np.concatenate([[0], cuts, [batch.num_rows]])).clip(max=batch.num_rows)
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                part = batch.slice(a, b - a)
-                flat, n = words_of(part.column("text"))
-                flats.append(flat)
-                counts.append(n)
-                ids.append(part.column("id"))
-                learn.append(part.column("learn").to_numpy(zero_copy_only=False))
-                held += len(flat)
-                if held >= block_tokens:
-                    yield block()
-                    flats, counts, ids, learn, held = [], [], [], [], 0
-                    number += 1
+        for part in _slices(batches):
+            flat, n = words_of(part.column("text"))
+            flats.append(flat)
+            counts.append(n)
+            ids.append(part.column("id"))
+            learn.append(part.column("learn").to_numpy(zero_copy_only=False))
+            held += len(flat)
+            if held >= block_tokens:
+                yield block()
+                flats, counts, ids, learn, held = [], [], [], [], 0
+                number += 1
         if ids:
             yield block()
 
@@ -462,21 +557,18 @@ def _rows_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def _of_sample(most_chars: int) -> Column:
-    return F.col("learn") & (F.length("text") <= most_chars)
-
-
 def score_documents(
     docs: DataFrame,
     learn: Column,
     id_col: str = "doc_id",
     text_col: str = "text",
     states: int = STATES,
-    start_docs: int = START_DOCS,
-    start_chars: int = START_CHARS,
+    start_docs: int | None = None,
+    start_chars: int | None = None,
     start_rounds: int = START_ROUNDS,
     block_tokens: int = BLOCK_TOKENS,
     shard_bytes: int = SHARD_BYTES,
+    start_words: int = START_WORDS,
 ) -> DataFrame:
     """log10 likelihood of every text under a model of the texts where ``learn`` holds.
 
@@ -493,9 +585,10 @@ def score_documents(
     an empty result. A document is never cut, so the longest one is the least that a
     task holds. The result is kept in the shared folder.
 
-    Bounds: the starting model is of about ``start_docs`` documents of the training
-    texts up to ``start_chars`` long, chosen by a hash, twice as many at most. They say
-    where the recursions begin, and no more; all counts are those of all texts.
+    The starting model is of all training texts too: of the pairs that their
+    ``start_words`` most frequent words form, the others as one. It says where the
+    recursions begin, and no more. ``start_docs`` and ``start_chars`` once bounded a
+    sample for it; they are still taken, and nothing depends on them.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -503,16 +596,12 @@ def score_documents(
         F.coalesce(learn, F.lit(False)).alias("learn"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    size, learned = rows.agg(
-        F.sum(F.octet_length("text")), F.count(F.when(_of_sample(start_chars), 1))
-    ).first()
-    size, learned = size or 0, learned or 0
-    # a share of the hashes that holds about start_docs documents, whatever their order
-    least = -(2**63) + int(2**64 * min(1.0, start_docs / max(learned, 1)))
-    mark = F.xxhash64(F.col("id").cast("string"), "text")
-    sample = rows.filter(_of_sample(start_chars) & (mark <= F.lit(min(least, 2**63 - 1))))
-    texts = sorted(r["text"] for r in sample.select("text").limit(2 * start_docs).collect())
-    begun = starting_model(texts, states, start_rounds)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    taught = rows.filter("learn").select("text")
+    with _rows_at_once(spark, _BATCH_ROWS):
+        words = frequent_words(taught, start_words, block_tokens)
+        pairs = word_pairs(taught, words)
+    begun = starting_model((words, pairs), states, start_rounds)
     shards = max(8, -(-size // shard_bytes))
     id_type = rows.schema["id"].dataType.simpleString()
     path = work_path(spark, "markov")

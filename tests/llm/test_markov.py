@@ -194,3 +194,25 @@ def test_nothing_to_learn_from_or_to_score(spark):
     got = {r["doc_id"]: r for r in markov.score_documents(df, F.lit(None).cast("boolean")).collect()}
     assert got[1]["train_tokens"] == 0 and got[1]["n_known"] == 0 and got[1]["n_tokens"] == 3
     assert got[1]["base_score"] == 0.0 and abs(got[1]["score"]) < 1e-9 and got[2]["n_tokens"] == 1
+
+
+def test_starting_model_is_of_all_training_texts(spark):
+    rows = [(i, t, learn) for i, t, learn in _rows() if i is None or i < 300]
+    df = spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(3)
+    taught = [words(t) for _, t, learn in rows if learn]
+    counts = Counter(w for ws in taught for w in ws[:-1])
+    most = sorted(counts, key=lambda w: (-counts[w], w.encode()))[:50]
+    found = markov.frequent_words(df.filter("learn").select("text"), 50, 300)
+    assert found.to_pylist() == most
+    want = np.zeros((52, 52))
+    at = {w: i for i, w in enumerate(most)} | {markov.END: 51}
+    for ws in taught:
+        for a, b in zip([markov.END, *ws], ws):
+            want[at.get(a, 50), at.get(b, 50)] += 1
+    assert (markov.word_pairs(df.filter("learn").select("text"), found) == want).all()
+
+    def scores(**more):
+        got = markov.score_documents(df, F.col("learn"), states=2, **more).collect()
+        return sorted(r["score"] for r in got)
+
+    assert np.allclose(scores(start_docs=1, start_chars=40), scores(), rtol=1e-6)
