@@ -4,7 +4,9 @@ A document is the sequence of its words; a line break is white space like any
 other. Within every span of ``guarantee`` words the place whose first two words
 have the least hash is selected, and the ``noise`` words from there on are a
 fingerprint. So a repeated span of ``guarantee`` words always holds a fingerprint
-that its other copies have too, wherever it starts or ends in a line.
+that its other copies have too, wherever it starts or ends in a line. The first
+``noise`` words of a text are one as well, so texts that begin alike are found from
+there on.
 
 Each fingerprint is extended both ways against every earlier place that has it,
 without pairs: places of equal neighbourhoods are a class, all but the first of a
@@ -49,6 +51,8 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 
 _PLACE = ("_d", "_t", "at")
+_SIDE = 1 << 31  # a hit is at * _AT + (side + 1) * _SIDE + j
+_AT = 4 * _SIDE
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -147,7 +151,8 @@ class Words:
             np.minimum(low[:-step], low[step:].copy(), out=low[:-step])
             width += step
         least = (low[spot] & _LOW).astype(np.int64)
-        chosen = least[np.concatenate([[True], least[1:] != least[:-1]])]
+        begins = self.first[self.first + noise <= self.last]
+        chosen = np.union1d(least, begins)
         return text[chosen], chosen
 
 
@@ -308,40 +313,65 @@ def _place() -> Column:
 
 
 # An aggregate that stands in a join's own stage keeps adaptive execution from splitting
-# a hot fingerprint there, so it is a table of its own first.
+# a hot fingerprint there, so it is a table of its own first. Joins are merged at every
+# size: a table that is just small enough to be broadcast would lie in each executor
+# beside its Python workers.
 
 
-def _firsts(keys: DataFrame) -> DataFrame:
-    """(g, _f): the first place of each fingerprint that has several."""
+def _repeated(keys: DataFrame) -> DataFrame:
+    """(g, _least, sides): fingerprints that have several places.
+
+    With their least id, and the sides on which not all their neighbourhoods are equal.
+    Each is an aggregate of numbers, which Spark keeps in a hash table, unsorted.
+    """
+    sides = F.array_compact(
+        F.array(
+            F.when(F.col("_l0") != F.col("_l1"), -1), F.when(F.col("_r0") != F.col("_r1"), 1)
+        )
+    )
     return (
-        keys.groupBy("g").agg(F.min(_place()).alias("_f"), F.count("*").alias("_c"))
-        .filter("_c > 1").select("g", "_f")
+        keys.groupBy("g").agg(
+            F.count("*").alias("_c"), F.min("_d").alias("_least"),
+            F.min("l").alias("_l0"), F.max("l").alias("_l1"),
+            F.min("r").alias("_r0"), F.max("r").alias("_r1"),
+        )
+        .filter("_c > 1").select("g", "_least", sides.alias("sides"))
     )
 
 
-def _again(keys: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Places whose fingerprint has several, with whether theirs is not the first."""
-    return keys.join(firsts, "g").select(
-        "g", *_PLACE, "l", "r", (F.col("_f") != _place()).alias("again")
+def _shared(keys: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Places whose fingerprint has several, and whether a lesser id is among these."""
+    return keys.join(repeated.hint("merge"), "g").select(
+        "g", *_PLACE, "l", "r", "sides", (F.col("_d") > F.col("_least")).alias("later")
     )
 
 
-def _classes(shared: DataFrame) -> DataFrame:
-    """(g, side, _f): the first place of each neighbourhood."""
-    sides = F.array(
-        F.struct(F.lit(-1).alias("side"), F.col("l").alias("ctx")),
-        F.struct(F.lit(1).alias("side"), F.col("r").alias("ctx")),
+def _firsts(shared: DataFrame) -> DataFrame:
+    """(g, _f): the first place of each fingerprint."""
+    return shared.filter("not later").groupBy("g").agg(F.min(_place()).alias("_f"))
+
+
+def _again(shared: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Places that are not the first of their fingerprint."""
+    least = shared.filter("not later").join(firsts.hint("merge"), "g")
+    return shared.filter("later").select(*_PLACE).unionByName(
+        least.filter(F.col("_f") != _place()).select(*_PLACE)
     )
+
+
+def _classes(shared: DataFrame) -> DataFrame:
+    """(g, side, _f): the first place of each neighbourhood, on sides that have several."""
     return (
-        shared.select("g", *_PLACE, F.explode(sides).alias("_s"))
-        .groupBy("g", "_s.side", "_s.ctx").agg(F.min(_place()).alias("_f"))
+        shared.filter(F.size("sides") > 0).select("g", *_PLACE, "l", "r", F.explode("sides").alias("side"))
+        .groupBy("g", "side", F.when(F.col("side") < 0, F.col("l")).otherwise(F.col("r")).alias("_ctx"))
+        .agg(F.min(_place()).alias("_f"))
         .select("g", "side", "_f")
     )
 
 
 def _mixed(classes: DataFrame) -> DataFrame:
-    """(g, side, n): the fingerprints with several neighbourhoods on a side."""
-    return classes.groupBy("g", "side").agg(F.count("*").alias("n")).filter("n > 1")
+    """(g, side, n): how many neighbourhoods a fingerprint has on a side."""
+    return classes.groupBy("g", "side").agg(F.count("*").alias("n"))
 
 
 def _agreeing(rows: DataFrame) -> DataFrame:
@@ -375,8 +405,8 @@ def repeated_words(
 ) -> DataFrame:
     """(_d, _t, _hits): by document key, places (from 0) of repeated fingerprints.
 
-    A hit is ``at``, ``side`` and ``j``: side 0 for a fingerprint to delete, else a
-    side on which ``j`` words beside it go. A side that isn't named goes in full.
+    A hit is ``at``, ``side`` and ``j`` in one number: side 0 for a fingerprint to delete,
+    else a side on which ``j`` words beside it go. A side that isn't named goes in full.
     """
     if not 2 <= noise <= guarantee:
         raise ValueError("noise must be 2 or more, and guarantee no less")
@@ -387,23 +417,27 @@ def repeated_words(
         d.alias("_d"), t.alias("_t"), F.coalesce(text_col, F.lit("")).alias("_x")
     )
     keys = steps.keep("keys", _fingerprints(texts, noise, guarantee))
-    firsts = steps.keep("firsts", _firsts(keys))
+    repeated = steps.keep("repeated", _repeated(keys))
     steps.drop()
-    shared = steps.keep("shared", _again(keys, firsts))
-    del keys, firsts
-    steps.drop("keys", "firsts")
+    shared = steps.keep("shared", _shared(keys, repeated))
+    del keys, repeated
+    steps.drop("keys", "repeated")
+    firsts = steps.keep("firsts", _firsts(shared))
+    again = steps.keep("again", _again(shared, firsts))
+    del firsts
+    steps.drop("firsts")
     classes = steps.keep("classes", _classes(shared))
     mixed = steps.keep("mixed", _mixed(classes))
-    both = classes.join(mixed, ["g", "side"]).select("g", "side", "_f.*", "n")
+    both = classes.join(mixed.hint("merge"), ["g", "side"]).select("g", "side", "_f.*", "n")
     open_ = steps.keep("open", both)
-    del classes, mixed, both
-    steps.drop("classes", "mixed")
+    del classes, mixed, both, shared
+    steps.drop("classes", "mixed", "shared")
 
     def ladders(some: DataFrame) -> DataFrame:
         asked = some.groupBy("_d", "_t").agg(
             F.collect_list(F.struct("g", "at", "side")).alias("_open")
         )
-        return _ladders(texts.join(asked, ["_d", "_t"]), noise, guarantee)
+        return _ladders(texts.join(asked.hint("merge"), ["_d", "_t"]), noise, guarantee)
 
     agreed = steps.keep("agreed", _agreed_by_group(ladders(open_.filter(F.col("n") <= LOCAL))))
     steps.drop()
@@ -416,10 +450,12 @@ def repeated_words(
         steps.drop("ladders")
 
     def hits(rows: DataFrame, side: Column, j: Column) -> DataFrame:
-        return rows.select("_d", "_t", F.struct("at", side.alias("side"), j.alias("j")).alias("_h"))
+        # one number for each, in the order of at, side and j
+        told = F.col("at").cast("long") * F.lit(_AT) + (side + 1) * F.lit(_SIDE) + j
+        return rows.select("_d", "_t", told.alias("_h"))
 
     return (
-        hits(shared.filter("again"), F.lit(0), F.lit(0))
+        hits(again, F.lit(0), F.lit(0))
         .unionByName(hits(open_, F.col("side"), F.lit(0)))
         .unionByName(hits(agreed, F.col("side"), F.col("j")))
         .groupBy("_d", "_t").agg(F.collect_list("_h").alias("_hits"))
@@ -473,8 +509,8 @@ def _without(rows: DataFrame, noise: int, guarantee: int) -> DataFrame:
                 hit = np.flatnonzero(np.asarray(lists.is_valid()))
                 words = Words(texts.take(pa.array(hit)))
                 sizes = np.asarray(pc.list_value_length(lists.take(pa.array(hit))))
-                told = lists.take(pa.array(hit)).flatten()
-                flat = np.stack([np.asarray(told.field(k)) for k in range(3)], axis=1).astype(np.int64)
+                told = np.asarray(lists.take(pa.array(hit)).flatten()).astype(np.int64)
+                flat = np.stack([told // _AT, told % _AT // _SIDE - 1, told % _SIDE], axis=1)
                 ends = np.concatenate([[0], np.cumsum(sizes)]).astype(int)
                 cut, spans, changed = [], [None] * len(some), np.zeros(len(some), bool)
                 for k, row in enumerate(hit):
@@ -521,7 +557,7 @@ def dedup_passages(
     # under names that cannot clash with each other
     rest = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)])
     packed = docs.select(d.alias("_d"), t.alias("_t"), rest.alias("_rest"), F.col(text_col).alias("_x"))
-    met = packed.join(gone, ["_d", "_t"], "left").select("_rest", "_x", "_hits")
+    met = packed.join(gone.hint("merge"), ["_d", "_t"], "left").select("_rest", "_x", "_hits")
     made = _without(met, noise, guarantee)
     at = {c: F.col("_rest")[f"c{i}"].alias(c) for i, c in enumerate(others)}
     columns = [F.col("_x").alias(c) if c == text_col else at[c] for c in docs.columns]

@@ -128,3 +128,25 @@ def test_slices_do_not_change_the_result(spark, monkeypatch):
         assert [h for h in words.hashes] == list(whole.hashes[whole.first[i] : whole.last[j - 1]])
         small += [(i + t, at - words.first[t]) for t, at in zip(*words.selected(5, 12))]
     assert small == found and found
+
+
+def test_texts_that_begin_alike_and_places_of_one_id(spark):
+    """Fewer than 50 words go too where texts begin with them; an id may have several texts."""
+    a, b, c = [" ".join(f"{x}{i}" for i in range(n)) for x, n in (("a", 30), ("b", 40), ("c", 60))]
+    rows = [(1, f"{a} {b}"), (2, f"{a}\nother words"), (3, f"{c} x {c}"), (3, f"{c} y"), (None, f"{c} z")]
+    got, _ = _compare(spark, rows, 25, 50)
+    left = sorted((r["doc_id"] or 0, r["text"]) for r in got)
+    assert left == [(0, f"{c} z"), (1, f"{a} {b}"), (2, "other words"), (3, "x "), (3, "y")]
+
+
+@pytest.mark.parametrize("sides", [(5, 5), (5, 6)])
+def test_sides_with_several_neighbourhoods(spark, sides):
+    keys = spark.createDataFrame(
+        [(7, 2, 0, 0, 1, sides[0]), (7, 1, 0, 3, 1, sides[1]), (8, 1, 0, 4, 2, 2)],
+        "g long, _d long, _t long, at int, l long, r long",
+    )
+    repeated = passages._repeated(keys)
+    found = [tuple(r) for r in repeated.collect()]
+    assert found == [(7, 1, [] if sides[0] == sides[1] else [1])]
+    told = {r["_d"]: r["later"] for r in passages._shared(keys, repeated).collect()}
+    assert told == {1: False, 2: True}
