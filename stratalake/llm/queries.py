@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import (
-    chat, divergence, knn, markov, mixing, passages, pieces, quality, repair, secrets, simhash,
-    sketches, toxicity,
+    chat, divergence, knn, markov, mixing, pieces, quality, repair, secrets, simhash, sketches,
+    spans, toxicity,
 )
 from stratalake.llm.common import read, settled
 from stratalake.llm.sql import SQL
@@ -53,7 +53,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     span = F.transform("_gone", lambda s: F.concat_ws("-", s["a"], s["b"]))
     words = F.aggregate("_gone", F.lit(0), lambda n, s: n + s["b"] - s["a"] + 1)
-    return passages.dedup_passages(docs, gone_col="_gone").select(
+    return spans.dedup_passages(docs, gone_col="_gone").select(
         "doc_id",
         F.coalesce(words, F.lit(0)).cast("long").alias("n_deleted"),
         F.coalesce(F.array_join(span, ","), F.lit("")).alias("deleted"),

@@ -59,7 +59,7 @@ def test_window_minima_match_a_plain_version(spark):
         assert sorted(found.get(r["_d"], [])) == sorted(want)
 
 
-@pytest.mark.parametrize("stage", ["line dedup"])
+@pytest.mark.parametrize("stage", ["op5_line_dedup", "line dedup"])
 def test_no_python_on_the_executors(spark, tmp_path, stage, monkeypatch):
     docs = spark.createDataFrame(_rows()[:20], "doc_id long, text string")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
