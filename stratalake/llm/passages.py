@@ -313,9 +313,9 @@ def _place() -> Column:
 
 
 # An aggregate that stands in a join's own stage keeps adaptive execution from splitting
-# a hot fingerprint there, so it is a table of its own first. Joins are merged at every
-# size: a table that is just small enough to be broadcast would lie in each executor
-# beside its Python workers.
+# a hot fingerprint there, so it is a table of its own first. Both sides of a join are
+# shuffled at every size: a table that is just small enough to be broadcast would lie in
+# each executor beside its Python workers.
 
 
 def _repeated(keys: DataFrame) -> DataFrame:
@@ -340,8 +340,16 @@ def _repeated(keys: DataFrame) -> DataFrame:
 
 
 def _shared(keys: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Places whose fingerprint has several, and whether a lesser id is among these."""
-    return keys.join(repeated.hint("merge"), "g").select(
+    """Places whose fingerprint has several, and whether a lesser id is among these.
+
+    ``sides`` as a number, which costs less than an array for each place: 1 for the left
+    side, 2 for the right. The side of one row a fingerprint is hashed, so no place is sorted.
+    """
+    number = F.aggregate(
+        "sides", F.lit(0), lambda n, side: n + F.when(side < 0, 1).otherwise(2)
+    )
+    few = repeated.select("g", "_least", number.alias("sides"))
+    return keys.join(few.hint("shuffle_hash"), "g").select(
         "g", *_PLACE, "l", "r", "sides", (F.col("_d") > F.col("_least")).alias("later")
     )
 
@@ -353,7 +361,7 @@ def _firsts(shared: DataFrame) -> DataFrame:
 
 def _again(shared: DataFrame, firsts: DataFrame) -> DataFrame:
     """Places that are not the first of their fingerprint."""
-    least = shared.filter("not later").join(firsts.hint("merge"), "g")
+    least = shared.filter("not later").join(firsts.hint("shuffle_hash"), "g")
     return shared.filter("later").select(*_PLACE).unionByName(
         least.filter(F.col("_f") != _place()).select(*_PLACE)
     )
@@ -361,8 +369,12 @@ def _again(shared: DataFrame, firsts: DataFrame) -> DataFrame:
 
 def _classes(shared: DataFrame) -> DataFrame:
     """(g, side, _f): the first place of each neighbourhood, on sides that have several."""
+    left, right = F.lit(-1), F.lit(1)
+    each = F.when(F.col("sides") == 1, F.array(left)).when(
+        F.col("sides") == 2, F.array(right)
+    ).otherwise(F.array(left, right))
     return (
-        shared.filter(F.size("sides") > 0).select("g", *_PLACE, "l", "r", F.explode("sides").alias("side"))
+        shared.filter("sides > 0").select("g", *_PLACE, "l", "r", F.explode_outer(each).alias("side"))
         .groupBy("g", "side", F.when(F.col("side") < 0, F.col("l")).otherwise(F.col("r")).alias("_ctx"))
         .agg(F.min(_place()).alias("_f"))
         .select("g", "side", "_f")

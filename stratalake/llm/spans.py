@@ -7,8 +7,7 @@ of the hash of their first word, so of the runs between these lengths others may
 
 A row per word, which no step writes, looks at the hashes of the words around it: it
 goes on only if the least of its window differs from that of the window before.
-Fingerprints meet in shares, and texts meet their open fingerprints in shares, so that
-only a part of either is shuffled at a time. Places that agree on a fingerprint and the
+Places that agree on a fingerprint and the
 next word are compared as arrays, each with those before it; if they are many, by a row for
 each key. Spans are merged by document before the texts meet them.
 """
@@ -26,8 +25,7 @@ from stratalake.llm.passages import (
     _shared, _Steps,
 )
 
-SHARES = 2  # of the fingerprints, and of the texts that meet theirs, one after another
-LOCAL = 1024  # places of a fingerprint and its next word that are compared as arrays
+LOCAL = 4096  # places of a fingerprint and its next word that are compared as arrays
 PROBES = 8  # places of a window that are looked at before all of it
 
 # Arrays are exploded as outer ones, none being empty: the filter on empty ones that goes
@@ -92,19 +90,17 @@ def ladders(texts: DataFrame, asked: DataFrame, noise: int, guarantee: int) -> D
     near = F.when(F.col("side") < 0, F.reverse(before)).otherwise(
         F.slice(h, at + noise + 1, more)
     )
-
-    def steps(all_: Column) -> Column:
-        return F.transform(all_, lambda _, j: F.xxhash64("g", "side", F.slice(all_, 1, j + 1)))
-
-    # named twice, so that it is computed by itself
-    keys = F.when(F.col("_near").isNotNull(), let(F.transform("_near", lambda x: x), steps))
     beside = F.when(F.col("side") < 0, at > 0).otherwise(at + noise < F.size(h))
-    return (
+    rows = (
         met.select("_d", "_t", word_hashes(F.col("_x")).alias("h"), "_open")
         .select("_d", "_t", "h", F.inline("_open")).filter(beside)
-        .select("g", *_PLACE, "side", near.alias("_near"))
-        .select(*_PLACE, "side", keys.alias("keys"))
+        .select(*_PLACE, "side", near.alias("_near"), F.xxhash64("g", "side").alias("_k0"))
     )
+    # a column for each number of words, made from the one before in compiled code
+    for j in range(more):
+        rows = rows.withColumn(f"_k{j + 1}", F.xxhash64(f"_k{j}", F.get("_near", F.lit(j))))
+    keys = F.array(*[f"_k{j + 1}" for j in range(more)])
+    return rows.select(*_PLACE, "side", F.slice(keys, 1, F.size("_near")).alias("keys"))
 
 
 def agreed_by_group(rows: DataFrame, groups: DataFrame, more: int) -> DataFrame:
@@ -112,15 +108,16 @@ def agreed_by_group(rows: DataFrame, groups: DataFrame, more: int) -> DataFrame:
 
     Whoever agrees on some words agrees on fewer, so their number is found by halving.
     """
-    some = rows.withColumn("key", F.get("keys", F.lit(0))).join(groups.hint("merge"), "key")
+    some = rows.withColumn("key", F.get("keys", F.lit(0))).join(groups.hint("shuffle_hash"), "key")
     met = some.groupBy("key", "side").agg(F.collect_list(F.struct(*_PLACE, "keys")).alias("_all"))
     halves = [1 << k for k in reversed(range(more.bit_length()))]
 
     def told(all_: Column, levels: Column) -> Column:
         def one(place: Column, i: Column) -> Column:
             def step(j: Column, half: Column) -> Column:
+                # its own key is there, at i + 1 or before; null if it has no such key
                 first = F.array_position(F.get(levels, j + half - 1), F.get(place["keys"], j + half - 1))
-                return F.when((first > 0) & (first <= i), j + half).otherwise(j)
+                return F.when(first <= i, j + half).otherwise(j)
 
             j = F.aggregate(F.array(*map(F.lit, halves)), F.lit(0), step)
             return F.struct(*[place[c].alias(c) for c in _PLACE], j.alias("j"))
@@ -202,46 +199,35 @@ def repeated_spans(
         d.alias("_d"), t.alias("_t"), F.coalesce(text_col, F.lit("")).alias("_x")
     )
     keys = steps.keep("keys", fingerprints(texts, noise, guarantee))
-    parts = []
-    for k in range(SHARES):
-        some = keys.filter(F.pmod("g", F.lit(SHARES)) == k)
-        repeated = steps.keep("repeated", _repeated(some))
-        steps.drop()
-        parts.append(steps.keep(f"shared-{k}", _shared(some, repeated)))
-        del some, repeated
-        steps.drop("repeated")
-    del keys
-    steps.drop("keys")
-    shared = reduce(DataFrame.unionByName, parts)
+    repeated = steps.keep("repeated", _repeated(keys))
+    steps.drop()
+    shared = steps.keep("shared", _shared(keys, repeated))
+    del keys, repeated
+    steps.drop("keys", "repeated")
     firsts = steps.keep("firsts", _firsts(shared))
     again = steps.keep("again", _again(shared, firsts))
     del firsts
     steps.drop("firsts")
     open_ = steps.keep("open", _classes(shared).select("g", "side", "_f.*"))
-    del shared, parts
-    steps.drop(*[f"shared-{k}" for k in range(SHARES)])
-
-    parts = []
-    for k in range(SHARES):
-        mine = F.pmod("_t", F.lit(SHARES)) == k
-        some = ladders(texts.filter(mine), open_.filter(mine), noise, guarantee)
-        parts.append(steps.keep(f"ladders-{k}", some))
-        del some
-        steps.drop()
-    rows = reduce(DataFrame.unionByName, parts)
+    del shared
+    steps.drop("shared")
+
+    rows = steps.keep("ladders", ladders(texts, open_, noise, guarantee))
+    steps.drop()
     # most places differ in the first word beside the fingerprint
     first = F.get("keys", F.lit(0))
     groups = steps.keep("groups", rows.groupBy(first.alias("key")).count().filter("count > 1"))
     agreed = steps.keep("agreed", agreed_by_group(rows, groups.filter(F.col("count") <= LOCAL), more))
     large = groups.filter(F.col("count") > LOCAL)
     if not large.isEmpty():
-        hot = rows.join(large.hint("merge"), first == F.col("key"), "left_semi")
+        # there is one for LOCAL places at most, so they are few on any table
+        hot = rows.join(F.broadcast(large), first == F.col("key"), "left_semi")
         many = steps.keep("many", hot)
         agreed = agreed.unionByName(steps.keep("dealt", _agreed_by_keys(many, more)))
         del hot, many
         steps.drop("many")
-    del rows, parts, groups, large
-    steps.drop("groups", *[f"ladders-{k}" for k in range(SHARES)])
+    del rows, groups, large
+    steps.drop("groups", "ladders")
     spans = steps.keep("spans", merged_spans(again, open_, agreed, noise, more))
     del again, open_, agreed
     steps.drop(*[name for name in steps.paths if name != "spans"])
@@ -251,19 +237,17 @@ def repeated_spans(
 def without_spans(text: Column, spans: Column) -> Column:
     """``text`` without the words of ``spans`` and the white space after them, and these as
     ``gone``, first and last word from 1; null without spans."""
-    # each word with the white space after it; white space before the first word stands alone
-    pieces = F.split(text, f"(?<={_IN})(?={_OUT})")
-    lead = F.when(text.rlike(f"^{_IN}"), 1).otherwise(0)
+    # each word with the white space after it, and the first also with that before it
+    word = f"{_IN}*+{_OUT}++{_IN}*+"
+    pieces = F.regexp_extract_all(text, F.lit(word), F.lit(0))
 
     def cut(all_: Column) -> Column:
-        n = F.size(all_) - lead
+        n = F.size(all_)
 
         def between(k: Column) -> Column:
-            # word i is piece lead + i, from 0
-            start = F.when(k == 0, 0).otherwise(F.get(spans, k - 1)["b"] + 1 + lead)
+            start = F.when(k == 0, 0).otherwise(F.get(spans, k - 1)["b"] + 1)
             end = F.coalesce(F.get(spans, k)["a"], n)
-            stop = F.when(end == 0, 0).otherwise(end + lead)
-            return F.slice(all_, start + 1, F.greatest(stop - start, F.lit(0)))
+            return F.slice(all_, start + 1, F.greatest(end - start, F.lit(0)))
 
         kept = F.flatten(F.transform(F.sequence(F.lit(0), F.size(spans)), between))
         told = F.transform(

@@ -77,3 +77,24 @@ def test_no_python_on_the_executors(spark, tmp_path, stage, monkeypatch):
     plans.append(made._jdf.queryExecution().executedPlan().toString())
     assert len(plans) > 5
     assert not [p for p in plans if "Arrow" in p or "Python" in p or "Pandas" in p]
+
+
+def test_keys_of_near_words_take_no_lambda(spark):
+    texts = spark.createDataFrame([(1, 1, "a b c d e f g")], "_d long, _t long, _x string")
+    asked = spark.createDataFrame(
+        [(1, 1, 5, 2, 1), (1, 1, 5, 2, -1)], "_d long, _t long, g long, at int, side int"
+    )
+    made = spans.ladders(texts, asked, 2, 6)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("transform(") == 1  # that of the words' hashes
+    assert {r["side"]: len(r["keys"]) for r in made.collect()} == {-1: 2, 1: 3}
+
+
+def test_places_are_not_sorted_to_meet_repeated_fingerprints(spark):
+    keys = spark.createDataFrame(
+        [(7, 2, 0, 0, 1, 5), (7, 1, 0, 3, 1, 6), (8, 1, 0, 4, 2, 2)],
+        "g long, _d long, _t long, at int, l long, r long",
+    )
+    shared = spans._shared(keys, spans._repeated(keys))
+    assert "SortMergeJoin" not in shared._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["_d"], r["later"]) for r in shared.collect()) == [(1, False), (2, True)]
